@@ -17,14 +17,11 @@ from pyspark.sql import functions as F
 from quantpanel.config import FeatureConfig
 from quantpanel.functions.columns import annualise, by_ticker, trailing
 from quantpanel.operators.asset_features import equal_weight_return, returns_rowlag
-from quantpanel.operators.gram import element_sums, top_eigen, window_gram
+from quantpanel.operators.gram import FLAT, element_sums, top_eigen, window_gram
 from quantpanel.operators.grid import calendar_of, dense_grid
 from quantpanel.operators.market_features import outer_join_blocks
 from quantpanel.operators.ranks import rank_in_group
 
-# A series whose deviation is below this is constant and has no correlation.
-FLAT = 1e-12
-
 
 def return_grid(prices: DataFrame, calendar: DataFrame) -> DataFrame:
     """Dense (ticker, day_idx, ret): row-to-row returns, null where the ticker has no row."""
@@ -34,6 +31,15 @@ def return_grid(prices: DataFrame, calendar: DataFrame) -> DataFrame:
     ).select("ticker", "day_idx", "ret")
 
 
+def observed_returns(prices: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sparse (ticker, day_idx, n_days, ret): only the days on which the ticker has a row."""
+    rets = returns_rowlag(prices.select("date", "ticker", "adj_close"))
+    days = calendar.select("date", "day_idx", "n_days")
+    return rets.join(days, "date").select(
+        "ticker", "day_idx", "n_days", F.col("simple_ret").alias("ret")
+    )
+
+
 def universe_return(prices: DataFrame) -> DataFrame:
     rets = returns_rowlag(prices.select("date", "ticker", "adj_close"))
     return equal_weight_return(rets).select(
@@ -84,10 +90,9 @@ def correlation_and_vol(grid: DataFrame, width: int) -> DataFrame:
     )
 
 
-def pca_ratios(grid: DataFrame, width: int, k: int = 3) -> DataFrame:
+def pca_ratios(observed: DataFrame, width: int, k: int = 3) -> DataFrame:
     """Share of the k leading eigenvalues of each day's correlation matrix."""
-    grams = window_gram(standardised(window_moments(grid, width)), width)
-    eigen = top_eigen(grams, width, k)
+    eigen = top_eigen(window_gram(observed, width, standardise=True), width, k)
     share = [
         F.when(
             (F.col("n") > j) & (F.col("n") >= 2),
@@ -98,13 +103,13 @@ def pca_ratios(grid: DataFrame, width: int, k: int = 3) -> DataFrame:
     return eigen.select("day_idx", *share)
 
 
-def pca_loadings(grid: DataFrame, width: int, k: int = 3) -> DataFrame:
+def pca_loadings(observed: DataFrame, grid: DataFrame, width: int, k: int = 3) -> DataFrame:
     """(day_idx, ticker, pc, loading): unit eigenvectors of the correlation matrix.
 
     The sign makes the entry of largest size positive (first ticker on ties).
     """
     z = standardised(window_moments(grid, width))
-    eigen = top_eigen(window_gram(z, width), width, k)
+    eigen = top_eigen(window_gram(observed, width, standardise=True), width, k)
     scale = F.when(F.col("e") > 1e-9, 1 / F.sqrt("e"))
     product = F.aggregate(
         F.zip_with("vec", "u", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x
@@ -157,9 +162,11 @@ def cross_asset_features(prices: DataFrame, cfg: FeatureConfig = FeatureConfig()
     """All cross-sectional features keyed by asof_date."""
     calendar = calendar_of(prices)
     grid = return_grid(prices, calendar)
+    observed = observed_returns(prices, calendar)
     blocks = [breadth(grid)]
     for width in cfg.cross_windows:
-        blocks += [correlation_and_vol(grid, width), pca_ratios(grid, width, cfg.pca_components)]
+        blocks.append(correlation_and_vol(grid, width))
+        blocks.append(pca_ratios(observed, width, cfg.pca_components))
     days = calendar.select("day_idx", F.col("date").alias("asof_date"))
     table = outer_join_blocks(blocks, "day_idx")
     rows = days.join(table, "day_idx", "left").drop("day_idx")

@@ -1,9 +1,11 @@
 """Distributed W x W Gram matrices of trailing windows.
 
 Cross-sectional linear algebra over N assets and a window of W days only needs
-`G = sum_i x_i x_i'` and `s = sum_i x_i`, where x_i is the W-vector of asset i. Both are sums
-over assets, so they are combined inside every task first and the size of what is shuffled
-does not depend on N.
+`G = sum_i x_i x_i'` and `s = sum_i x_i`, where x_i is the W-vector of asset i: both are sums
+over assets. Days are cut into blocks; a block also receives the W - 1 days before it, so
+every observation is sent at most twice instead of once per window. Inside a block the assets
+are split into groups of bounded size, each group yields one partial G and s per day, and the
+partials are added.
 """
 
 from __future__ import annotations
@@ -15,69 +17,63 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PARTIALS_PER_GROUP = 256
-MAX_OPEN_DAYS = 4096
-_PARTIAL = "day_idx int, chunk int, n long, total array<double>, gram array<double>"
+DAYS_PER_BLOCK = 64
+TICKERS_PER_GROUP = 2048
+# A series whose deviation is below this is constant and has no correlation.
+FLAT = 1e-12
+_GRAM = "day_idx int, n long, total array<double>, gram array<double>"
 
 
-def _partial_grams(width: int):
-    upper = np.triu_indices(width)
+def _standardised(window: np.ndarray, day: int) -> np.ndarray | None:
+    """z-scores of the moving series of a full window."""
+    if day < window.shape[1]:
+        return None
+    std = window.std(axis=1)
+    moving = std > FLAT
+    centred = window[moving] - window[moving].mean(axis=1, keepdims=True)
+    return centred / std[moving, None]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        chunk = TaskContext.get().partitionId() // PARTIALS_PER_GROUP
-        slots: dict[int, int] = {}
-        counts = np.zeros(MAX_OPEN_DAYS, dtype=np.int64)
-        totals = np.zeros((MAX_OPEN_DAYS, width))
-        grams = np.zeros((MAX_OPEN_DAYS, len(upper[0])))
-
-        def flush() -> pd.DataFrame:
-            used = len(slots)
-            frame = pd.DataFrame(
-                {
-                    "day_idx": np.fromiter(slots.keys(), dtype=np.int32, count=used),
-                    "chunk": np.full(used, chunk, dtype=np.int32),
-                    "n": counts[:used].copy(),
-                    "total": list(totals[:used].copy()),
-                    "gram": list(grams[:used].copy()),
-                }
-            )
-            slots.clear()
-            counts[:] = 0
-            totals[:] = 0.0
-            grams[:] = 0.0
-            return frame
 
-        for batch in batches:
-            # Rows arrive ticker by ticker; inside one ticker every day occurs once.
-            for _, rows in batch.groupby("ticker", sort=False):
-                days = rows["day_idx"].to_numpy()
-                vectors = np.vstack(rows["vec"].to_numpy())
-                for start in range(0, len(days), 512):
-                    part_days = days[start : start + 512]
-                    x = vectors[start : start + 512]
-                    new = [d for d in part_days if d not in slots]
-                    if len(slots) + len(new) > MAX_OPEN_DAYS:
-                        yield flush()
-                        new = list(part_days)
-                    for day in new:
-                        slots[day] = len(slots)
-                    at = np.array([slots[d] for d in part_days])
-                    counts[at] += 1
-                    totals[at] += x
-                    grams[at] += x[:, upper[0]] * x[:, upper[1]]
-        if slots:
-            yield flush()
+def _centred(window: np.ndarray, day: int) -> np.ndarray | None:
+    """Deviations from the mean over the days from day 1 on, moved to the front."""
+    width = window.shape[1]
+    rows = min(width, day)
+    if rows < 1:
+        return None
+    out = np.zeros_like(window)
+    known = window[:, width - rows :]
+    out[:, :rows] = known - known.mean(axis=1, keepdims=True)
+    return out
+
+
+def _block_grams(width: int, transform):
+    upper = np.triu_indices(width)
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        first = key[0] * DAYS_PER_BLOCK
+        start = first - (width - 1)
+        last = min(first + DAYS_PER_BLOCK, int(rows["n_days"].iloc[0]))
+        codes, names = pd.factorize(rows["ticker"])
+        matrix = np.zeros((len(names), DAYS_PER_BLOCK + width - 1))
+        matrix[codes, rows["day_idx"].to_numpy() - start] = rows["ret"].to_numpy()
+        out = {"day_idx": [], "n": [], "total": [], "gram": []}
+        for day in range(first, last):
+            x = transform(matrix[:, day - first : day - first + width], day)
+            if x is None or not len(x):
+                continue
+            out["day_idx"].append(day)
+            out["n"].append(len(x))
+            out["total"].append(x.sum(axis=0))
+            out["gram"].append((x.T @ x)[upper])
+        return pd.DataFrame(out)
 
     return run
 
 
-def _combine(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "day_idx": [key[0]],
-            "chunk": [0],
             "n": [int(rows["n"].sum())],
             "total": [np.vstack(rows["total"].to_numpy()).sum(axis=0)],
             "gram": [np.vstack(rows["gram"].to_numpy()).sum(axis=0)],
@@ -85,19 +81,35 @@ def _combine(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def window_gram(rows: DataFrame, width: int) -> DataFrame:
-    """(ticker, day_idx, vec array<double>[width]) -> per day: n, total, packed upper gram.
+def window_gram(
+    rows: DataFrame, width: int, standardise: bool, tickers_per_group: int = TICKERS_PER_GROUP
+) -> DataFrame:
+    """Per day: number of series, vector sum and packed upper Gram matrix of their windows.
 
-    Partial sums are merged in two steps so that no task reads more than a few hundred of
-    them for one day.
+    `rows`: (ticker, day_idx, n_days, ret); an absent day counts as return 0.
     """
-    partials = rows.select("ticker", "day_idx", "vec").mapInPandas(_partial_grams(width), _PARTIAL)
-    merged = partials.groupBy("day_idx", "chunk").applyInPandas(_combine, _PARTIAL)
-    return (
-        merged.groupBy("day_idx")
-        .applyInPandas(_combine, _PARTIAL)
-        .select("day_idx", "n", "total", "gram")
+    if width - 1 > DAYS_PER_BLOCK:
+        raise ValueError(f"windows are limited to {DAYS_PER_BLOCK + 1} days")
+    groups = max(1, -(-rows.select("ticker").distinct().count() // tickers_per_group))
+    own = F.floor(F.col("day_idx") / DAYS_PER_BLOCK).cast("int")
+    feeds_next = F.col("day_idx") >= (own + 1) * DAYS_PER_BLOCK - (width - 1)
+    ahead = F.when(feeds_next & ((own + 1) * DAYS_PER_BLOCK < F.col("n_days")), own + 1)
+    spread = rows.filter(F.col("ret").isNotNull()).select(
+        "ticker",
+        "day_idx",
+        "n_days",
+        "ret",
+        F.explode(F.array_compact(F.array(own, ahead))).alias("block"),
+        F.pmod(F.xxhash64("ticker"), F.lit(groups)).alias("part"),
     )
+    transform = _standardised if standardise else _centred
+    grams = spread.groupBy("block", "part").applyInPandas(_block_grams(width, transform), _GRAM)
+    if groups > 1:
+        # Merge in two steps so that one task never reads all partials of a day.
+        step = grams.withColumn("_k", F.pmod(F.spark_partition_id(), F.lit(64)))
+        grams = step.groupBy("day_idx", "_k").applyInPandas(_merge, _GRAM)
+        grams = grams.groupBy("day_idx").applyInPandas(_merge, _GRAM)
+    return grams
 
 
 def unpack(packed: np.ndarray, width: int) -> np.ndarray:
@@ -127,13 +139,17 @@ def top_eigen(grams: DataFrame, width: int, k: int) -> DataFrame:
 
 
 def ridge_solutions(grams: DataFrame, width: int, ridge: float) -> DataFrame:
-    """y solving ((W-1) * ridge * I + G) y = s for every day, as array<double>[W]."""
+    """y solving ((m-1) * ridge * I + G) y = s for every day, as array<double>[W].
+
+    m is the number of rows in the window: W, or the day number while fewer exist.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for total, packed in zip(batch["total"], batch["gram"]):
-                matrix = unpack(np.asarray(packed), width) + (width - 1) * ridge * np.eye(width)
+            for day, total, packed in zip(batch["day_idx"], batch["total"], batch["gram"]):
+                freedom = max(min(width, day) - 1, 1)
+                matrix = unpack(np.asarray(packed), width) + freedom * ridge * np.eye(width)
                 out.append(np.linalg.solve(matrix, np.asarray(total)))
             yield pd.DataFrame({"day_idx": batch["day_idx"], "y": out})
 

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from quantpanel.registry import features  # noqa: F401
+from quantpanel.registry import features, labels  # noqa: F401
 from quantpanel.registry.base import QUERIES, SQL  # noqa: F401

@@ -101,9 +101,9 @@ def _f06(spark, sf):
     return features(p2(spark, sf), af.momentum_features(CFG))
 
 
-@query("F07_dollar_volume", feature_sql(LIQ_SQL, 3))
+@query("F07_dollar_volume", feature_sql(LIQ_SQL, 4))
 def _f07(spark, sf):
-    return features(p2(spark, sf), af.liquidity_features(CFG), 3)
+    return features(p2(spark, sf), af.liquidity_features(CFG), 4)
 
 
 @query("F08_amihud", feature_sql(AMI_SQL, 15))
@@ -119,7 +119,7 @@ def _f09(spark, sf):
 ALL_SQL = {
     **RET_SQL, **VOL_SQL, **DOWN_SQL, **DD_SQL, **MOM_SQL, **LIQ_SQL, **AMI_SQL, **Z_SQL,
 }
-SPECIAL = {"amihud_20": 15, "dollar_vol_20": 3, "dollar_vol_60": 3}
+SPECIAL = {"amihud_20": 15, "dollar_vol_20": 4, "dollar_vol_60": 4}
 STATE = ("prev_live_weight", "prev_target_weight", "delta_from_prev_target")
 FEATURES_CTE = f"""{DAILY}, feats AS (SELECT date AS asof_date, ticker,
   {', '.join(f'{e} AS {n}' for n, e in ALL_SQL.items())} FROM daily)"""
@@ -285,7 +285,7 @@ def _f17(spark, sf):
 def _f18(spark, sf):
     prices = p2(spark, sf)
     calendar = calendar_of(prices)
-    rows = cf.return_grid(prices, calendar)
+    rows = cf.observed_returns(prices, calendar)
     blocks = [cf.pca_ratios(rows, w) for w in (20, 60)]
     return rounded(_dated(mf.outer_join_blocks(blocks, "day_idx"), calendar))
 
@@ -317,6 +317,7 @@ def _f20(spark, sf):
 def _f28(spark, sf):
     prices = p1(spark, sf)
     calendar = calendar_of(prices)
-    loadings = cf.pca_loadings(cf.return_grid(prices, calendar), 20)
+    observed = cf.observed_returns(prices, calendar)
+    loadings = cf.pca_loadings(observed, cf.return_grid(prices, calendar), 20)
     days = calendar.select("day_idx", F.col("date").alias("asof_date"))
     return rounded(loadings.join(days, "day_idx").drop("day_idx"))
