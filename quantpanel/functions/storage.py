@@ -1,26 +1,34 @@
-"""Cutting lineage through shared storage."""
+"""Cutting lineage through tables in shared storage."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by the session; a private one only where none is set (tests)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
+def stage_folder(spark: SparkSession) -> str:
+    """The folder named by the session; a private one only where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-    context.setCheckpointDir(folder)
+    if folder:
+        return folder
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="stage-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later stages re-read files, so a lost executor changes nothing."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to a table in shared storage and read them back.
+
+    Later stages start from files, so a lost executor changes nothing, and the planner knows
+    the size of the table.
+    """
+    path = f"{stage_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

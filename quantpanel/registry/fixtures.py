@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantpanel.config import UniverseConfig
 from quantpanel.functions.storage import materialise
+from quantpanel.operators.grid import calendar_of
 from quantpanel.operators.portfolios import normalise
 from quantpanel.operators.returns import adv20, returns_filled, returns_gap_zero
 from quantpanel.registry.base import P1, grid
@@ -17,38 +20,60 @@ N_CANDIDATES = 20
 
 
 class LabelInputs:
-    """Returns, universe, candidates and previous weights of the type panel."""
+    """Returns, universe, candidates and previous weights of the type panel.
+
+    Each table is a stage output: it is stored when first used and read back afterwards, as
+    between the steps of a real label run.
+    """
 
     def __init__(self, spark, sf_dir: str):
-        # Stage outputs are stored, as in a real label run; later steps read them back.
-        self.prices = materialise(panels.prices_by_type(spark, sf_dir))
-        self.returns = materialise(returns_gap_zero(self.prices))
-        self.universe = materialise(universe_members(self.prices, UniverseConfig()))
-        self.indexed = self.returns.join(self.universe.select("ticker", "asset_idx"), "ticker")
+        self.spark, self.sf_dir = spark, sf_dir
 
-    @property
+    @cached_property
+    def prices(self) -> DataFrame:
+        return materialise(panels.prices_by_type(self.spark, self.sf_dir))
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        return materialise(returns_gap_zero(self.prices))
+
+    @cached_property
     def filled(self) -> DataFrame:
-        return returns_filled(self.prices)
+        return materialise(returns_filled(self.prices))
+
+    @cached_property
+    def universe(self) -> DataFrame:
+        return materialise(universe_members(self.prices, UniverseConfig()))
 
     @property
+    def indexed(self) -> DataFrame:
+        return self.returns.join(self.universe.select("ticker", "asset_idx"), "ticker")
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return materialise(calendar_of(self.prices))
+
+    @cached_property
     def adv(self) -> DataFrame:
-        return adv20(self.prices)
+        return materialise(adv20(self.prices))
 
-    @property
+    @cached_property
     def candidates(self) -> DataFrame:
-        return fixture_candidates(self.indexed, N_CANDIDATES)
+        return materialise(fixture_candidates(self.indexed, N_CANDIDATES))
 
-    @property
+    @cached_property
     def previous(self) -> DataFrame:
-        return fixture_previous(self.indexed)
+        return materialise(fixture_previous(self.indexed))
 
     def signals(self, n: int = 3) -> DataFrame:
         """The first n candidates as strategies."""
-        return fixture_candidates(self.indexed, n).select(
-            F.concat(F.lit("c"), F.col("cand_id").cast("string")).alias("path_id"),
-            "date",
-            "ticker",
-            "w",
+        return materialise(
+            fixture_candidates(self.indexed, n).select(
+                F.concat(F.lit("c"), F.col("cand_id").cast("string")).alias("path_id"),
+                "date",
+                "ticker",
+                "w",
+            )
         )
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quantpanel.config import BUILTIN_PROFILES, CandidateConfig
+from quantpanel.functions.storage import materialise
 from quantpanel.operators import candidates as cd
 from quantpanel.operators import costs, portfolios, returns, teacher
-from quantpanel.operators.grid import calendar_of
 from quantpanel.plans.labels import teacher_labels
 from quantpanel.registry.base import P2, grid, query, r, rounded
 from quantpanel.registry.features import p2
@@ -173,7 +173,7 @@ def _weight_columns(table):
 @query("L11_random_candidates")
 def _l11(spark, sf):
     inputs = LabelInputs(spark, sf)
-    days = calendar_of(inputs.prices).select("date")
+    days = inputs.calendar.select("date")
     return _weight_columns(cd.random_candidates(days, _n_assets(inputs), SMALL_SEARCH))
 
 
@@ -253,7 +253,7 @@ def _l16(spark, sf):
 
 
 def _ranked(inputs):
-    return teacher.ranked_candidates(_scores(inputs), 10)
+    return materialise(teacher.ranked_candidates(_scores(inputs), 10))
 
 
 @query(
@@ -279,7 +279,7 @@ def _l17(spark, sf):
 def _l18(spark, sf):
     inputs = LabelInputs(spark, sf)
     _, labels = teacher.label_tables(
-        _ranked(inputs), inputs.candidates, inputs.previous, calendar_of(inputs.prices)
+        _ranked(inputs), inputs.candidates, inputs.previous, inputs.calendar
     )
     return rounded(labels)
 
@@ -297,7 +297,7 @@ def _l18(spark, sf):
 def _l18w(spark, sf):
     inputs = LabelInputs(spark, sf)
     weights, _ = teacher.label_tables(
-        _ranked(inputs), inputs.candidates, inputs.previous, calendar_of(inputs.prices)
+        _ranked(inputs), inputs.candidates, inputs.previous, inputs.calendar
     )
     return rounded(weights)
 
