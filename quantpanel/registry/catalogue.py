@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from quantpanel.registry import backtests, features, labels  # noqa: F401
+from quantpanel.registry import backtests, features, labels, market  # noqa: F401
 from quantpanel.registry.base import QUERIES, SQL  # noqa: F401

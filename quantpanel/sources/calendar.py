@@ -11,20 +11,20 @@ CUTOFF_HOUR = 18
 CUTOFF_ZONE = "America/New_York"
 
 
-def weekdays(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
-    days = F.sequence(F.lit(start), F.lit(end))
-    every = spark.range(1).select(F.explode(days).alias("trade_date"))
-    return every.filter(~F.dayofweek("trade_date").isin(1, 7))
+def open_days(days: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """Weekdays among `trade_date`, without the dates of the holiday table (`holiday`)."""
+    week = days.filter(~F.dayofweek("trade_date").isin(1, 7))
+    if holidays is None:
+        return week
+    return week.join(holidays, F.col("trade_date") == F.col("holiday"), "left_anti")
 
 
 def trading_days(
     spark: SparkSession, start: dt.date, end: dt.date, holidays: DataFrame | None = None
 ) -> DataFrame:
-    """Weekdays without the holidays of the given table (column `holiday`)."""
-    days = weekdays(spark, start, end)
-    if holidays is None:
-        return days
-    return days.join(holidays, F.col("trade_date") == F.col("holiday"), "left_anti")
+    days = F.sequence(F.lit(start), F.lit(end))
+    every = spark.range(1).select(F.explode(days).alias("trade_date"))
+    return open_days(every, holidays)
 
 
 def cutoff_ts(day: Column) -> Column:
