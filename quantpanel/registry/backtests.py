@@ -309,7 +309,7 @@ def _subset_sql(labels: str) -> str:
   {daily_sql(traded='traded', scale='cost_scale')}, {metric_sql()} {_METRICS_FROM}"""
 
 
-_REGIME = """vx AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice)/10000 AS vix FROM orders
+_REGIME = """vx AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice)/9973 AS vix FROM orders
     WHERE o_orderpriority = '5-LOW' GROUP BY 1),
   vd AS (SELECT day_idx, vix FROM cal JOIN vx USING (date)),
   sub AS (SELECT day_idx, CASE WHEN vix >= (SELECT median(vix) FROM vd) THEN 'high_vix' ELSE 'low_vix' END AS name FROM vd)"""

@@ -50,8 +50,8 @@ def rcols(names: list[str], digits: int = 6) -> str:
     return ", ".join(r(n, n, digits) for n in names)
 
 
-_PRICE = """100 + SUM(l_extendedprice*(1-l_discount))/SUM(l_quantity)/10000 AS adj_close,
-  100 + AVG(l_extendedprice/l_quantity)/10000 AS close,
+_PRICE = """100 + SUM(l_extendedprice*(1-l_discount))/SUM(l_quantity)/9973 AS adj_close,
+  100 + AVG(l_extendedprice/l_quantity)/9973 AS close,
   SUM(l_quantity) AS volume, SUM(l_extendedprice) AS dollar_volume"""
 
 P1 = f"""p1 AS (SELECT CAST(l_shipdate AS DATE) AS date, p_type AS ticker, {_PRICE}
@@ -60,7 +60,7 @@ P2 = f"""p2 AS (SELECT CAST(l_shipdate AS DATE) AS date,
   'S' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS ticker, {_PRICE}
   FROM lineitem GROUP BY 1, 2)"""
 MACRO = """macro AS (SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS date,
-  avg(o_totalprice)/10000 AS value FROM orders GROUP BY 1, 2)"""
+  avg(o_totalprice)/9973 AS value FROM orders GROUP BY 1, 2)"""
 
 
 def cal(panel: str) -> str:

@@ -25,7 +25,7 @@ TSY = """tsy AS (SELECT date AS asof_date, max(value) FILTER (series_id = '3-MED
   FROM macro WHERE series_id IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1),
   tsyf AS (SELECT *, tsy_10y - tsy_2y AS tsy_slope_10y_2y, tsy_10y - tsy_3m AS tsy_slope_10y_3m FROM tsy)"""
 TSY_COLS = ("tsy_10y", "tsy_2y", "tsy_3m", "tsy_slope_10y_2y", "tsy_slope_10y_3m")
-FACTORS = """fac AS (SELECT CAST(o_orderdate AS DATE) AS asof_date, avg(o_totalprice)/1e6 AS ff_mkt_rf, max(o_totalprice)/1e6 AS ff_smb,
+FACTORS = """fac AS (SELECT CAST(o_orderdate AS DATE) AS asof_date, ln(avg(o_totalprice))/100 AS ff_mkt_rf, max(o_totalprice)/1e6 AS ff_smb,
   min(o_totalprice)/1e6 AS ff_hml, count(*)::DOUBLE AS ff_mom FROM orders GROUP BY 1)"""
 FAC_COLS = ("ff_mkt_rf", "ff_smb", "ff_hml", "ff_mom")
 SERIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
