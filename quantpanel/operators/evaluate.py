@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import fields
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -125,7 +127,9 @@ def sensitivity_scenarios(
 def profile_table(spark: SparkSession, custom: tuple[StrategyProfile, ...] = ()) -> DataFrame:
     """Strategy profiles as rows; a custom profile replaces the built-in of the same name."""
     profiles = {p.name: p for p in (*BUILTIN_PROFILES, *custom)}
-    return spark.createDataFrame([vars(p) for p in profiles.values()])
+    numbers = [f.name for f in fields(StrategyProfile) if f.name != "name"]
+    rows = [(p.name, *[float(getattr(p, n)) for n in numbers]) for p in profiles.values()]
+    return spark.createDataFrame(rows, "name string, " + ", ".join(f"{n} double" for n in numbers))
 
 
 def profile_scenarios(spark: SparkSession, custom: tuple[StrategyProfile, ...] = ()) -> DataFrame:
