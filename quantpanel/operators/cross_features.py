@@ -17,7 +17,14 @@ from pyspark.sql import functions as F
 from quantpanel.config import FeatureConfig
 from quantpanel.functions.columns import annualise, by_ticker, trailing
 from quantpanel.operators.asset_features import equal_weight_return, returns_rowlag
-from quantpanel.operators.gram import FLAT, element_sums, top_eigen, window_gram
+from quantpanel.operators.gram import (
+    FLAT,
+    element_sums,
+    group_count,
+    top_eigen,
+    window_gram,
+    window_products,
+)
 from quantpanel.operators.grid import calendar_of, dense_grid
 from quantpanel.operators.market_features import outer_join_blocks
 from quantpanel.operators.ranks import rank_in_group
@@ -62,11 +69,6 @@ def window_moments(grid: DataFrame, width: int) -> DataFrame:
     return rows.filter((F.col("n_obs") > 0) & (F.col("day_idx") >= width))
 
 
-def standardised(moments: DataFrame) -> DataFrame:
-    z = F.transform("rets", lambda x: (x - F.col("mean")) / F.col("std"))
-    return moments.filter(F.col("std") > FLAT).select("ticker", "day_idx", z.alias("vec"))
-
-
 def correlation_and_vol(grid: DataFrame, width: int) -> DataFrame:
     """`avg_pairwise_corr_w` and `avg_vol_w` per day."""
     moving = F.col("std") > FLAT
@@ -92,7 +94,8 @@ def correlation_and_vol(grid: DataFrame, width: int) -> DataFrame:
 
 def pca_ratios(observed: DataFrame, width: int, k: int = 3) -> DataFrame:
     """Share of the k leading eigenvalues of each day's correlation matrix."""
-    eigen = top_eigen(window_gram(observed, width, standardise=True), width, k)
+    grams = window_gram(observed, width, "standardised", group_count(observed))
+    eigen = top_eigen(grams, width, k)
     share = [
         F.when(
             (F.col("n") > j) & (F.col("n") >= 2),
@@ -103,23 +106,23 @@ def pca_ratios(observed: DataFrame, width: int, k: int = 3) -> DataFrame:
     return eigen.select("day_idx", *share)
 
 
-def pca_loadings(observed: DataFrame, grid: DataFrame, width: int, k: int = 3) -> DataFrame:
+def pca_loadings(observed: DataFrame, width: int, k: int = 3) -> DataFrame:
     """(day_idx, ticker, pc, loading): unit eigenvectors of the correlation matrix.
 
+    An eigenvector u of Z Z' becomes the one of the correlation matrix as Z' u / sqrt(eig).
     The sign makes the entry of largest size positive (first ticker on ties).
     """
-    z = standardised(window_moments(grid, width))
-    eigen = top_eigen(window_gram(observed, width, standardise=True), width, k)
-    scale = F.when(F.col("e") > 1e-9, 1 / F.sqrt("e"))
-    product = F.aggregate(
-        F.zip_with("vec", "u", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x
+    groups = group_count(observed)
+    eigen = top_eigen(window_gram(observed, width, "standardised", groups), width, k)
+    scaled = F.zip_with(
+        "vecs",
+        "eig",
+        lambda u, e: F.transform(u, lambda x: F.when(e > 1e-9, x / F.sqrt(e)).otherwise(0.0)),
+    )
+    directions = eigen.select("day_idx", scaled.alias("directions"))
+    raw = window_products(observed, directions, width, "standardised", groups).select(
+        "day_idx", "ticker", F.col("k").alias("pc"), F.col("value").alias("raw")
     )
-    components = eigen.select(
-        "day_idx", F.posexplode(F.arrays_zip(F.col("eig"), F.col("vecs"))).alias("pc", "c")
-    ).select("day_idx", "pc", F.col("c.eig").alias("e"), F.col("c.vecs").alias("u"))
-    raw = z.join(components, "day_idx").select(
-        "day_idx", "ticker", "pc", (product * scale).alias("raw")
-    ).filter(F.col("raw").isNotNull())
     largest = raw.groupBy("day_idx", "pc").agg(
         F.min_by("raw", F.struct(-F.round(F.abs("raw"), 9), "ticker")).alias("_top")
     )

@@ -24,41 +24,49 @@ FLAT = 1e-12
 _GRAM = "day_idx int, n long, total array<double>, gram array<double>"
 
 
-def _standardised(window: np.ndarray, day: int) -> np.ndarray | None:
-    """z-scores of the moving series of a full window."""
+def _standardised(window: np.ndarray, day: int):
+    """z-scores of the moving series of a full window, and which series those are."""
     if day < window.shape[1]:
-        return None
+        return None, None
     std = window.std(axis=1)
     moving = std > FLAT
     centred = window[moving] - window[moving].mean(axis=1, keepdims=True)
-    return centred / std[moving, None]
+    return centred / std[moving, None], moving
 
 
-def _centred(window: np.ndarray, day: int) -> np.ndarray | None:
+def _centred(window: np.ndarray, day: int):
     """Deviations from the mean over the days from day 1 on, moved to the front."""
     width = window.shape[1]
     rows = min(width, day)
     if rows < 1:
-        return None
+        return None, None
     out = np.zeros_like(window)
     known = window[:, width - rows :]
     out[:, :rows] = known - known.mean(axis=1, keepdims=True)
-    return out
+    return out, slice(None)
+
+
+TRANSFORMS = {"standardised": _standardised, "centred": _centred}
+
+
+def _block_matrix(block: int, rows: pd.DataFrame, width: int):
+    """Names, returns (series x days, with the days before the block) and day range."""
+    first = block * DAYS_PER_BLOCK
+    last = min(first + DAYS_PER_BLOCK, int(rows["n_days"].iloc[0]))
+    codes, names = pd.factorize(rows["ticker"])
+    matrix = np.zeros((len(names), DAYS_PER_BLOCK + width - 1))
+    matrix[codes, rows["day_idx"].to_numpy() - first + width - 1] = rows["ret"].to_numpy()
+    return names, matrix, first, last
 
 
 def _block_grams(width: int, transform):
     upper = np.triu_indices(width)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        first = key[0] * DAYS_PER_BLOCK
-        start = first - (width - 1)
-        last = min(first + DAYS_PER_BLOCK, int(rows["n_days"].iloc[0]))
-        codes, names = pd.factorize(rows["ticker"])
-        matrix = np.zeros((len(names), DAYS_PER_BLOCK + width - 1))
-        matrix[codes, rows["day_idx"].to_numpy() - start] = rows["ret"].to_numpy()
+        _, matrix, first, last = _block_matrix(key[0], rows, width)
         out = {"day_idx": [], "n": [], "total": [], "gram": []}
         for day in range(first, last):
-            x = transform(matrix[:, day - first : day - first + width], day)
+            x, _ = transform(matrix[:, day - first : day - first + width], day)
             if x is None or not len(x):
                 continue
             out["day_idx"].append(day)
@@ -70,6 +78,28 @@ def _block_grams(width: int, transform):
     return run
 
 
+def _block_products(width: int, transform):
+    def run(key: tuple, rows: pd.DataFrame, directions: pd.DataFrame) -> pd.DataFrame:
+        out = {"ticker": [], "day_idx": [], "k": [], "value": []}
+        if len(rows) and len(directions):
+            names, matrix, first, last = _block_matrix(key[0], rows, width)
+            names = np.asarray(names, dtype=object)
+            for day, vectors in zip(directions["day_idx"], directions["directions"]):
+                if not first <= day < last:
+                    continue
+                x, kept = transform(matrix[:, day - first : day - first + width], day)
+                if x is None:
+                    continue
+                for k, direction in enumerate(vectors):
+                    out["ticker"].append(names[kept])
+                    out["day_idx"].append(np.full(len(x), day))
+                    out["k"].append(np.full(len(x), k))
+                    out["value"].append(x @ np.asarray(direction))
+        return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in out.items()})
+
+    return run
+
+
 def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(
         {
@@ -81,29 +111,35 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def window_gram(
-    rows: DataFrame, width: int, standardise: bool, tickers_per_group: int = TICKERS_PER_GROUP
-) -> DataFrame:
-    """Per day: number of series, vector sum and packed upper Gram matrix of their windows.
+def group_count(rows: DataFrame, tickers_per_group: int | None = None) -> int:
+    """Number of asset groups per block that keeps a group within its bound."""
+    tickers = rows.select("ticker").distinct().count()
+    return max(1, -(-tickers // (tickers_per_group or TICKERS_PER_GROUP)))
 
-    `rows`: (ticker, day_idx, n_days, ret); an absent day counts as return 0.
-    """
+
+def _blocked(rows: DataFrame, width: int, groups: int) -> DataFrame:
     if width - 1 > DAYS_PER_BLOCK:
         raise ValueError(f"windows are limited to {DAYS_PER_BLOCK + 1} days")
-    groups = max(1, -(-rows.select("ticker").distinct().count() // tickers_per_group))
     own = F.floor(F.col("day_idx") / DAYS_PER_BLOCK).cast("int")
     feeds_next = F.col("day_idx") >= (own + 1) * DAYS_PER_BLOCK - (width - 1)
     ahead = F.when(feeds_next & ((own + 1) * DAYS_PER_BLOCK < F.col("n_days")), own + 1)
-    spread = rows.filter(F.col("ret").isNotNull()).select(
+    return rows.filter(F.col("ret").isNotNull()).select(
         "ticker",
         "day_idx",
         "n_days",
         "ret",
         F.explode(F.array_compact(F.array(own, ahead))).alias("block"),
-        F.pmod(F.xxhash64("ticker"), F.lit(groups)).alias("part"),
+        F.pmod(F.xxhash64("ticker"), F.lit(groups)).cast("int").alias("part"),
     )
-    transform = _standardised if standardise else _centred
-    grams = spread.groupBy("block", "part").applyInPandas(_block_grams(width, transform), _GRAM)
+
+
+def window_gram(rows: DataFrame, width: int, transform: str, groups: int) -> DataFrame:
+    """Per day: number of series, vector sum and packed upper Gram matrix of their windows.
+
+    `rows`: (ticker, day_idx, n_days, ret); an absent day counts as return 0.
+    """
+    blocks = _blocked(rows, width, groups).groupBy("block", "part")
+    grams = blocks.applyInPandas(_block_grams(width, TRANSFORMS[transform]), _GRAM)
     if groups > 1:
         # Merge in two steps so that one task never reads all partials of a day.
         step = grams.withColumn("_k", F.pmod(F.spark_partition_id(), F.lit(64)))
@@ -112,6 +148,27 @@ def window_gram(
     return grams
 
 
+def window_products(
+    rows: DataFrame, directions: DataFrame, width: int, transform: str, groups: int
+) -> DataFrame:
+    """(ticker, day_idx, k, value): product of every series' window with the day's k-th vector.
+
+    `directions`: (day_idx, directions array<array<double>>), a day-level table that is sent
+    to each asset group.
+    """
+    targeted = directions.select(
+        F.floor(F.col("day_idx") / DAYS_PER_BLOCK).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"),
+        "day_idx",
+        "directions",
+    )
+    blocks = _blocked(rows, width, groups).groupBy("block", "part")
+    return blocks.cogroup(targeted.groupBy("block", "part")).applyInPandas(
+        _block_products(width, TRANSFORMS[transform]),
+        "ticker string, day_idx int, k int, value double",
+    )
+
+
 def unpack(packed: np.ndarray, width: int) -> np.ndarray:
     full = np.zeros((width, width))
     upper = np.triu_indices(width)

@@ -10,8 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantpanel.config import CASH
-from quantpanel.functions.columns import by_ticker, dot, ratio, trailing
-from quantpanel.operators.gram import ridge_solutions, window_gram
+from quantpanel.functions.columns import by_ticker, ratio
+from quantpanel.operators.gram import (
+    group_count,
+    ridge_solutions,
+    window_gram,
+    window_products,
+)
 
 
 def normalise(rows: DataFrame, keys: list[str], column: str = "w") -> DataFrame:
@@ -52,23 +57,16 @@ def minimum_variance(returns: DataFrame, width: int = 60, ridge: float = 1e-6) -
     the N x N inverse, and the weights are dot products next to the data. Days with fewer than
     two usable rows are equally weighted.
     """
-    frame = trailing(by_ticker(order="day_idx"), width)
-    rows = returns.filter(F.col("day_idx") >= 1).select(
-        "date",
-        "day_idx",
-        "ticker",
-        F.avg("ret").over(frame).alias("_mean"),
-        F.collect_list("ret").over(frame).alias("_rets"),
-    )
-    centred = F.transform("_rets", lambda x: x - F.col("_mean"))
-    padded = F.concat(centred, F.array_repeat(F.lit(0.0), F.lit(width) - F.size("_rets")))
-    vectors = rows.select("date", "day_idx", "ticker", padded.alias("vec"))
     n_days = returns.agg(F.max("day_idx") + 1).scalar()
     observed = returns.filter(F.col("day_idx") >= 1).withColumn("n_days", n_days)
-    solutions = ridge_solutions(window_gram(observed, width, standardise=False), width, ridge)
-    raw = vectors.join(solutions, "day_idx").select(
-        "date", "ticker", (1 - dot(F.col("vec"), F.col("y"))).alias("w")
+    groups = group_count(returns)
+    grams = window_gram(observed, width, "centred", groups)
+    vectors = ridge_solutions(grams, width, ridge).select(
+        "day_idx", F.array("y").alias("directions")
     )
+    products = window_products(observed, vectors, width, "centred", groups)
+    days = returns.select("date", "day_idx").distinct()
+    raw = products.join(days, "day_idx").select("date", "ticker", (1 - F.col("value")).alias("w"))
     first = returns.filter(F.col("day_idx") == 0).select("date", "ticker", F.lit(1.0).alias("w"))
     clipped = raw.unionByName(first).withColumn("w", F.greatest("w", F.lit(0.0)))
     return normalise(clipped, ["date"])

@@ -318,6 +318,6 @@ def _f28(spark, sf):
     prices = p1(spark, sf)
     calendar = calendar_of(prices)
     observed = cf.observed_returns(prices, calendar)
-    loadings = cf.pca_loadings(observed, cf.return_grid(prices, calendar), 20)
+    loadings = cf.pca_loadings(observed, 20)
     days = calendar.select("day_idx", F.col("date").alias("asof_date"))
     return rounded(loadings.join(days, "day_idx").drop("day_idx"))

@@ -125,7 +125,8 @@ def _l07(spark, sf):
 
 @query("L08_minimum_variance")
 def _l08(spark, sf):
-    return rounded(portfolios.minimum_variance(returns.returns_filled(p2(spark, sf))))
+    daily = materialise(returns.returns_filled(p2(spark, sf)))
+    return rounded(portfolios.minimum_variance(daily))
 
 
 @query(

@@ -51,10 +51,7 @@ def test_mean_pairwise_correlation(spark, prices):
 
 @pytest.mark.parametrize("per_group", [2048, 2])
 def test_pca_ratios(spark, prices, per_group, monkeypatch):
-    real = gram.window_gram
-    monkeypatch.setattr(
-        cf, "window_gram", lambda rows, width, standardise: real(rows, width, standardise, per_group)
-    )
+    monkeypatch.setattr(gram, "TICKERS_PER_GROUP", per_group)
     frame = price_frame(spark, prices)
     table = cf.pca_ratios(cf.observed_returns(frame, calendar_of(frame)), W).collect()
     returns = row_returns(prices)
@@ -66,10 +63,11 @@ def test_pca_ratios(spark, prices, per_group, monkeypatch):
             assert row[f"pca_var_ratio_{k}_20"] == pytest.approx(eig[k], abs=1e-10)
 
 
-def test_pca_loadings_are_unit_eigenvectors(spark, prices):
+@pytest.mark.parametrize("per_group", [2048, 2])
+def test_pca_loadings_are_unit_eigenvectors(spark, prices, per_group, monkeypatch):
+    monkeypatch.setattr(gram, "TICKERS_PER_GROUP", per_group)
     frame = price_frame(spark, prices)
-    calendar = calendar_of(frame)
-    rows = cf.pca_loadings(cf.observed_returns(frame, calendar), cf.return_grid(frame, calendar), W)
+    rows = cf.pca_loadings(cf.observed_returns(frame, calendar_of(frame)), W)
     day = 40
     block = rows.filter(F.col("day_idx") == day).toPandas().pivot(index="ticker", columns="pc", values="loading")
     corr = np.corrcoef(window(row_returns(prices), day).T)
@@ -82,11 +80,7 @@ def test_pca_loadings_are_unit_eigenvectors(spark, prices):
 
 @pytest.mark.parametrize("per_group", [2048, 3])
 def test_minimum_variance(spark, per_group, monkeypatch):
-    from quantpanel.operators import portfolios
-
-    monkeypatch.setattr(
-        portfolios, "window_gram", lambda rows, width, standardise: gram.window_gram(rows, width, standardise, per_group)
-    )
+    monkeypatch.setattr(gram, "TICKERS_PER_GROUP", per_group)
     returns = np.random.default_rng(2).normal(0, 0.02, (80, 7))
     returns[0] = 0
     got = matrix_of(minimum_variance(long_frame(spark, returns, "ret"), 60), "w")
