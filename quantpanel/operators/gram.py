@@ -73,7 +73,7 @@ def _block_grams(width: int, transform):
             out["n"].append(len(x))
             out["total"].append(x.sum(axis=0))
             out["gram"].append((x.T @ x)[upper])
-        return pd.DataFrame(out)
+        return pd.DataFrame(out, dtype=object if not out["n"] else None)
 
     return run
 
@@ -95,7 +95,9 @@ def _block_products(width: int, transform):
                     out["day_idx"].append(np.full(len(x), day))
                     out["k"].append(np.full(len(x), k))
                     out["value"].append(x @ np.asarray(direction))
-        return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in out.items()})
+        if not out["k"]:
+            return pd.DataFrame(out, dtype=object)
+        return pd.DataFrame({c: np.concatenate(v) for c, v in out.items()})
 
     return run
 
