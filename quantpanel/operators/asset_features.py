@@ -22,6 +22,7 @@ from quantpanel.functions.columns import (
     trailing,
     when_full,
 )
+from quantpanel.operators.grid import day_table
 
 STATE_COLUMNS = ("prev_live_weight", "prev_target_weight", "delta_from_prev_target")
 
@@ -143,7 +144,7 @@ def market_beta_corr(prices: DataFrame, cfg: FeatureConfig = FeatureConfig()) ->
     Every window pairs the asset's returns with the market returns of the same dates.
     """
     rets = returns_rowlag(prices.select("date", "ticker", "adj_close"))
-    rows = rets.join(equal_weight_return(rets), "date")
+    rows = rets.join(day_table(equal_weight_return(rets)), "date")
     own, market = F.col("simple_ret"), F.col("eqw_ret")
 
     def over(w: int, expression: Column) -> Column:

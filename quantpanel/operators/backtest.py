@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from quantpanel.config import DEFAULT_ADV, CostConfig, ExecutionConfig
 from quantpanel.functions.columns import clip, spread_bps
 from quantpanel.functions.storage import materialise
+from quantpanel.operators.grid import day_table
 
 PATH_DAY = ["path_id", "date"]
-MAX_PATH_ROWS = 4_000_000
+MAX_PATH_ROWS = 1_000_000
 TICKERS_PER_BLOCK = 256
 
 
@@ -43,7 +44,7 @@ def execute(
     )
     traded = F.col("_l1") >= cfg.rebalance_band
     moved = F.when(F.col("_total") > 0, F.try_divide("_moved", "_total")).otherwise(F.col("_moved"))
-    return rows.join(totals, keys).select(
+    return rows.join(day_table(totals, keys), keys).select(
         *keys,
         "ticker",
         "live",
@@ -59,7 +60,7 @@ def drift(weights: DataFrame, returns: DataFrame, keys: list[str]) -> DataFrame:
     grown = rows.withColumn("_g", F.col("w") * (1 + F.col("ret")))
     totals = grown.groupBy(*keys).agg(F.sum("_g").alias("_total"))
     after = F.when(F.col("_total") > 0, F.try_divide("_g", "_total")).otherwise(F.col("w"))
-    return grown.join(totals, keys).withColumn("w", after).drop("_g", "_total", "ret")
+    return grown.join(day_table(totals, keys), keys).withColumn("w", after).drop("_g", "_total", "ret")
 
 
 # --- accounting -----------------------------------------------------------------------

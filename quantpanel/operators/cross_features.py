@@ -25,7 +25,7 @@ from quantpanel.operators.gram import (
     window_gram,
     window_products,
 )
-from quantpanel.operators.grid import calendar_of, dense_grid
+from quantpanel.operators.grid import calendar_of, day_table, dense_grid
 from quantpanel.operators.market_features import outer_join_blocks
 from quantpanel.operators.ranks import rank_in_group
 
@@ -42,7 +42,7 @@ def observed_returns(prices: DataFrame, calendar: DataFrame) -> DataFrame:
     """Sparse (ticker, day_idx, n_days, ret): only the days on which the ticker has a row."""
     rets = returns_rowlag(prices.select("date", "ticker", "adj_close"))
     days = calendar.select("date", "day_idx", "n_days")
-    return rets.join(days, "date").select(
+    return rets.join(day_table(days), "date").select(
         "ticker", "day_idx", "n_days", F.col("simple_ret").alias("ret")
     )
 
@@ -127,7 +127,8 @@ def pca_loadings(observed: DataFrame, width: int, k: int = 3) -> DataFrame:
         F.min_by("raw", F.struct(-F.round(F.abs("raw"), 9), "ticker")).alias("_top")
     )
     signed = F.col("raw") * F.when(F.col("_top") < 0, -1.0).otherwise(1.0)
-    return raw.join(largest, ["day_idx", "pc"]).select(
+    # k rows per day.
+    return raw.join(F.broadcast(largest), ["day_idx", "pc"]).select(
         "day_idx", "ticker", "pc", signed.alias("loading")
     )
 
@@ -145,7 +146,7 @@ def breadth(grid: DataFrame, width: int = 20, group_rows: int | None = None) ->
     sizes = rows.groupBy("day_idx").agg(F.count("*").alias("n"))
     ranked = rank_in_group(
         rows, ["day_idx"], [F.desc("cum"), "ticker"], "r", group_rows=group_rows
-    ).join(sizes, "day_idx")
+    ).join(day_table(sizes, "day_idx"), "day_idx")
     quarter = F.greatest(F.lit(1), F.floor(F.col("n") / 4))
     means = ranked.groupBy("day_idx").agg(
         F.max("n").alias("n"),

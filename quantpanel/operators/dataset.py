@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quantpanel.config import ACTIVE_WEIGHT
 from quantpanel.functions.columns import clip, fit_weights, null_count, parse_weights
+from quantpanel.operators.grid import day_table
 from quantpanel.operators.market_features import outer_join_blocks
 from quantpanel.operators.splits import assign_split
 from quantpanel.operators.stats import column_medians
@@ -105,7 +106,7 @@ def feature_table(
     table = scaffold(base, universe).join(base, KEYS, "left")
     for shared in (market, cross):
         if shared is not None:
-            table = table.join(shared, "asof_date", "left")
+            table = table.join(day_table(shared, "asof_date"), "asof_date", "left")
     table = table.join(state, KEYS, "left")
     return table.withColumn("missing_feature_count", null_count(feature_columns(table)))
 
@@ -142,7 +143,7 @@ def resolve_prediction_dates(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     """Fill a missing prediction date with the next calendar day; drop what stays open."""
     nexts = calendar.select(F.col("date").alias("asof_date"), F.col("next_date").alias("_next"))
     return (
-        rows.join(nexts, "asof_date", "left")
+        rows.join(day_table(nexts, "asof_date"), "asof_date", "left")
         .withColumn("prediction_date", F.coalesce("prediction_date", "_next"))
         .drop("_next")
         .filter(F.col("prediction_date").isNotNull())
@@ -218,7 +219,7 @@ def utility_dataset(candidates: DataFrame, shared: DataFrame) -> DataFrame:
     concentration_hhi, ...).
     """
     names = [c for c in shared.columns if c != "asof_date"]
-    rows = candidates.join(shared, "asof_date", "left")
+    rows = candidates.join(day_table(shared, "asof_date"), "asof_date", "left")
     zero = {
         c: F.coalesce(c, F.lit(0.0)) for c in (*names, "turnover", "est_cost", "concentration_hhi")
     }

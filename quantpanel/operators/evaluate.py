@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quantpanel.config import BUILTIN_PROFILES, ExecutionConfig, StrategyProfile
 from quantpanel.functions.columns import ratio
 from quantpanel.operators import portfolios
+from quantpanel.operators.grid import day_table
 from quantpanel.operators.ranks import average_rank, rank_in_group
 from quantpanel.operators.returns import vol20_pop
 from quantpanel.operators.stats import group_median
@@ -156,7 +157,7 @@ def regime_days(vix: DataFrame) -> DataFrame:
 
 def regime_signals(signals: DataFrame, vix: DataFrame) -> DataFrame:
     """One path per signal path and regime, over the days of that regime only."""
-    return _relabelled(signals.join(regime_days(vix), "date"), "regime")
+    return _relabelled(signals.join(day_table(regime_days(vix)), "date"), "regime")
 
 
 def half_signals(signals: DataFrame) -> DataFrame:
@@ -177,7 +178,7 @@ def _relabelled(signals: DataFrame, label: str) -> DataFrame:
 
 def regime_attribution(daily: DataFrame, vix: DataFrame) -> DataFrame:
     """Mean and total net return of full paths by regime of the day."""
-    rows = daily.join(regime_days(vix), "date")
+    rows = daily.join(day_table(regime_days(vix)), "date")
     return rows.groupBy("path_id", "regime").agg(
         F.count("*").alias("n_days"),
         F.avg("net").alias("mean_net"),

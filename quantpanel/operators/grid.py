@@ -4,11 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from quantpanel.config import CASH
 from quantpanel.functions.columns import by_ticker
 
 
+DAY_KEYS = ("date", "asof_date", "day_idx")
+
+
+def day_table(table: DataFrame, keys: list[str] | str = "date") -> DataFrame:
+    """Mark a table with one row (or a few) per calendar day for broadcast.
+
+    The key proves the bound: a century has 36,525 days. Joining such a table by shuffle would
+    move the large side by date, and one date may hold a large part of it. Tables with any
+    other key are left to the planner.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if len(keys) != 1 or keys[0] not in DAY_KEYS:
+        return table
+    kind = table.schema[keys[0]].dataType
+    if keys[0] != "day_idx" and not isinstance(kind, DateType):
+        return table
+    return F.broadcast(table)
+
+
 def calendar_of(panel: DataFrame, date_col: str = "date") -> DataFrame:
     """(date, day_idx, n_days, next_date): one row per distinct date.
 
@@ -39,7 +59,7 @@ def dense_grid(panel: DataFrame, values: list[str], calendar: DataFrame) -> Data
     window = by_ticker(order="day_idx")
     spans = (
         panel.select("date", "ticker", *values)
-        .join(calendar.select("date", "day_idx", "n_days"), "date")
+        .join(day_table(calendar.select("date", "day_idx", "n_days")), "date")
         .withColumn("_next", F.coalesce(F.lead("day_idx").over(window), F.col("n_days")))
         .withColumn("_first", F.row_number().over(window) == 1)
     )
@@ -56,7 +76,7 @@ def dense_grid(panel: DataFrame, values: list[str], calendar: DataFrame) -> Data
 
 
 def with_dates(grid: DataFrame, calendar: DataFrame) -> DataFrame:
-    return grid.join(calendar.select("day_idx", "date"), "day_idx")
+    return grid.join(day_table(calendar.select("day_idx", "date"), "day_idx"), "day_idx")
 
 
 def cash_rows(calendar: DataFrame, cash: str = CASH) -> DataFrame:

@@ -1,8 +1,8 @@
 """Joins that only see what was known at a moment.
 
 A key may own a large part of all facts, so no step orders all facts of a key in one task:
-facts are reduced to one row per key and day with a combinable aggregate, and only those day
-rows are ordered by key.
+facts are reduced to one row per key and stretch of time (a day, or ten minutes for the as-of
+join) with a combinable aggregate, and only those rows are ordered by key.
 """
 
 from __future__ import annotations
@@ -10,49 +10,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantpanel.operators.grid import calendar_of
+from quantpanel.operators.grid import calendar_of, day_table
 
 
 def _order(ts: str, seq: str) -> Column:
     return F.struct(ts, seq)
 
 
+def _bucket(df: DataFrame, ts: str) -> Column:
+    """Number of the ten-minute stretch of a moment, increasing in time."""
+    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
+        minutes = F.hour(ts) * 6 + F.floor(F.minute(ts) / 10)
+        return (F.unix_date(F.to_date(ts)) * 144 + minutes).cast("long")
+    return F.floor(F.unix_timestamp(ts) / 600).cast("long")
+
+
 def asof_join(
     left: DataFrame, right: DataFrame, key: str, ts: str, values: list[str], seq: str
 ) -> DataFrame:
     """Each left row with the values of the latest right row of the key with ts <= left ts.
 
     Both sides have `key` and `ts`; `seq` orders right rows of the same moment. Left rows
-    without an earlier fact keep nulls. Within a day the two sides are merged in time order;
-    what a day starts with comes from the per-day table.
+    without an earlier fact keep nulls. Time is cut into ten-minute stretches: inside one the
+    two sides are merged in time order, and what a stretch starts with comes from a table with
+    one row per key and stretch.
     """
     packed = F.struct(*values)
-    facts = right.select(key, ts, seq, packed.alias("_v")).withColumn("_day", F.to_date(ts))
-    daily = facts.groupBy(key, "_day").agg(F.max_by("_v", _order(ts, seq)).alias("_last"))
-    asked = left.withColumn("_day", F.to_date(ts))
-    before = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = asked.select(key, "_day").distinct().join(daily, [key, "_day"], "full")
-    carry = days.select(
-        key, "_day", F.last("_last", ignorenulls=True).over(before).alias("_carry")
+    facts = right.select(key, ts, seq, packed.alias("_v"), _bucket(right, ts).alias("_slot"))
+    lasts = facts.groupBy(key, "_slot").agg(F.max_by("_v", _order(ts, seq)).alias("_last"))
+    asked = left.select(
+        F.struct(*left.columns).alias("_l"), key, ts, _bucket(left, ts).alias("_slot")
     )
-    none = F.lit(None)
-    rows = asked.select(F.struct(*left.columns).alias("_l"), key, ts, "_day").select(
-        "*", none.cast(facts.schema[seq].dataType).alias("_seq"), none.cast(facts.schema["_v"].dataType).alias("_v")
+    before = Window.partitionBy(key).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = asked.select(key, "_slot").distinct().join(lasts, [key, "_slot"], "full")
+    carry = slots.select(
+        key, "_slot", F.last("_last", ignorenulls=True).over(before).alias("_carry")
     )
-    merged = rows.unionByName(
+    columns = [key, ts, "_slot"]
+    merged = asked.select(
+        *columns,
+        "_l",
+        F.lit(None).cast(facts.schema[seq].dataType).alias("_seq"),
+        F.lit(None).cast(facts.schema["_v"].dataType).alias("_v"),
+    ).unionByName(
         facts.select(
-            none.cast(rows.schema["_l"].dataType).alias("_l"), key, ts, "_day",
-            F.col(seq).alias("_seq"), "_v",
+            *columns,
+            F.lit(None).cast(asked.schema["_l"].dataType).alias("_l"),
+            F.col(seq).alias("_seq"),
+            "_v",
         )
     )
     # At the same moment facts come first, so that a left row sees them.
     inside = (
-        Window.partitionBy(key, "_day")
+        Window.partitionBy(key, "_slot")
         .orderBy(ts, F.col("_l").isNotNull(), "_seq")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     seen = merged.withColumn("_seen", F.last("_v", ignorenulls=True).over(inside))
-    out = seen.filter(F.col("_l").isNotNull()).join(carry, [key, "_day"], "left")
+    out = seen.filter(F.col("_l").isNotNull()).join(carry, [key, "_slot"], "left")
     return out.withColumn("_v", F.coalesce("_seen", "_carry")).select("_l.*", "_v.*")
 
 
@@ -75,7 +90,8 @@ def known_by_cutoff(facts: DataFrame, calendar: DataFrame, ts: str) -> DataFrame
     # Each cutoff answers for its own day and for the days since the cutoff before it.
     first = F.coalesce(F.date_add("_prev_day", 1), F.date_sub("_cut_day", 3660))
     lookup = cuts.withColumn("_fact_day", F.explode(F.sequence(first, F.col("_cut_day"))))
-    rows = facts.withColumn("_fact_day", F.to_date(ts)).join(lookup, "_fact_day")
+    # One row per calendar day, so the facts themselves are not moved.
+    rows = facts.withColumn("_fact_day", F.to_date(ts)).join(F.broadcast(lookup), "_fact_day")
     late = F.col(ts) > F.col("cutoff")
     return (
         rows.withColumn("_idx", F.when(late, F.col("day_idx") + 1).otherwise(F.col("day_idx")))
@@ -96,7 +112,7 @@ def point_in_time(
     )
     filled = _carry_forward(daily, calendar, key)
     days = calendar.select("day_idx", "date")
-    return filled.join(days, "day_idx").select(key, "date", "_v.*")
+    return filled.join(day_table(days, "day_idx"), "day_idx").select(key, "date", "_v.*")
 
 
 def _carry_forward(daily: DataFrame, calendar: DataFrame, key: str) -> DataFrame:
@@ -127,7 +143,8 @@ def filing_features(
         for name, form in forms.items()
     ]
     daily = known.groupBy(key, "day_idx").agg(F.count("*").alias("_n"), *latest)
-    dense = _carry_forward(daily, calendar, key).join(calendar.select("day_idx", "date"), "day_idx")
+    days_of = day_table(calendar.select("day_idx", "date"), "day_idx")
+    dense = _carry_forward(daily, calendar, key).join(days_of, "day_idx")
     so_far = Window.partitionBy(key).orderBy("day_idx").rowsBetween(Window.unboundedPreceding, 0)
     year = Window.partitionBy(key).orderBy(F.unix_date("date")).rangeBetween(-(days - 1), 0)
     fresh = F.when(F.col("day_idx") == F.col("_own_day"), F.col("_n")).otherwise(0)

@@ -17,6 +17,7 @@ from quantpanel.operators.gram import (
     window_gram,
     window_products,
 )
+from quantpanel.operators.grid import day_table
 
 
 def normalise(rows: DataFrame, keys: list[str], column: str = "w") -> DataFrame:
@@ -24,7 +25,7 @@ def normalise(rows: DataFrame, keys: list[str], column: str = "w") -> DataFrame:
     totals = rows.groupBy(*keys).agg(F.sum(column).alias("_total"), F.count("*").alias("_n"))
     scaled = F.when(F.col("_total") > 0, ratio(F.col(column), F.col("_total")))
     return (
-        rows.join(totals, keys)
+        rows.join(day_table(totals, keys), keys)
         .withColumn(column, F.coalesce(scaled, 1 / F.col("_n")))
         .drop("_total", "_n")
     )
@@ -66,7 +67,7 @@ def minimum_variance(returns: DataFrame, width: int = 60, ridge: float = 1e-6) -
     )
     products = window_products(observed, vectors, width, "centred", groups)
     days = returns.select("date", "day_idx").distinct()
-    raw = products.join(days, "day_idx").select("date", "ticker", (1 - F.col("value")).alias("w"))
+    raw = products.join(day_table(days, "day_idx"), "day_idx").select("date", "ticker", (1 - F.col("value")).alias("w"))
     first = returns.filter(F.col("day_idx") == 0).select("date", "ticker", F.lit(1.0).alias("w"))
     clipped = raw.unionByName(first).withColumn("w", F.greatest("w", F.lit(0.0)))
     return normalise(clipped, ["date"])
@@ -90,6 +91,6 @@ def teacher_replay(scaffold: DataFrame, hard: DataFrame) -> DataFrame:
     window = by_ticker().rowsBetween(Window.unboundedPreceding, 0)
     carried = rows.withColumn("_hard", F.last("_hard", ignorenulls=True).over(window))
     sizes = rows.groupBy("date").agg(F.count("*").alias("_n"))
-    return carried.join(sizes, "date").select(
+    return carried.join(day_table(sizes), "date").select(
         "date", "ticker", F.coalesce("_hard", 1 / F.col("_n")).alias("w")
     )

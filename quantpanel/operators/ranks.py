@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantpanel.functions.storage import materialise
+from quantpanel.operators.grid import day_table
 
 WINDOW_ROWS = 1_000_000
 _OFFSET_MASK = (1 << 33) - 1
@@ -66,7 +67,7 @@ def rank_in_group(
 def scaled_rank(df: DataFrame, keys: list[str], order: list, name: str, **kwargs) -> DataFrame:
     """Ordinal rank divided by (group size - 1); 0 for groups of one."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    ranked = rank_in_group(df, keys, order, "_rank", **kwargs).join(sizes, keys)
+    ranked = rank_in_group(df, keys, order, "_rank", **kwargs).join(day_table(sizes, keys), keys)
     scaled = F.when(F.col("_n") > 1, F.col("_rank") / (F.col("_n") - 1)).otherwise(F.lit(0.0))
     return ranked.withColumn(name, scaled).drop("_rank", "_n")
 

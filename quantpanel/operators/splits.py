@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantpanel.config import TRADING_DAYS_PER_YEAR, SplitConfig
+from quantpanel.operators.grid import day_table
 
 FOLD_PATTERN = r"^(walkforward_\d+)_(.*)$"
 
@@ -66,6 +67,12 @@ def static_splits(
     return _with_dates(rows, calendar)
 
 
+def inverted_splits(calendar: DataFrame, cfg: SplitConfig = SplitConfig()) -> DataFrame:
+    """The splits that `static_splits` drops because the purge inverts them."""
+    rows = static_splits(calendar, cfg, drop_inverted=False)
+    return rows.filter(F.col("start_date") > F.col("end_date"))
+
+
 def walkforward_splits(calendar: DataFrame, cfg: SplitConfig = SplitConfig()) -> DataFrame:
     """Folds that step forward by the test length."""
     year = TRADING_DAYS_PER_YEAR
@@ -111,7 +118,7 @@ def split_days(splits: DataFrame) -> DataFrame:
 def assign_split(rows: DataFrame, splits: DataFrame, date_col: str = "asof_date") -> DataFrame:
     """Rows tagged with the split that contains their date; others are left out."""
     lookup = split_days(splits).withColumnRenamed("date", date_col)
-    return rows.join(lookup, date_col)
+    return rows.join(day_table(lookup, date_col), date_col)
 
 
 def with_fold(splits: DataFrame) -> DataFrame:

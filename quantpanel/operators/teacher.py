@@ -20,6 +20,7 @@ from quantpanel.config import (
     ObjectiveConfig,
 )
 from quantpanel.functions.columns import array_sum, by_ticker, trade_cost_bps
+from quantpanel.operators.grid import day_table
 from quantpanel.operators.portfolios import normalise
 
 CAND = ["date", "cand_id"]
@@ -84,7 +85,7 @@ def score_candidates(
         sums.withColumn("_daily", daily)
         .withColumn("horizon_h", F.explode(F.array_compact(F.array(*full))))
         .withColumn("_port", F.slice("_daily", 1, F.col("horizon_h")))
-        .join(base, "date")
+        .join(day_table(base), "date")
     )
     if rf is None:
         rows = rows.withColumn("_rf", F.lit(0.0))
@@ -183,7 +184,7 @@ def softmax_weights(
         "_s", F.when(F.col("_m") > 0, F.col(score) / max(temperature, 1e-10))
     )
     tops = rows.groupBy(*keys).agg(F.max("_s").alias("_top"))
-    rows = rows.join(tops, keys).withColumn(
+    rows = rows.join(day_table(tops, keys), keys).withColumn(
         "_e", F.coalesce(F.exp(F.col("_s") - F.col("_top")) * F.col("_m"), F.lit(0.0))
     )
     totals = rows.groupBy(*keys).agg(F.sum("_e").alias("_total"), F.sum("_m").alias("_open"))
@@ -192,7 +193,7 @@ def softmax_weights(
         .when(F.col("_open") > 0, F.try_divide("_m", "_open"))
         .otherwise(0.0)
     )
-    return rows.join(totals, keys).withColumn("w", weight).drop(
+    return rows.join(day_table(totals, keys), keys).withColumn("w", weight).drop(
         "_m", "_s", "_top", "_e", "_total", "_open"
     )
 

@@ -130,7 +130,7 @@ def _u05(spark, sf):
     return rounded(audit.candidate_audit(_ranked(LabelInputs(spark, sf)).withColumn("cand_type", kind)))
 
 
-_WALK_PART = WALK_SQL.replace("n AS (SELECT count(*) AS n FROM cal),", "").replace("idx AS", "widx AS").replace("FROM idx", "FROM widx").replace("splits AS", "wsplits AS")
+_WALK_PART = WALK_SQL.replace("n AS (SELECT count(*) AS n FROM cal),", "").replace("idx AS", "widx AS").replace("FROM idx", "FROM widx").replace("splits AS MATERIALIZED", "wsplits AS")
 
 
 @query(

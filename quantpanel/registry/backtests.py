@@ -26,7 +26,7 @@ def _static_sql(n_train: str, n_val: str, purge: int) -> str:
   idx AS (SELECT 'train' AS split_name, 0 AS s, te AS e, least(te+{purge}, n-1) AS p FROM i
     UNION ALL SELECT 'val', te+{purge}+1, ve, least(ve+{purge}, n-1) FROM i WHERE te+{purge}+1 < n
     UNION ALL SELECT 'test', ve+{purge}+1, n-1, n-1 FROM i WHERE te+{purge}+1 < n AND ve+{purge}+1 < n),
-  splits AS (SELECT split_name, a.date AS start_date, b.date AS end_date, b.date AS purge_start, c.date AS purge_end
+  splits AS MATERIALIZED (SELECT split_name, a.date AS start_date, b.date AS end_date, b.date AS purge_start, c.date AS purge_end
     FROM idx JOIN cal a ON a.day_idx = s JOIN cal b ON b.day_idx = e JOIN cal c ON c.day_idx = p WHERE s <= e)"""
 
 
@@ -36,7 +36,7 @@ WALK_SQL = """n AS (SELECT count(*) AS n FROM cal),
   idx AS (SELECT 'walkforward_' || lpad(CAST(k AS VARCHAR), 2, '0') || '_train' AS split_name, o AS s, o+503 AS e, n FROM folds
     UNION ALL SELECT 'walkforward_' || lpad(CAST(k AS VARCHAR), 2, '0') || '_val', o+564, o+815, n FROM folds
     UNION ALL SELECT 'walkforward_' || lpad(CAST(k AS VARCHAR), 2, '0') || '_test', o+876, o+1127, n FROM folds),
-  splits AS (SELECT split_name, a.date AS start_date, b.date AS end_date, b.date AS purge_start, c.date AS purge_end
+  splits AS MATERIALIZED (SELECT split_name, a.date AS start_date, b.date AS end_date, b.date AS purge_start, c.date AS purge_end
     FROM idx JOIN cal a ON a.day_idx = s JOIN cal b ON b.day_idx = e JOIN cal c ON c.day_idx = least(e+60, n-1))"""
 
 

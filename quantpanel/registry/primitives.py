@@ -134,12 +134,17 @@ def _a07(spark, sf):
 @query(
     "A08_ingest_metadata",
     f"""WITH {P2} SELECT count(*) AS n_rows, count(DISTINCT ticker) AS n_tickers,
-      string_agg(DISTINCT ticker, ',' ORDER BY ticker) AS tickers, min(date) AS first_date, max(date) AS last_date FROM p2""",
+      min(date) AS first_date, max(date) AS last_date FROM p2""",
 )
 def _a08(spark, sf):
     return tb.ingest_metadata(p2(spark, sf))
 
 
+@query("A08_ingest_tickers", f"WITH {P2} SELECT DISTINCT ticker FROM p2")
+def _a08_tickers(spark, sf):
+    return tb.ticker_list(p2(spark, sf))
+
+
 @query(
     "A09_wide_to_long",
     f"WITH {P1} SELECT date, ticker, {r('adj_close', 'adj_close')}, {r('volume', 'volume')} FROM p1",
@@ -392,7 +397,7 @@ def _c05(spark, sf):
 
 @query(
     "C06_interval_join",
-    f"""WITH {P2}, {cal('p2')}, {STATIC}, d AS (SELECT split_name, date FROM cal JOIN splits ON date BETWEEN start_date AND end_date)
+    f"""WITH {P2}, {cal('p2')}, {STATIC}, d AS MATERIALIZED (SELECT split_name, date FROM cal JOIN splits ON date BETWEEN start_date AND end_date)
       SELECT split_name, date AS asof_date, ticker FROM p2 JOIN d USING (date)""",
 )
 def _c06(spark, sf):

@@ -92,22 +92,23 @@ def deduplicate(rows: DataFrame, keys: list[str], sequence: str) -> DataFrame:
 
 
 def ingest_metadata(prices: DataFrame) -> DataFrame:
-    """One row: counts, ticker list and date range of a price table.
-
-    The list is built from the distinct tickers, so only they reach the final task.
-    """
+    """One row: number of rows and tickers and the date range of a price table."""
     per_ticker = prices.groupBy("ticker").agg(
         F.count("*").alias("n"), F.min("date").alias("lo"), F.max("date").alias("hi")
     )
     return per_ticker.agg(
         F.sum("n").alias("n_rows"),
         F.count("*").alias("n_tickers"),
-        F.array_join(F.sort_array(F.collect_list("ticker")), ",").alias("tickers"),
         F.min("lo").alias("first_date"),
         F.max("hi").alias("last_date"),
     )
 
 
+def ticker_list(prices: DataFrame) -> DataFrame:
+    """The tickers of a price table in order; a table, because the list grows with the data."""
+    return prices.select("ticker").distinct().orderBy("ticker")
+
+
 def wide_to_long(wide: DataFrame, separator: str = "|") -> DataFrame:
     """(date, `<ticker>|<field>` columns) to (date, ticker, one column per field)."""
     names = [c for c in wide.columns if c != "date"]
