@@ -80,21 +80,30 @@ def ordering_correlation(rows: DataFrame, left: str, right: str, keys: list[str]
 
 
 # --- baselines and scenarios ----------------------------------------------------------
+BASELINES = (
+    "equal_weight", "previous_hold", "inverse_volatility", "min_variance", "teacher_replay",
+)
+
+
 def baseline_signals(
-    scaffold: DataFrame, returns: DataFrame, hard: DataFrame, vol: DataFrame | None = None
+    scaffold: DataFrame,
+    returns: DataFrame,
+    hard: DataFrame,
+    vol: DataFrame | None = None,
+    names: tuple[str, ...] = BASELINES,
 ) -> DataFrame:
-    """Signals of the five rule-based strategies under one path id each."""
+    """Signals of the rule-based strategies under one path id each."""
     vol = vol20_pop(scaffold) if vol is None else vol
-    named = {
-        "equal_weight": portfolios.equal_weight(scaffold),
-        "previous_hold": portfolios.previous_hold(returns),
-        "inverse_volatility": portfolios.inverse_volatility(scaffold, vol),
-        "min_variance": portfolios.minimum_variance(returns),
-        "teacher_replay": portfolios.teacher_replay(scaffold, hard),
+    build = {
+        "equal_weight": lambda: portfolios.equal_weight(scaffold),
+        "previous_hold": lambda: portfolios.previous_hold(returns),
+        "inverse_volatility": lambda: portfolios.inverse_volatility(scaffold, vol),
+        "min_variance": lambda: portfolios.minimum_variance(returns),
+        "teacher_replay": lambda: portfolios.teacher_replay(scaffold, hard),
     }
     out = None
-    for name, rows in named.items():
-        rows = rows.select(F.lit(name).alias("path_id"), "date", "ticker", "w")
+    for name in names:
+        rows = build[name]().select(F.lit(name).alias("path_id"), "date", "ticker", "w")
         out = rows if out is None else out.unionByName(rows)
     return out
 

@@ -248,6 +248,34 @@ def _p06(spark, sf):
     return rounded(mt.portfolio_metrics(bt.backtest_banded(signals, inputs.filled)[0]))
 
 
+RULE_PATHS = f"""{BASE}, {cand_sql(2)}, vl AS (SELECT date, ticker, CASE WHEN day_idx >= 20 THEN stddev_pop(ret) OVER (PARTITION BY ticker
+    ORDER BY day_idx ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) * sqrt(252.0) END AS v FROM gz),
+  hold AS (SELECT date, ticker, coalesce(exp(sum(ln(1 + ret)) OVER (PARTITION BY ticker ORDER BY date
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1.0) AS g FROM gf),
+  sig AS (SELECT 'equal_weight' AS path_id, date, ticker, 1.0 / count(*) OVER (PARTITION BY date) AS w FROM gz
+    UNION ALL SELECT 'previous_hold', date, ticker, g / sum(g) OVER (PARTITION BY date) FROM hold
+    UNION ALL SELECT 'inverse_volatility', date, ticker, i / sum(i) OVER (PARTITION BY date) FROM
+      (SELECT date, ticker, 1.0 / greatest(coalesce(v, 1.0), 1e-8) AS i FROM vl)
+    UNION ALL SELECT 'teacher_replay', date, ticker, w FROM cand WHERE cand_id = 1),
+  paths AS (SELECT path_id, day_idx, 0.005::DOUBLE AS band, 0.5::DOUBLE AS alpha, 1.0::DOUBLE AS cost_scale,
+    list(w ORDER BY asset_idx) AS t, list(1 + ret ORDER BY asset_idx) AS g
+    FROM sig JOIN gf USING (date, ticker) JOIN uni USING (ticker) GROUP BY 1, 2)"""
+
+
+@query(
+    "P06_rule_baselines",
+    f"""WITH RECURSIVE {RULE_PATHS}, {banded_sql('paths')}, {BANDED_DAILY}, {metric_sql()}
+    SELECT path_id, {METRIC_SELECT} FROM metrics""",
+)
+def _p06_rules(spark, sf):
+    """The baselines that SQL can express (all but the minimum-variance portfolio)."""
+    inputs = LabelInputs(spark, sf)
+    hard = inputs.candidates.filter(F.col("cand_id") == 1)
+    names = tuple(n for n in ev.BASELINES if n != "min_variance")
+    signals = ev.baseline_signals(inputs.returns, inputs.filled, hard, names=names)
+    return rounded(mt.portfolio_metrics(bt.backtest_banded(signals, inputs.filled)[0]))
+
+
 def _banded_metrics(inputs, scenarios, signals=None):
     signals = inputs.signals(3) if signals is None else signals
     paths = bt.scenario_signals(signals, scenarios)

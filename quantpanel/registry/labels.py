@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quantpanel.config import BUILTIN_PROFILES, CandidateConfig
+from quantpanel.config import CandidateConfig, UniverseConfig
 from quantpanel.functions.storage import materialise
 from quantpanel.operators import candidates as cd
 from quantpanel.operators import costs, portfolios, returns, teacher
@@ -19,6 +19,7 @@ from quantpanel.registry.fixtures import (
     cost_sql,
     spread_sql,
 )
+from quantpanel.sources import panels
 
 HORIZONS = (5, 20, 60)
 
@@ -188,7 +189,33 @@ def _l12(spark, sf):
     return _weight_columns(cd.perturbed_candidates(_seed_vectors(LabelInputs(spark, sf), 5), SMALL_SEARCH))
 
 
-@query("L13_project_weights")
+def _projection_sql(rounds: int = 10) -> str:
+    """The capped projection of the fixture candidates, one subquery per round."""
+    part = "(PARTITION BY date, cand_id)"
+    steps = ["""w0 AS (SELECT date, cand_id, ticker, asset_idx, CASE WHEN ticker = 'CASH' THEN 1.0 ELSE 0.25 END AS cap, w
+      FROM cand JOIN uni USING (ticker))"""]
+    for k in range(rounds):
+        steps.append(
+            f"""a{k} AS (SELECT *, sum(greatest(w - cap, 0)) OVER {part} AS over, least(w, cap) AS c FROM w{k}),
+            b{k} AS (SELECT *, count(*) FILTER (c < cap - 1e-10) OVER {part} AS free FROM a{k}),
+            w{k + 1} AS (SELECT date, cand_id, ticker, asset_idx, cap, CASE WHEN over < 1e-10 THEN w WHEN free = 0 THEN c
+              WHEN c < cap - 1e-10 THEN c + over / free ELSE c END AS w FROM b{k})"""
+        )
+    steps.append(f"n AS (SELECT *, least(w / sum(w) OVER {part}, cap) AS v FROM w{rounds})")
+    return f"WITH {LABEL_CTE}, {', '.join(steps)} SELECT date, cand_id, asset_idx, {r(f'v / sum(v) OVER {part}', 'w')} FROM n"
+
+
+@query("L13_project_weights", _projection_sql())
+def _l13_fixture(spark, sf):
+    inputs = LabelInputs(spark, sf)
+    vectors = cd.weight_vectors(inputs.candidates, inputs.universe, ["date", "cand_id"])
+    projected = cd.project_weights(vectors, inputs.universe)
+    return rounded(
+        projected.select("date", "cand_id", F.posexplode("weights").alias("asset_idx", "w"))
+    )
+
+
+@query("L13_project_perturbed")
 def _l13(spark, sf):
     inputs = LabelInputs(spark, sf)
     noisy = cd.perturbed_candidates(_seed_vectors(inputs, 5), SMALL_SEARCH)
@@ -310,8 +337,28 @@ def _l19(spark, sf):
     return rounded(result.weights)
 
 
-def profile_rows():
-    """The built-in profiles as rows of the strategy profile table."""
-    return [
-        (p.name, p.rebalance_band, p.partial_rebalance_alpha, 1.0) for p in BUILTIN_PROFILES
-    ]
+RULES = CandidateConfig(
+    dirichlet_candidates_per_day=0,
+    local_perturbations_per_seed=0,
+    deterministic=("equal_weight", "cash_only", "inverse_vol"),
+)
+RULE_CANDIDATES = """vl AS (SELECT date, ticker, CASE WHEN day_idx >= 20 THEN stddev_pop(ret) OVER (PARTITION BY ticker
+    ORDER BY day_idx ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) * sqrt(252.0) END AS v FROM gz),
+  raw AS (SELECT date, day_idx, 0 AS cand_id, ticker, 1.0 AS x FROM gz
+    UNION ALL SELECT date, day_idx, 1, ticker, CASE WHEN ticker = 'CASH' THEN 1.0 ELSE 0.0 END FROM gz
+    UNION ALL SELECT date, day_idx, 2, ticker, 1.0 / greatest(coalesce(v, 1.0), 1e-8) FROM gz JOIN vl USING (date, ticker)),
+  cand AS (SELECT date, day_idx, cand_id, ticker, x / sum(x) OVER (PARTITION BY date, cand_id) AS w FROM raw),
+  prev AS (SELECT date, ticker, w FROM cand WHERE cand_id = 0)"""
+
+
+@query(
+    "L19_teacher_labels_rules",
+    f"""WITH {BASE}, {RULE_CANDIDATES}, {SCORES}, s AS (SELECT b.date, ticker, sum(p * w) AS soft,
+      sum(CASE WHEN rank = 0 THEN w ELSE 0 END) AS hard FROM blend b JOIN cand c USING (date, cand_id) WHERE horizon_h = 20 GROUP BY 1, 2)
+    SELECT date, ticker, {r('soft', 'soft')}, {r('hard', 'hard')} FROM s""",
+)
+def _l19_rules(spark, sf):
+    """The whole label run with rule-based candidates only, in one pass."""
+    prices = materialise(panels.prices_by_type(spark, sf))
+    result = teacher_labels(prices, search=RULES, universe_cfg=UniverseConfig(min_history_rows=1))
+    return rounded(result.weights.select("date", "ticker", "soft", "hard"))
