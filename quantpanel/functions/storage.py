@@ -23,6 +23,17 @@ def stage_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash the rows over the configured number of shuffle partitions.
+
+    Used in front of steps whose work per input byte is high (rows that grow into vectors,
+    matrix products). The explicit number keeps adaptive execution from merging the partitions
+    because the input looks small.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write the rows to a table in shared storage and read them back.
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quantpanel.config import DEFAULT_ADV, CostConfig, ExecutionConfig
 from quantpanel.functions.columns import clip, spread_bps
-from quantpanel.functions.storage import materialise
+from quantpanel.functions.storage import materialise, spread
 from quantpanel.operators.grid import day_table
 
 PATH_DAY = ["path_id", "date"]
@@ -221,7 +221,7 @@ def _run_path(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _grouped_weights(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("path_id").applyInPandas(_run_path, _WEIGHT_SCHEMA)
+    return spread(rows, "path_id").groupBy("path_id").applyInPandas(_run_path, _WEIGHT_SCHEMA)
 
 
 _PARTIAL_SCHEMA = "path_id string, date date, gap double, grown_trade double, grown_hold double"

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quantpanel.functions.storage import spread
+
 DAYS_PER_BLOCK = 64
 TICKERS_PER_GROUP = 2048
 # A series whose deviation is below this is constant and has no correlation.
@@ -125,7 +127,7 @@ def _blocked(rows: DataFrame, width: int, groups: int) -> DataFrame:
     own = F.floor(F.col("day_idx") / DAYS_PER_BLOCK).cast("int")
     feeds_next = F.col("day_idx") >= (own + 1) * DAYS_PER_BLOCK - (width - 1)
     ahead = F.when(feeds_next & ((own + 1) * DAYS_PER_BLOCK < F.col("n_days")), own + 1)
-    return rows.filter(F.col("ret").isNotNull()).select(
+    copies = rows.filter(F.col("ret").isNotNull()).select(
         "ticker",
         "day_idx",
         "n_days",
@@ -133,6 +135,7 @@ def _blocked(rows: DataFrame, width: int, groups: int) -> DataFrame:
         F.explode(F.array_compact(F.array(own, ahead))).alias("block"),
         F.pmod(F.xxhash64("ticker"), F.lit(groups)).cast("int").alias("part"),
     )
+    return spread(copies, "block", "part")
 
 
 def window_gram(rows: DataFrame, width: int, transform: str, groups: int) -> DataFrame:

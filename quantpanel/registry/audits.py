@@ -13,14 +13,13 @@ from quantpanel.operators import splits as sp
 from quantpanel.operators import teacher
 from quantpanel.operators.grid import calendar_of
 from quantpanel.registry.backtests import STATIC, WALK, WALK_SQL
-from quantpanel.registry.base import MACRO, P2, cal, query, r, rets, rounded
+from quantpanel.registry.base import MACRO, P2, cal, query, r, rounded
 from quantpanel.registry.features import ALL_SQL, FEATURES_CTE, p2
 from quantpanel.registry.fixtures import LABEL_CTE, SCORES, LabelInputs
 from quantpanel.registry.labels import _ranked
-from quantpanel.registry.market import CUTS, VIX, VIX_FEATURES, cutoff_calendar
+from quantpanel.registry.market import VIX, cutoff_calendar
 from quantpanel.registry.primitives import RAW, _raw
 from quantpanel.sources import panels
-from quantpanel.sources import tables as tb
 
 
 def _checks(section: str, source: str, rows: list[tuple[str, str, str | None]]) -> str:

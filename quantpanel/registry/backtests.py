@@ -8,10 +8,10 @@ from quantpanel.config import BUILTIN_PROFILES, ExecutionConfig, SplitConfig
 from quantpanel.operators import backtest as bt
 from quantpanel.operators import evaluate as ev
 from quantpanel.operators import metrics as mt
-from quantpanel.operators import portfolios, splits
+from quantpanel.operators import splits
 from quantpanel.operators.grid import calendar_of
-from quantpanel.registry.base import P2, cal, query, r, rnd, rounded
-from quantpanel.registry.features import p1, p2
+from quantpanel.registry.base import P2, cal, query, r, rounded
+from quantpanel.registry.features import p2
 from quantpanel.registry.fixtures import BASE, LabelInputs, cand_sql, cost_sql
 from quantpanel.sources import panels
 

@@ -13,16 +13,17 @@ from quantpanel.operators import backtest as bt
 from quantpanel.operators import dataset as ds
 from quantpanel.operators import evaluate as ev
 from quantpanel.operators import market_features as mf
-from quantpanel.operators import metrics as mt
 from quantpanel.operators import scorers as sc
 from quantpanel.operators import splits as sp
 from quantpanel.operators import teacher
+from quantpanel.operators.candidates import weight_vectors
 from quantpanel.operators.cross_features import universe_return
+from quantpanel.operators.ranks import scaled_rank
 from quantpanel.plans import research
-from quantpanel.registry.backtests import FULL, METRIC_SELECT, STATIC, WALK, daily_sql, metric_sql
-from quantpanel.registry.base import MACRO, query, r, rets, rounded
+from quantpanel.registry.backtests import FULL, STATIC, WALK, daily_sql
+from quantpanel.registry.base import MACRO, query, r, rounded
 from quantpanel.registry.features import ALL_SQL, SPECIAL
-from quantpanel.registry.fixtures import LABEL_CTE, SCORES, LabelInputs, cand_sql
+from quantpanel.registry.fixtures import LABEL_CTE, SCORES, LabelInputs
 from quantpanel.registry.market import FAC_COLS, FACTORS, VIX, VIX_COLS, VIX_FEATURES
 from quantpanel.sources import panels
 
@@ -257,19 +258,13 @@ class UtilityInputs(DatasetInputs):
         """Kept candidates with shared features, weight vector and shape columns."""
         wanted = self.scored.select("date", "cand_id")
         held = self.candidates.join(wanted, ["date", "cand_id"])
-        vectors = cd_vectors(held, self.universe)
+        vectors = weight_vectors(held, self.universe, ["date", "cand_id"])
         rows = self.scored.join(vectors, ["date", "cand_id"]).withColumnRenamed("date", "asof_date")
         factors = mf.factor_features(panels.factor_table(self.spark, self.sf_dir))
         shared = ds.shared_features(self.market, factors)
         return materialise(ds.utility_dataset(rows, shared))
 
 
-def cd_vectors(rows, universe):
-    from quantpanel.operators.candidates import weight_vectors
-
-    return weight_vectors(rows, universe, ["date", "cand_id"])
-
-
 UTIL_SHARED = (*VIX_COLS, *FAC_COLS)
 UTILITY = f"""{LABEL_CTE}, {SCORES}, {MACRO}, {VIX}, {VIX_FEATURES}, {FACTORS},
   shared AS (SELECT * FROM vixf FULL JOIN fac USING (asof_date)),
@@ -324,8 +319,6 @@ def _m03(spark, sf):
     FROM tg t JOIN uni u USING (ticker)""",
 )
 def _e18(spark, sf):
-    from quantpanel.operators.ranks import scaled_rank
-
     inputs = DatasetInputs(spark, sf)
     targets = ds.target_table(inputs.labels, inputs.universe, inputs.n_assets)
     rows = targets.join(inputs.universe.select("ticker", "asset_idx"), "ticker")

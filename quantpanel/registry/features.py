@@ -9,7 +9,7 @@ from quantpanel.operators import asset_features as af
 from quantpanel.operators import cross_features as cf
 from quantpanel.operators import market_features as mf
 from quantpanel.operators.grid import calendar_of, with_dates
-from quantpanel.registry.base import MACRO, P1, P2, cal, frame, full, grid, query, r, rets, rounded
+from quantpanel.registry.base import P1, P2, frame, full, grid, query, r, rets, rounded
 from quantpanel.sources import panels
 
 CFG = FeatureConfig()

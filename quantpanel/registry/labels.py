@@ -9,7 +9,7 @@ from quantpanel.functions.storage import materialise
 from quantpanel.operators import candidates as cd
 from quantpanel.operators import costs, portfolios, returns, teacher
 from quantpanel.plans.labels import teacher_labels
-from quantpanel.registry.base import P2, grid, query, r, rounded
+from quantpanel.registry.base import MACRO, P2, grid, query, r, rounded
 from quantpanel.registry.features import p2
 from quantpanel.registry.fixtures import (
     BASE,
@@ -84,9 +84,6 @@ def _l04(spark, sf):
     return rounded(returns.vol20_pop(returns.returns_gap_zero(p2(spark, sf), cash=False)))
 
 
-_SCAFFOLD = _grid_sql("SELECT date, ticker, 1 AS x FROM grid0")
-
-
 @query(
     "L05_equal_weight",
     _grid_sql(
@@ -141,15 +138,17 @@ def _l09(spark, sf):
 
 
 def _sparse_labels(inputs):
-    """Hard labels on every third day only, so that the replay has to carry them."""
-    rows = inputs.candidates.filter((F.col("cand_id") == 1) & (F.col("day_idx") % 3 == 1))
+    """Hard labels on the days with a volatility value only, so that the replay has to carry them."""
+    days = panels.vix_series(inputs.spark, inputs.sf_dir).select("date")
+    rows = inputs.candidates.filter(F.col("cand_id") == 1).join(days, "date", "left_semi")
     return rows.select("date", "ticker", "w")
 
 
 @query(
     "L10_teacher_replay",
-    f"""WITH {LABEL_CTE}, s AS (SELECT g.date, g.ticker, c.w FROM gz g LEFT JOIN cand c
-      ON c.date = g.date AND c.ticker = g.ticker AND c.cand_id = 1 AND c.day_idx % 3 = 1)
+    f"""WITH {LABEL_CTE}, {MACRO}, l AS (SELECT date, ticker, w FROM cand
+        WHERE cand_id = 1 AND date IN (SELECT date FROM macro WHERE series_id = '5-LOW')),
+      s AS (SELECT g.date, g.ticker, l.w FROM gz g LEFT JOIN l USING (date, ticker))
     SELECT date, ticker, {r('''coalesce(last_value(w IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1.0 / count(*) OVER (PARTITION BY date))''', 'w')} FROM s""",
 )

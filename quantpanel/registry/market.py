@@ -10,7 +10,8 @@ from quantpanel.operators import asset_features as af
 from quantpanel.operators import coverage
 from quantpanel.operators import market_features as mf
 from quantpanel.operators import point_in_time as pit
-from quantpanel.registry.base import MACRO, P2, query, r, rounded
+from quantpanel.operators.grid import calendar_of
+from quantpanel.registry.base import MACRO, query, r, rounded
 from quantpanel.registry.features import FEATURES_CTE, p2
 from quantpanel.sources import calendar as xc
 from quantpanel.sources import panels
@@ -86,8 +87,6 @@ START, END = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 
 def cutoff_calendar(spark):
     """Weekdays of the period the events cover, with their cutoffs as UTC wall-clock time."""
-    from quantpanel.operators.grid import calendar_of
-
     days = calendar_of(xc.trading_days(spark, START, END), "trade_date")
     return days.withColumn("cutoff", xc.cutoff_utc(F.col("date")))
 

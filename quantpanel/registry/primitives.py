@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quantpanel.config import UniverseConfig
 from quantpanel.functions import columns as fc
@@ -16,12 +18,19 @@ from quantpanel.operators import market_features as mf
 from quantpanel.operators import returns as rt
 from quantpanel.operators import splits as sp
 from quantpanel.operators import stats
-from quantpanel.operators.asset_features import equal_weight_return, returns_rowlag
+from quantpanel.operators.asset_features import (
+    change,
+    equal_weight_return,
+    returns_rowlag,
+    with_daily,
+)
+from quantpanel.operators.backtest import backtest_full
 from quantpanel.operators.candidates import weight_vectors
-from quantpanel.operators.grid import calendar_of
+from quantpanel.operators.cross_features import return_grid
+from quantpanel.operators.grid import calendar_of, dense_grid, with_dates
 from quantpanel.operators.metrics import cumulative
-from quantpanel.operators.point_in_time import asof_join
-from quantpanel.operators.ranks import rank_in_group
+from quantpanel.operators.ranks import average_rank, rank_in_group
+from quantpanel.operators.teacher import forward_returns, softmax_weights
 from quantpanel.registry.backtests import FULL, STATIC, daily_sql
 from quantpanel.registry.base import MACRO, P1, P2, cal, frame, full, grid, query, r, rets, rounded
 from quantpanel.registry.features import p1, p2
@@ -37,8 +46,6 @@ _P = ", ".join(r(c, c) for c in PANEL)
 
 def _round_trip(df, kind: str):
     """Write a table to the stage folder in the given form and return its path."""
-    import uuid
-
     path = f"{stage_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     if kind == "csv":
         path += ".csv"
@@ -59,8 +66,6 @@ _PRICE_FILE = f"""WITH {P2} SELECT date, ticker, {r('close', 'close')}, {r('adj_
 
 @query("A02_read_price_csv", _PRICE_FILE)
 def _a02(spark, sf):
-    from pyspark.sql import types as T
-
     names = ("date", "ticker", "close", "adj_close", "volume")
     schema = T.StructType([f for f in tb.PRICE_SCHEMA if f.name in names])
     ordered = p2(spark, sf).select(*[f.name for f in schema])
@@ -242,9 +247,6 @@ def _b05(spark, sf):
       FROM grid0 GROUP BY 1""",
 )
 def _b06(spark, sf):
-    from quantpanel.operators.cross_features import return_grid
-    from quantpanel.operators.grid import with_dates
-
     prices = p2(spark, sf)
     calendar = calendar_of(prices)
     rows = with_dates(return_grid(prices, calendar), calendar)
@@ -287,8 +289,6 @@ _LAGS = {f"ret_{k}": f"adj_close / lag(adj_close, {k}) OVER (PARTITION BY ticker
       SELECT date, ticker, {' + '.join(f'CAST({n} IS NULL AS BIGINT)' for n in _LAGS)} AS missing FROM f""",
 )
 def _b09(spark, sf):
-    from quantpanel.operators.asset_features import change
-
     rows = p2(spark, sf).select("date", "ticker", *[change("adj_close", k).alias(f"ret_{k}") for k in (1, 5, 20, 60)])
     return rounded(rows.select("date", "ticker", fc.null_count(list(_LAGS)).alias("missing")))
 
@@ -424,8 +424,6 @@ def _c09(spark, sf):
       WHERE a.day_idx + 5 < (SELECT count(*) FROM cal)""",
 )
 def _c10(spark, sf):
-    from quantpanel.operators.teacher import forward_returns
-
     rows = forward_returns(LabelInputs(spark, sf).returns, 5).filter(F.size("fwd") == 5)
     long = rows.select("date", "ticker", F.posexplode("fwd").alias("ahead", "ret"))
     return rounded(long.withColumn("ahead", F.col("ahead") + 1))
@@ -655,8 +653,6 @@ def _e11(spark, sf):
     f"""WITH {P2}, {grid('p2')} SELECT date, ticker, {r('filled', 'price')} FROM grid""",
 )
 def _e12(spark, sf):
-    from quantpanel.operators.grid import dense_grid, with_dates
-
     prices = p2(spark, sf)
     calendar = calendar_of(prices)
     rows = with_dates(dense_grid(prices, ["adj_close"], calendar), calendar)
@@ -687,8 +683,6 @@ def _e14(spark, sf):
       SELECT path_id, date, {r('cum', 'cum')}, {r('max(cum) OVER (PARTITION BY path_id ORDER BY date)', 'peak')} FROM c""",
 )
 def _e15(spark, sf):
-    from quantpanel.operators.backtest import backtest_full
-
     inputs = LabelInputs(spark, sf)
     daily = backtest_full(inputs.signals(3), inputs.filled)[0]
     return rounded(cumulative(daily, "net").select("path_id", "date", "cum", "peak"))
@@ -729,8 +723,6 @@ def _e19(spark, sf):
       SELECT date, ticker, {r('e / sum(e) OVER (PARTITION BY date)', 'w')} FROM e""",
 )
 def _e20(spark, sf):
-    from quantpanel.operators.teacher import softmax_weights
-
     rows = p2(spark, sf).select("date", "ticker", F.col("adj_close").alias("score"))
     return rounded(softmax_weights(rows, 0.5, ["date"]).select("date", "ticker", "w"))
 
@@ -740,8 +732,6 @@ def _e20(spark, sf):
     f"""WITH {P2} SELECT date, ticker, rank() OVER (PARTITION BY date ORDER BY volume) + (count(*) OVER (PARTITION BY date, volume) - 1) / 2.0 AS avg_rank FROM p2""",
 )
 def _e21(spark, sf):
-    from quantpanel.operators.ranks import average_rank
-
     rows = p2(spark, sf).select("date", "ticker", "volume")
     return average_rank(rows, ["date"], "volume", ["ticker"], "avg_rank").select("date", "ticker", "avg_rank")
 
@@ -856,8 +846,6 @@ def _h02(spark, sf):
     f"WITH {P2}, {rets('p2')} SELECT date, ticker, {r('CASE WHEN log_ret < 0 THEN log_ret ELSE 0.0 END', 'neg_ret')} FROM rets",
 )
 def _h03(spark, sf):
-    from quantpanel.operators.asset_features import with_daily
-
     return rounded(with_daily(p2(spark, sf)).select("date", "ticker", "neg_ret"))
 
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quantpanel.config import CandidateConfig, CostConfig, ObjectiveConfig, UniverseConfig
+from quantpanel.config import CandidateConfig, ObjectiveConfig, UniverseConfig
 from quantpanel.operators import candidates as cd
 from quantpanel.operators import costs, teacher
 from quantpanel.plans.labels import teacher_labels
