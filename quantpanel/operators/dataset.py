@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quantpanel.config import ACTIVE_WEIGHT
 from quantpanel.functions.columns import clip, fit_weights, null_count, parse_weights
+from quantpanel.functions.storage import materialise
 from quantpanel.operators.grid import day_table
 from quantpanel.operators.market_features import outer_join_blocks
 from quantpanel.operators.splits import assign_split
@@ -201,7 +202,8 @@ def prepare_dataset(
 ) -> tuple[DataFrame, Scaling]:
     """Rows tagged train / val / test with scaled features, target and sample weight."""
     targets = target_table(labels, universe, n_assets, target_mode)
-    tagged = assign_split(merge_targets(features, targets, calendar), splits)
+    # Stored because fitting reads it several times and the joins above it are the costly part.
+    tagged = materialise(assign_split(merge_targets(features, targets, calendar), splits))
     names = feature_columns(features)
     scaling = fit_scaling(tagged.filter(F.col("split_name") == "train"), names)
     return scale_rows(tagged, scaling), scaling
