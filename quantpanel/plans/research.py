@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantpanel.config import CostConfig, ExecutionConfig, ScorerConfig
+from quantpanel.config import CostConfig, ExecutionConfig, ScorerConfig, StrategyProfile
 from quantpanel.functions.storage import materialise
 from quantpanel.operators import dataset as ds
 from quantpanel.operators import evaluate as ev
+from quantpanel.operators import portfolios
 from quantpanel.operators import scorers as sc
 from quantpanel.operators import splits as sp
-from quantpanel.operators.backtest import backtest_banded
+from quantpanel.operators.backtest import backtest_banded, single_scenario
 from quantpanel.operators.metrics import fold_aggregate, leaderboard, portfolio_metrics
 
 
@@ -96,31 +99,76 @@ def utility_predictions(
     return model.transform(ready).withColumnRenamed("prediction", "pred").drop("features")
 
 
+def utility_signals(
+    utility: DataFrame,
+    candidates: DataFrame,
+    splits: DataFrame,
+    shared: list[str],
+    n_assets: int,
+    days: DataFrame,
+    cfg: ScorerConfig,
+    path: str = "utility_rerank",
+) -> DataFrame:
+    """The candidate with the best predicted objective of each day, as signals.
+
+    `days`: (date, prediction_date). Days without candidates are left out of the path.
+    """
+    scored = utility_predictions(utility, splits, shared, n_assets, cfg)
+    rows = scored.filter(F.col("split_name") == "test").select(
+        F.col("asof_date").alias("date"), "cand_id", "rank", "pred"
+    )
+    best = sc.best_predicted(rows).select("date", "cand_id").join(days, "date")
+    held = best.join(candidates.select("date", "cand_id", "ticker", "w"), ["date", "cand_id"])
+    return held.select(
+        F.lit(path).alias("path_id"), F.col("prediction_date").alias("date"), "ticker", "w"
+    )
+
+
 def benchmark(
     dataset: DataFrame,
     features: list[str],
     scaffold: DataFrame,
     returns: DataFrame,
     hard: DataFrame,
-    variants: dict[str, ScorerConfig],
+    variants: dict[str, tuple[ScorerConfig, StrategyProfile]],
+    extra: DataFrame | None = None,
     execution: ExecutionConfig = ExecutionConfig(),
 ) -> DataFrame:
     """Baselines and learned variants on the test days, backtested as paths of one job.
 
-    Signals formed on a date are executed on its prediction date.
+    Signals formed on a date are executed on its prediction date. A variant takes its softmax
+    temperature, band and partial-trade share from its profile; variants that share the rest
+    share one fit. `extra` holds further signals, traded like the baselines.
     """
     test = dataset.filter(F.col("split_name") == "test")
     days = test.select(F.col("asof_date").alias("date"), "prediction_date").distinct()
-    base = ev.baseline_signals(scaffold, returns, hard).filter(F.col("path_id") != "previous_hold")
-    signals = base.join(days, "date").select("path_id", F.col("prediction_date").alias("date"), "ticker", "w")
+    base = ev.baseline_signals(
+        scaffold, returns, hard, names=tuple(n for n in ev.BASELINES if n != "previous_hold")
+    )
+    signals = base.join(days, "date").select(
+        "path_id", F.col("prediction_date").alias("date"), "ticker", "w"
+    )
     # Buy and hold starts with equal weights on the first test day.
-    executed = returns.join(days.select(F.col("prediction_date").alias("date")), "date", "left_semi")
-    hold = ev.portfolios.previous_hold(executed).withColumn("path_id", F.lit("previous_hold"))
+    executed = returns.join(
+        days.select(F.col("prediction_date").alias("date")), "date", "left_semi"
+    )
+    hold = portfolios.previous_hold(executed).withColumn("path_id", F.lit("previous_hold"))
     signals = signals.unionByName(hold.select("path_id", "date", "ticker", "w"))
-    for name, cfg in variants.items():
-        scorer = sc.fit_scorer(dataset, features, cfg)
-        signals = signals.unionByName(sc.model_signals(scorer, test, name))
-    daily, _ = backtest_banded(materialise(signals), returns, execution=execution)
+    if extra is not None:
+        signals = signals.unionByName(extra)
+    signals = single_scenario(signals, execution)
+    models: dict[ScorerConfig, object] = {}
+    for name, (cfg, profile) in variants.items():
+        key = replace(cfg, temperature=1.0)
+        if key not in models:
+            models[key] = sc.fit_scorer(dataset, features, cfg).model
+        own = replace(cfg, temperature=profile.inference_temperature)
+        scorer = sc.Scorer(models[key], tuple(features), own)
+        rules = ExecutionConfig(profile.rebalance_band, profile.partial_rebalance_alpha)
+        signals = signals.unionByName(
+            single_scenario(sc.model_signals(scorer, test, name), rules)
+        )
+    daily, _ = backtest_banded(materialise(signals), returns)
     return leaderboard(portfolio_metrics(daily))
 
 

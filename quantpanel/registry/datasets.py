@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import functions as F
 
-from quantpanel.config import ScorerConfig
+from quantpanel.config import BUILTIN_PROFILES, ScorerConfig
 from quantpanel.functions.storage import materialise
 from quantpanel.operators import asset_features as af
 from quantpanel.operators import backtest as bt
@@ -498,11 +498,26 @@ def _v04(spark, sf):
 
 @query("P07_benchmark_table")
 def _p07(spark, sf):
+    """Five baselines, five learned variants and the candidate rerank."""
     inputs = UtilityInputs(spark, sf)
+    profiles = {p.name: p for p in BUILTIN_PROFILES}
+    variants = {
+        "gbm_neutral": (SMALL_TREES, profiles["neutral"]),
+        "gbm_aggressive": (SMALL_TREES, profiles["aggressive"]),
+        "gbm_conservative": (SMALL_TREES, profiles["conservative"]),
+        "rank_gbm_neutral": (RANK_TREES, profiles["neutral"]),
+        "linear_neutral": (LINEAR, profiles["neutral"]),
+    }
+    days = inputs.prepared.filter(F.col("split_name") == "test").select(
+        F.col("asof_date").alias("date"), "prediction_date"
+    ).distinct()
+    rerank = research.utility_signals(
+        inputs.utility, inputs.candidates, inputs.splits, list(UTIL_SHARED), inputs.n_assets,
+        days, SMALL_TREES,
+    )
+    hard = inputs.candidates.filter(F.col("cand_id") == 1)
     table = research.benchmark(
-        inputs.prepared, list(NAMES), inputs.returns, inputs.filled,
-        inputs.candidates.filter(F.col("cand_id") == 1),
-        {"linear_neutral": LINEAR, "gbm_neutral": SMALL_TREES, "rank_gbm_neutral": RANK_TREES},
+        inputs.prepared, list(NAMES), inputs.returns, inputs.filled, hard, variants, rerank
     )
     return rounded(table)
 
