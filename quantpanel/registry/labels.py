@@ -188,23 +188,28 @@ def _l12(spark, sf):
     return _weight_columns(cd.perturbed_candidates(_seed_vectors(LabelInputs(spark, sf), 5), SMALL_SEARCH))
 
 
-def _projection_sql(rounds: int = 10) -> str:
-    """The capped projection of the fixture candidates, one subquery per round."""
+def _projection_ctes(source: str, result: str, rounds: int = 10) -> str:
+    """The capped projection of the weights of `source`, one subquery per round."""
     part = "(PARTITION BY date, cand_id)"
-    steps = ["""w0 AS (SELECT date, cand_id, ticker, asset_idx, CASE WHEN ticker = 'CASH' THEN 1.0 ELSE 0.25 END AS cap, w
-      FROM cand JOIN uni USING (ticker))"""]
+    keys = "date, day_idx, cand_id, ticker, asset_idx, cap"
+    steps = [f"""w0 AS (SELECT date, day_idx, cand_id, ticker, asset_idx, CASE WHEN ticker = 'CASH' THEN 1.0 ELSE 0.25 END AS cap, w
+      FROM {source} JOIN uni USING (ticker))"""]
     for k in range(rounds):
         steps.append(
             f"""a{k} AS (SELECT *, sum(greatest(w - cap, 0)) OVER {part} AS over, least(w, cap) AS c FROM w{k}),
             b{k} AS (SELECT *, count(*) FILTER (c < cap - 1e-10) OVER {part} AS free FROM a{k}),
-            w{k + 1} AS (SELECT date, cand_id, ticker, asset_idx, cap, CASE WHEN over < 1e-10 THEN w WHEN free = 0 THEN c
+            w{k + 1} AS (SELECT {keys}, CASE WHEN over < 1e-10 THEN w WHEN free = 0 THEN c
               WHEN c < cap - 1e-10 THEN c + over / free ELSE c END AS w FROM b{k})"""
         )
     steps.append(f"n AS (SELECT *, least(w / sum(w) OVER {part}, cap) AS v FROM w{rounds})")
-    return f"WITH {LABEL_CTE}, {', '.join(steps)} SELECT date, cand_id, asset_idx, {r(f'v / sum(v) OVER {part}', 'w')} FROM n"
+    steps.append(f"{result} AS (SELECT {keys}, v / sum(v) OVER {part} AS w FROM n)")
+    return ", ".join(steps)
 
 
-@query("L13_project_weights", _projection_sql())
+@query(
+    "L13_project_weights",
+    f"WITH {LABEL_CTE}, {_projection_ctes('cand', 'projected')} SELECT date, cand_id, asset_idx, {r('w', 'w')} FROM projected",
+)
 def _l13_fixture(spark, sf):
     inputs = LabelInputs(spark, sf)
     vectors = cd.weight_vectors(inputs.candidates, inputs.universe, ["date", "cand_id"])
@@ -341,13 +346,14 @@ RULES = CandidateConfig(
     local_perturbations_per_seed=0,
     deterministic=("equal_weight", "cash_only", "inverse_vol"),
 )
-RULE_CANDIDATES = """vl AS (SELECT date, ticker, CASE WHEN day_idx >= 20 THEN stddev_pop(ret) OVER (PARTITION BY ticker
+RULE_CANDIDATES = f"""vl AS (SELECT date, ticker, CASE WHEN day_idx >= 20 THEN stddev_pop(ret) OVER (PARTITION BY ticker
     ORDER BY day_idx ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) * sqrt(252.0) END AS v FROM gz),
   raw AS (SELECT date, day_idx, 0 AS cand_id, ticker, 1.0 AS x FROM gz
     UNION ALL SELECT date, day_idx, 1, ticker, CASE WHEN ticker = 'CASH' THEN 1.0 ELSE 0.0 END FROM gz
     UNION ALL SELECT date, day_idx, 2, ticker, 1.0 / greatest(coalesce(v, 1.0), 1e-8) FROM gz JOIN vl USING (date, ticker)),
-  cand AS (SELECT date, day_idx, cand_id, ticker, x / sum(x) OVER (PARTITION BY date, cand_id) AS w FROM raw),
-  prev AS (SELECT date, ticker, w FROM cand WHERE cand_id = 0)"""
+  rules AS (SELECT date, day_idx, cand_id, ticker, x / sum(x) OVER (PARTITION BY date, cand_id) AS w FROM raw),
+  {_projection_ctes('rules', 'cand')},
+  prev AS (SELECT date, ticker, w FROM rules WHERE cand_id = 0)"""
 
 
 @query(
