@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quantpanel.llm.rows import read_documents
+from quantpanel.llm.stream_dedup import exact_groups
 from quantpanel.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +20,29 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    arriving = (
+        spark.readStream.schema(docs.schema)
+        .option("maxBytesPerTrigger", 256 << 30)
+        .parquet(f"{sf_dir}/documents{{.parquet}}")  # a pattern: the table may be one file
+    )
+    return exact_groups(docs, arriving)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op6_exact_dedup": op6_exact_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_exact_dedup": """
+        WITH d AS (
+          SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                          'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+          FROM documents)
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id = max(doc_id) OVER w AS kept, text_sha256
+        FROM d WINDOW w AS (PARTITION BY text_sha256)
+    """,
+}
