@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quantpanel.llm.rows import read_documents
+from quantpanel.llm.simhash import fingerprint_components
 from quantpanel.llm.stream_dedup import exact_groups
 from quantpanel.llm.token_counts import token_counts
 
@@ -30,9 +31,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs, arriving)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_components(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_simhash": op7_simhash,
 }
 
 SQL: dict[str, str] = {
