@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quantpanel.llm.phrases import removal_digests
 from quantpanel.llm.rows import read_documents
 from quantpanel.llm.simhash import fingerprint_components
 from quantpanel.llm.stream_dedup import exact_groups
@@ -35,10 +36,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_components(read_documents(spark, sf_dir))
 
 
+def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
+    "op10_repeated_phrases": op10_repeated_phrases,
 }
 
 SQL: dict[str, str] = {
@@ -51,4 +57,22 @@ SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op10_repeated_phrases": r"""
+        WITH w AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        p AS MATERIALIZED (
+          SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+          FROM w, unnest(range(1, len(ws) - 48)) AS t(i)),
+        lead AS MATERIALIZED (SELECT h, min(doc_id) AS first_doc FROM p GROUP BY h),
+        gone AS MATERIALIZED (
+          SELECT DISTINCT doc_id, i + k AS j
+          FROM p JOIN lead USING (h), range(0, 50) AS r(k) WHERE first_doc < doc_id),
+        words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+        kept AS (
+          SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n
+          FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)
+    """,
 }
