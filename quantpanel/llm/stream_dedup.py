@@ -22,8 +22,13 @@ from quantpanel.functions.storage import materialise, stage_folder
 from quantpanel.llm.rows import texts
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # each state partition would set some MB of disk aside for its logs
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def ascii_lower(text: Column) -> Column:
@@ -60,8 +65,9 @@ def digest_state(arriving: DataFrame) -> DataFrame:
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/changes/batch={number}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     try:
         (
             changes.writeStream.outputMode("update")
@@ -72,10 +78,11 @@ def digest_state(arriving: DataFrame) -> DataFrame:
             .awaitTermination()
         )
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     empty = spark.createDataFrame([], changes.schema)
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/changes")
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
