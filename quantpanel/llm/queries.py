@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quantpanel.llm.packing import pack
 from quantpanel.llm.phrases import removal_digests
 from quantpanel.llm.rows import read_documents
 from quantpanel.llm.simhash import fingerprint_components
@@ -22,6 +23,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     arriving = (
@@ -42,6 +47,7 @@ def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op2_packing": op2_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op10_repeated_phrases": op10_repeated_phrases,
