@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quantpanel.llm.decontamination import contaminated
+from quantpanel.llm.line_dedup import remove_repeated_lines
 from quantpanel.llm.packing import pack
 from quantpanel.llm.phrases import removal_digests
 from quantpanel.llm.rows import read_documents
@@ -27,6 +29,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_lines(read_documents(spark, sf_dir))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contaminated(read_documents(spark, sf_dir), items)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     arriving = (
@@ -48,12 +59,48 @@ def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
+    "op3_line_dedup": op3_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op10_repeated_phrases": op10_repeated_phrases,
 }
 
 SQL: dict[str, str] = {
+    "op3_line_dedup": """
+        WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+        w AS (
+          SELECT doc_id, i, ls[i] || chr(10) || ls[i + 1] || chr(10) || ls[i + 2] AS run
+          FROM d, unnest(range(1, len(ls) - 1)) AS t(i)),
+        later AS (
+          SELECT doc_id, i FROM w
+          QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1),
+        gone AS (SELECT DISTINCT doc_id, i + k AS j FROM later, range(0, 3) AS r(k)),
+        lines AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS j FROM d),
+        kept AS (
+          SELECT doc_id, string_agg(line, chr(10) ORDER BY j) AS kept, count(*) AS n
+          FROM lines ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+        SELECT doc_id, coalesce(len(ls), 0) AS n_lines,
+               coalesce(len(ls), 0) - coalesce(n, 0) AS n_removed,
+               CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
+    "op5_decontamination": r"""
+        WITH rows AS (
+          SELECT 'd' AS kind, doc_id AS id, text FROM documents
+          UNION ALL SELECT 'i', item_id, text FROM benchmark),
+        w AS (
+          SELECT kind, id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws
+          FROM rows),
+        s AS MATERIALIZED (
+          SELECT DISTINCT kind, id, array_to_string(ws[i:i + 4], ' ') AS shingle
+          FROM w, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS t(i) WHERE len(ws) > 0),
+        n AS (SELECT id AS item_id, count(*) AS n_shingles FROM s WHERE kind = 'i' GROUP BY id)
+        SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, any_value(n_shingles) AS n_shingles
+        FROM s d JOIN s i ON d.shingle = i.shingle AND d.kind = 'd' AND i.kind = 'i'
+        JOIN n ON n.item_id = i.id
+        GROUP BY d.id, i.id HAVING 5 * count(*) >= 4 * any_value(n_shingles)
+    """,
     "op6_exact_dedup": """
         WITH d AS (
           SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
