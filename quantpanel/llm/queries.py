@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quantpanel.llm.decontamination import contaminated
+from quantpanel.llm.language import held_out_languages
 from quantpanel.llm.line_dedup import remove_repeated_lines
 from quantpanel.llm.packing import pack
 from quantpanel.llm.phrases import removal_digests
@@ -52,6 +53,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_components(read_documents(spark, sf_dir))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_languages(read_documents(spark, sf_dir))
+
+
 def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(read_documents(spark, sf_dir))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
+    "op8_language": op8_language,
     "op10_repeated_phrases": op10_repeated_phrases,
 }
 
