@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantpanel.llm.rows import map_batches
+from quantpanel.llm.rows import fold, map_batches
 
 DIMENSIONS = 1024
 NGRAM = 3
@@ -221,11 +221,6 @@ def predict_languages(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return map_batches(rows, predict, "doc_id long, lang_pred string, score double")
 
 
-def fold(doc_id: Column, folds: int) -> Column:
-    """crc32 of the id as text, modulo the number of folds; null stays null."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % folds
-
-
 def held_out_languages(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
     """``doc_id, held_out, lang_pred, score``: profiles learned outside the held fold only.
 

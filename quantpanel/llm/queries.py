@@ -16,6 +16,7 @@ from quantpanel.llm.rows import read_documents
 from quantpanel.llm.simhash import fingerprint_components
 from quantpanel.llm.stream_dedup import exact_groups
 from quantpanel.llm.token_counts import token_counts
+from quantpanel.llm.toxicity import held_out_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +58,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_languages(read_documents(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return held_out_toxicity(read_documents(spark, sf_dir), labels)
+
+
 def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(read_documents(spark, sf_dir))
 
@@ -69,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_language": op8_language,
+    "op9_toxicity": op9_toxicity,
     "op10_repeated_phrases": op10_repeated_phrases,
 }
 
