@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quantpanel.llm.decontamination import contaminated
 from quantpanel.llm.language import held_out_languages
+from quantpanel.llm.licenses import scan_licences
 from quantpanel.llm.line_dedup import remove_repeated_lines
 from quantpanel.llm.packing import pack
 from quantpanel.llm.phrases import removal_digests
@@ -35,6 +37,14 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_lines(read_documents(spark, sf_dir))
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: source, language and a thousand ids to a directory."""
+    part = (F.col("doc_id") / 1000).cast("long").cast("string")
+    path = F.concat_ws("/", "source", "lang", part, F.lpad(F.col("doc_id").cast("string"), 12, "0"))
+    files = read_documents(spark, sf_dir).withColumn("path", path)
+    return scan_licences(files, any_file=True)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contaminated(read_documents(spark, sf_dir), items)
@@ -71,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op4_licences": op4_licences,
     "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
