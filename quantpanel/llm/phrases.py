@@ -23,6 +23,7 @@ The hashes only say where to look: what is removed was compared word by word.
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 
 import numpy as np
@@ -36,7 +37,7 @@ from quantpanel.llm.rows import map_batches, texts
 
 WINDOW = 50
 SHARD_PHRASES = 4_000  # phrases of one automaton
-GROUP_BYTES = 8_000_000  # text that passes one copy of an automaton
+GROUP_BYTES = 2_000_000  # text that passes one copy of an automaton
 
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
@@ -124,20 +125,26 @@ def _raw(text: str | None) -> bytes:
     return (text or "").encode()
 
 
-def _anchors(rows: DataFrame, window: int) -> DataFrame:
-    """doc_id, anchor: the distinct anchors of each document."""
+def _sha256(words: list[bytes]) -> str:
+    return hashlib.sha256(b" ".join(words)).hexdigest()
+
+
+def _scan(rows: DataFrame, window: int) -> DataFrame:
+    """Per row the distinct anchors, the number of words and the digest of all words."""
 
     def compute(batch: pa.RecordBatch) -> dict:
-        ids, parts = [], []
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            found = np.unique(window_anchors(word_hashes(_raw(text)), window))
-            if doc is not None and len(found):
-                ids.append(np.full(len(found), doc, np.int64))
-                parts.append(found.view(np.int64))
-        none = np.empty(0, np.int64)
-        return {"doc_id": np.concatenate([none, *ids]), "anchor": np.concatenate([none, *parts])}
+        out = {"anchors": [], "n_words": [], "words_sha256": []}
+        for text in batch.column("text").to_pylist():
+            raw = _raw(text)
+            words = raw.split()
+            out["anchors"].append(np.unique(window_anchors(word_hashes(raw), window)).view(np.int64))
+            out["n_words"].append(len(words))
+            out["words_sha256"].append(_sha256(words))
+        return out | {"doc_id": batch.column("doc_id")}
 
-    return map_batches(rows, compute, "doc_id long, anchor long")
+    return map_batches(
+        rows, compute, "doc_id long, anchors array<long>, n_words long, words_sha256 string"
+    )
 
 
 def _windows(rows: DataFrame, window: int) -> DataFrame:
@@ -189,13 +196,16 @@ def _automaton(phrases: pd.DataFrame):
     """An automaton of the phrases; each keeps the leaders and neighbouring words it stands in."""
     import ahocorasick
 
-    places: dict[str, dict[tuple, int]] = defaultdict(dict)
+    places: dict[str, dict[int, set]] = defaultdict(lambda: defaultdict(set))
     for leader, before, phrase, after in zip(phrases.leader, phrases.before, phrases.phrase, phrases.after):
-        around = (before, after)
-        places[phrase][around] = min(leader, places[phrase].get(around, leader))
+        places[phrase][leader].add((before, after))
     machine = ahocorasick.Automaton()
-    for phrase, around in places.items():
-        machine.add_word(f" {phrase} ", [(m, b.split(" ") if b else [], a.split(" ") if a else []) for (b, a), m in around.items()])
+    for phrase, by_leader in places.items():
+        split = {
+            leader: [(b.split(" ") if b else [], a.split(" ") if a else []) for b, a in around]
+            for leader, around in by_leader.items()
+        }
+        machine.add_word(f" {phrase} ", split)
     machine.make_automaton()
     return machine
 
@@ -217,7 +227,9 @@ def _locate(phrases: pd.DataFrame, stretches: pd.DataFrame, window: int) -> pd.D
     out = []
     if len(phrases) and len(stretches):
         machine = _automaton(phrases)
-        for doc, first, text in zip(stretches.doc_id, stretches["first"], stretches.words):
+        for doc, leader, first, text in zip(
+            stretches.doc_id, stretches.leader, stretches["first"], stretches.words
+        ):
             words = text.split(" ")
             padded = f" {text} "
             ends = np.cumsum([0] + [len(w) + 1 for w in words])  # padded offset of the space before word i
@@ -225,13 +237,12 @@ def _locate(phrases: pd.DataFrame, stretches: pd.DataFrame, window: int) -> pd.D
             for end, places in machine.iter(padded):
                 stop = int(np.searchsorted(ends, end))
                 start = stop - half
-                for leader, before, after in places:
-                    if leader < doc:
-                        left = _same(before[::-1], words[max(0, start - reach) : start][::-1])
-                        right = _same(after, words[stop : stop + reach])
-                        if left + half + right >= window:
-                            covered[start - left] += 1
-                            covered[stop + right] -= 1
+                for before, after in places.get(leader, ()):
+                    left = _same(before[::-1], words[max(0, start - reach) : start][::-1])
+                    right = _same(after, words[stop : stop + reach])
+                    if left + half + right >= window:
+                        covered[start - left] += 1
+                        covered[stop + right] -= 1
             for a, b in runs(np.cumsum(covered)[:-1] > 0):
                 out.append((doc, first + a, first + b))
     return pd.DataFrame(out, columns=["doc_id", "start", "stop"]).astype("int64")
@@ -257,14 +268,15 @@ def _phrases(leading: DataFrame, window: int) -> DataFrame:
     return map_batches(leading, compute, "shard long, leader long, before string, phrase string, after string")
 
 
-def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def repeated_ranges(docs: DataFrame, scan: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text) of the documents with recurring passages, and their covered word ranges.
 
-    The ranges are rows ``doc_id, start, stop`` (word positions, stop excluded); they may overlap.
+    ``scan`` is the stored result of ``_scan`` on the same documents. The ranges are rows
+    ``doc_id, ranges``: arrays of word positions (start, stop excluded), which may overlap.
     """
     half = window // 2
     rows = texts(docs).where("doc_id is not null and text is not null")
-    anchors = materialise(_anchors(rows, window))
+    anchors = scan.where("doc_id is not null").select("doc_id", F.explode("anchors").alias("anchor"))
     recurring = (
         anchors.groupBy("anchor")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
@@ -291,7 +303,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, D
     shards = 1 + (load[0] or 0) // (SHARD_PHRASES * half * 6)
     shard = F.pmod(F.xxhash64("leader"), F.lit(shards)).alias("shard")
     phrases = materialise(_phrases(leading.select(shard, "doc_id", "words"), window))
-    passing = stretches.where("doc_id > leader").select(shard, "doc_id", "first", "words")
+    passing = stretches.where("doc_id > leader").select(shard, "doc_id", "leader", "first", "words")
     groups = passing.groupBy("shard").agg(
         F.ceil(F.sum(F.octet_length("words")) / GROUP_BYTES).alias("groups")
     )
@@ -307,10 +319,22 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, D
 
     ranges = (
         copied.groupBy("shard", "group")
-        .cogroup(dealt.select("shard", "group", "doc_id", "first", "words").groupBy("shard", "group"))
+        .cogroup(dealt.select("shard", "group", "doc_id", "leader", "first", "words").groupBy("shard", "group"))
         .applyInPandas(locate, "doc_id long, start long, stop long")
     )
-    return candidates.select("doc_id", "text"), ranges
+    cut = ranges.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+    return candidates.select("doc_id", "text"), materialise(cut)
+
+
+def _without(raw: bytes, cuts: list[dict] | None) -> tuple[list[bytes], list[bytes]]:
+    """All words, and those outside the ranges."""
+    words = raw.split()
+    if not cuts:
+        return words, words
+    gone = np.zeros(len(words), bool)
+    for c in cuts:
+        gone[c["start"] : c["stop"]] = True
+    return words, [w for w, g in zip(words, gone.tolist()) if not g]
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -321,19 +345,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     and do not remove each other; different texts under one doc_id should not occur: each then
     loses the ranges found in either. A null doc_id is never compared and keeps all words.
     """
-    candidates, ranges = repeated_ranges(docs, window)
-    cut = materialise(ranges.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("ranges")))
+    _, cut = repeated_ranges(docs, materialise(_scan(texts(docs), window)), window)
 
     def compute(batch: pa.RecordBatch) -> dict:
         out = {"n_words": [], "n_removed": [], "kept": []}
         for text, cuts in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
-            words = _raw(text).split()
-            kept = words
-            if cuts:
-                gone = np.zeros(len(words), bool)
-                for c in cuts:
-                    gone[c["start"] : c["stop"]] = True
-                kept = [w for w, g in zip(words, gone.tolist()) if not g]
+            words, kept = _without(_raw(text), cuts)
             out["n_words"].append(len(words))
             out["n_removed"].append(len(words) - len(kept))
             out["kept"].append(b" ".join(kept).decode())
@@ -344,7 +361,31 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def removal_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256`` of every row."""
-    return remove_repeats(docs, window).select(
-        "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256")
+    """``doc_id, n_words, n_removed, kept_sha256`` of every row, as ``remove_repeats`` leaves it.
+
+    Only texts that lose words are read again; the digest of the others comes from the first pass.
+    """
+    scan = materialise(_scan(texts(docs), window))
+    candidates, cut = repeated_ranges(docs, scan, window)
+
+    def compute(batch: pa.RecordBatch) -> dict:
+        out = {"words_sha256": [], "n_removed": [], "left_sha256": []}
+        for text, cuts in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
+            words, kept = _without(_raw(text), cuts)
+            out["words_sha256"].append(_sha256(words))
+            out["n_removed"].append(len(words) - len(kept))
+            out["left_sha256"].append(_sha256(kept))
+        return out | {"doc_id": batch.column("doc_id")}
+
+    schema = "doc_id long, words_sha256 string, n_removed long, left_sha256 string"
+    changed = map_batches(candidates.join(cut, "doc_id"), compute, schema).distinct()
+    return (
+        scan.drop("anchors")
+        .join(changed, ["doc_id", "words_sha256"], "left")
+        .select(
+            "doc_id",
+            "n_words",
+            F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+            F.coalesce("left_sha256", "words_sha256").alias("kept_sha256"),
+        )
     )

@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import defaultdict
 
@@ -27,6 +28,10 @@ def brute(rows, window):
 def check(spark, rows, window):
     got = phrases.remove_repeats(documents(spark, rows), window).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == brute(rows, window)
+    digests = phrases.removal_digests(documents(spark, rows), window).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in digests} == {
+        i: (n, gone, hashlib.sha256(kept.encode()).hexdigest()) for i, (n, gone, kept) in brute(rows, window).items()
+    }
 
 
 @pytest.mark.parametrize("window,vocabulary,seed", [(6, 2, 1), (7, 3, 2), (8, 40, 3)])
@@ -60,3 +65,6 @@ def test_awkward_rows(spark):
     assert by[6].n_removed == 0 and by[7].n_removed == by[7].n_words == 60_000 and by[7].kept == ""
     assert by[0].n_words == by[1].n_words == by[2].n_words == 0
     assert phrases.remove_repeats(documents(spark, [])).count() == 0
+    digests = phrases.removal_digests(awkward(spark)).collect()
+    assert sorted((r.n_words, r.n_removed) for r in digests) == sorted((r.n_words, r.n_removed) for r in got)
+    assert phrases.removal_digests(documents(spark, [])).count() == 0
