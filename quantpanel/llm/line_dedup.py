@@ -55,21 +55,22 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return later.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("starts"))
 
 
-def remove_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, n_lines, n_removed, text`` of every row, without the repeated lines.
+def rows_without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``row`` (all columns of the input, as a struct), ``n_lines``, ``n_removed``, ``left``.
 
-    Lines end at a line feed and are compared as they are, empty ones too. Texts of fewer than
-    ``window`` lines, null texts (0 lines, text null) and rows without a doc_id stay as they are; a
-    text all of whose lines repeat becomes empty. Repeated rows of one doc_id and text are one
-    document; different texts under one doc_id are taken in the order of their hashes.
+    ``left`` is the text without the repeated lines.
     """
     marks = repeated_lines(docs, window)
-    rows = texts(docs).withColumn("version", F.xxhash64("text"))
+    rows = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+        docs["doc_id"].cast("long").alias("doc_id"),
+        docs["text"].cast("string").alias("text"),
+    ).withColumn("version", F.xxhash64("text"))
     lines = _lines(F.col("text"))
     count = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
     covered = F.flatten(F.transform("starts", lambda p: F.sequence(p, p + (window - 1))))
     marked = rows.join(marks, ["doc_id", "version"], "left").select(
-        "doc_id",
+        "row",
         "text",
         count.alias("n_lines"),
         F.when(
@@ -83,8 +84,20 @@ def remove_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # the lines are bound once per text: a lambda would split the text again for each of them
     rebuilt = F.transform(F.array(lines), chosen)[0]
     return marked.select(
-        "doc_id",
+        "row",
         F.col("n_lines").cast("long").alias("n_lines"),
         F.when(F.col("kept").isNull(), 0).otherwise(F.col("n_lines") - F.size("kept")).cast("long").alias("n_removed"),
-        F.when(F.col("kept").isNull(), F.col("text")).otherwise(rebuilt).alias("text"),
+        F.when(F.col("kept").isNull(), F.col("text")).otherwise(rebuilt).alias("left"),
     )
+
+
+def remove_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``doc_id, n_lines, n_removed, text`` of every row, without the repeated lines.
+
+    Lines end at a line feed and are compared as they are, empty ones too. Texts of fewer than
+    ``window`` lines, null texts (0 lines, text null) and rows without a doc_id stay as they are; a
+    text all of whose lines repeat becomes empty. Repeated rows of one doc_id and text are one
+    document; different texts under one doc_id are taken in the order of their hashes.
+    """
+    found = rows_without_repeats(texts(docs), window)
+    return found.select("row.doc_id", "n_lines", "n_removed", F.col("left").alias("text"))

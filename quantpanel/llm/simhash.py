@@ -154,3 +154,123 @@ def fingerprint_components(docs: DataFrame, size: int = 3) -> DataFrame:
     return rows.join(labels, "p").select(
         "doc_id", F.lower(F.lpad(F.hex("p"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def blocks_for(rows: int, similarity: float, recall: float = RECALL) -> tuple[int, int]:
+    """Bits of a block and number of blocks of fingerprints of so many texts.
+
+    Two sets of Jaccard similarity J differ in a bit with probability acos(2J / (1 + J)) / pi. A block
+    has few enough bits for a text to meet about four others by chance, whatever the number of
+    texts, and there are as many blocks as a pair at the least similarity needs to share one.
+    """
+    agree = 1 - bit_difference(similarity)
+    bits = max(8, min(32, math.ceil(math.log2(max(rows, 2))) - 2))
+    return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree**bits))
+
+
+def bit_difference(similarity: float) -> float:
+    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+
+
+def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``doc_id, component_id`` of every row: groups of texts whose shingle sets are similar.
+
+    Pairs that share a block are verified by Hamming distance; where the distance leaves open
+    on which side of ``similarity`` a pair is, the shingle sets themselves decide. A pair at the
+    least similarity is found with a probability of ``RECALL``, nearer ones almost surely.
+
+    Texts with the same fingerprint (equal shingle sets; all texts without words) are one node.
+    A bucket of up to ``PAIR_BUCKET`` nodes is compared in pairs. The members of a larger one are
+    compared with its smallest node and, in pairs or again with the smallest, inside the buckets
+    that they share in further blocks, so that no group of copies is expanded into all its pairs.
+    Repeated rows share one result; rows without a doc_id are grouped with equal fingerprints only.
+    """
+    bits, count = blocks_for(docs.count(), similarity)
+    per_word = 64 // bits
+    words = math.ceil(count / per_word)
+    rows = materialise(fingerprints(docs, size, words, repeats=False))
+    nodes = materialise(
+        rows.groupBy("fingerprint").agg(F.min("doc_id").alias("node")).where("node is not null")
+    )
+    mask = (1 << bits) - 1
+    blocks = F.array(
+        *(
+            F.shiftrightunsigned(F.col("fingerprint")[j // per_word], bits * (j % per_word)).bitwiseAND(mask)
+            for j in range(count)
+        )
+    )
+    head = F.col("fingerprint")[0].alias("head")
+    keyed = nodes.select("node", head, F.posexplode(blocks).alias("block", "value")).select(
+        "node", "head", "block", F.xxhash64("block", "value").alias("key")
+    )
+    share = bit_difference(similarity)
+    reach = lambda n, deviations: int(n * share + deviations * math.sqrt(n * share * (1 - share)))
+    pairs, large = _bucket_pairs(keyed, reach(64, 4))
+    further = (
+        large.select("node", "head", "block", "key")
+        .join(nodes.select("node", blocks.alias("blocks")), "node")
+        .select("node", "head", "block", "key", "blocks", F.explode(F.array(*map(F.lit, range(1, 5)))).alias("step"))
+        .select(
+            "node",
+            "head",
+            "block",
+            F.xxhash64("key", "step", F.get("blocks", (F.col("block") + F.col("step")) % count)).alias("key"),
+        )
+    )
+    more, _ = _bucket_pairs(further, reach(64, 4))
+    total = 64 * words
+    apart = sum(
+        (F.bit_count(F.col("fingerprint")[w].bitwiseXOR(F.col("other")[w])) for w in range(words)), F.lit(0)
+    )
+    near = materialise(
+        pairs.unionByName(more)
+        .distinct()
+        .join(nodes.withColumnRenamed("node", "a"), "a")
+        .join(nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("other")), "b")
+        .select("a", "b", apart.alias("apart"))
+        .where(F.col("apart") <= reach(total, 3))
+    )
+    sure = F.col("apart") < reach(total, -3)
+    links = near.where(sure).unionByName(_verified(near.where(~sure), docs, size, similarity))
+    groups = components(links.select("a", "b"))
+    labels = nodes.join(groups, "node", "left").select(
+        "fingerprint", F.coalesce("component", "node").alias("component_id")
+    )
+    return rows.join(labels, "fingerprint", "left").select("doc_id", "component_id")
+
+
+def _bucket_pairs(keyed: DataFrame, reach: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of the buckets, and the members of the buckets that are large."""
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low")).where("n > 1")
+    met = materialise(keyed.join(sizes, "key"))
+    small = met.where(F.col("n") <= PAIR_BUCKET).select("key", F.col("node").alias("a"), "head")
+    other = small.withColumnsRenamed({"a": "b", "head": "head_b"})
+    pairs = (
+        small.join(other, "key")
+        .where((F.col("a") < F.col("b")) & (F.bit_count(F.col("head").bitwiseXOR(F.col("head_b"))) <= reach))
+        .select("a", "b")
+    )
+    large = met.where(F.col("n") > PAIR_BUCKET)
+    stars = large.where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    return pairs.unionByName(stars), large
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets are similar, by the sets' hashes."""
+    pairs = materialise(pairs)
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
+    def compute(batch: pa.RecordBatch) -> dict:
+        sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in batch.column("text").to_pylist()]
+        return {"doc_id": batch.column("doc_id"), "shingles": sets}
+
+    sets = materialise(map_batches(texts(docs).join(asked, "doc_id"), compute, "doc_id long, shingles array<long>"))
+    sets = sets.groupBy("doc_id").agg(F.first("shingles").alias("shingles"))
+    shared = F.size(F.array_intersect("s", "t"))
+    union = F.size("s") + F.size("t") - shared
+    return (
+        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s")), "a")
+        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t")), "b")
+        .where((union == 0) | (shared >= F.lit(similarity) * union - 1e-9))
+        .select("a", "b", "apart")
+    )

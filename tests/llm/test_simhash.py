@@ -86,3 +86,52 @@ def test_majority_is_strict_and_words_differ():
     assert simhash.majority(hashes, 1)[0] == 0b01
     wide = simhash.majority(np.arange(1, 600, dtype=np.uint64) * np.uint64(2654435761), 16)
     assert len(set(wide.tolist())) == 16
+
+
+def near_copies(seed=5):
+    """Texts, and copies of them with a growing share of words changed."""
+    rng = np.random.default_rng(seed)
+    word = lambda: f"w{rng.integers(5000)}"
+    rows = []
+    for g in range(25):
+        base = [word() for _ in range(int(rng.integers(20, 400)))]
+        for _ in range(8):
+            copy = list(base)
+            for _ in range(int(rng.integers(0, 1 + len(base) // 20))):
+                copy[rng.integers(len(copy))] = word()
+            rows.append(" ".join(copy))
+    return list(enumerate(rows))
+
+
+def jaccard_components(rows, size=5, similarity=0.8):
+    sets = {i: set(simhash.shingle_hashes(t, size).tolist()) for i, t in rows}
+    linked = []
+    for a, b in combinations(sets, 2):
+        shared, union = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+        if union == 0 or shared >= similarity * union - 1e-9:
+            linked.append((a, b))
+    return brute_components(list(sets), linked)
+
+
+@pytest.mark.parametrize("bucket", [256, 4])
+def test_similar_texts_against_brute_force(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "PAIR_BUCKET", bucket)
+    rows = near_copies() + [(500, ""), (501, None), (502, "one two"), (503, "ONE two")]
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(documents(spark, rows)).collect()}
+    want = jaccard_components(rows)
+    assert sum(got[i] != want[i] for i in want) <= (4 if bucket == 4 else 1)
+    assert got[501] == 500 and got[503] == 502
+
+
+def test_similar_awkward_rows(spark):
+    got = simhash.similar_texts(awkward(spark)).collect()
+    assert len(got) == 13
+    assert {r.component_id for r in got if r.doc_id in (6, 7)} == {6}
+    assert simhash.similar_texts(documents(spark, [])).count() == 0
+
+
+def test_blocks_reach_the_recall():
+    for rows in (100, 10_000, 10**7, 10**11):
+        bits, count = simhash.blocks_for(rows, 0.8)
+        agree = 1 - simhash.bit_difference(0.8)
+        assert 1 - (1 - agree**bits) ** count >= simhash.RECALL
