@@ -1,14 +1,17 @@
 """Backtests of weight signals: rebalance band, partial trading, drift, costs.
 
-Signals are (path_id, date, ticker, w) with every universe member present on every date of
-the path; returns are (date, ticker, ret). Targets are long-only.
+Signals are (path_id, date, ticker, w); returns are (date, ticker, ret). A member that a date
+leaves out has weight 0 there: the members of a path are all its tickers. Moves below zero are
+cut off at zero; where the weights add up to nothing, after a trade or after a day's
+returns, they are kept as they are.
 
 * `backtest_full` (always trade, all the way) has a closed form and is purely relational.
 * `backtest_banded` depends on its own past through the trade decision. Paths of a bounded
   number of rows run as one group each, all paths in parallel. Larger paths are split by
-  ticker: given, for each day, whether it trades and by how much the portfolio grows, every
-  ticker evolves on its own. That schedule is refined until it repeats itself. Each pass fixes
-  at least one more day, so it ends, and the result is the same as the day-by-day one.
+  ticker: given, for each day, whether it trades, what the moved weights add up to and by how much
+  the portfolio grows, every ticker evolves on its own. That schedule is refined until it
+  repeats itself. Each pass fixes at least one more day, so it ends, and the result is the same as
+  the day-by-day one at every size.
 """
 
 from __future__ import annotations
@@ -95,8 +98,28 @@ def daily_accounts(weights: DataFrame, adv: DataFrame | None, cfg: CostConfig) -
     return daily.withColumn("net", F.col("gross") - F.col("cost_bps") / 10000)
 
 
+def complete_signals(signals: DataFrame) -> DataFrame:
+    """Every ticker of a path on every date of it, with weight 0 where a date leaves it out.
+
+    Further columns (band, alpha, cost_scale) hold for a path as a whole.
+    """
+    whole = signals.groupBy("path_id").agg(
+        F.count("*").alias("_rows"),
+        F.count_distinct("date").alias("_days"),
+        F.count_distinct("ticker").alias("_names"),
+    )
+    if whole.filter("_rows < _days * _names").isEmpty():
+        return signals
+    fixed = [c for c in signals.columns if c not in (*PATH_DAY, "ticker", "w")]
+    days = signals.groupBy(*PATH_DAY).agg(*[F.first(c).alias(c) for c in fixed] or [F.count("*").alias("_n")])
+    names = signals.select("path_id", "ticker").distinct()
+    grid = days.join(names, "path_id").select(*PATH_DAY, "ticker", *fixed)
+    known = signals.select(*PATH_DAY, "ticker", "w")
+    return grid.join(known, [*PATH_DAY, "ticker"], "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
+
+
 def _with_returns(signals: DataFrame, returns: DataFrame) -> DataFrame:
-    rows = signals.join(returns.select("date", "ticker", "ret"), ["date", "ticker"], "left")
+    rows = complete_signals(signals).join(returns.select("date", "ticker", "ret"), ["date", "ticker"], "left")
     return rows.withColumn("ret", F.coalesce("ret", F.lit(0.0)))
 
 
@@ -224,12 +247,17 @@ def _grouped_weights(rows: DataFrame) -> DataFrame:
     return spread(rows, "path_id").groupBy("path_id").applyInPandas(_run_path, _WEIGHT_SCHEMA)
 
 
-_PARTIAL_SCHEMA = "path_id string, date date, gap double, grown_trade double, grown_hold double"
-_BLOCK_COLUMNS = ("traded", "growth", "scale", "n_assets")
+_PARTIAL_SCHEMA = (
+    "path_id string, date date, gap double, moved double, grown_trade double, grown_hold double"
+)
 
 
 def _block_recurrence(rows: pd.DataFrame):
-    """Evolution of a block of tickers under a given schedule of trades and growth."""
+    """Evolution of a block of tickers under a given schedule.
+
+    Per day: whether it trades, the sum of the moved weights and the sum after the returns; a
+    sum that is not positive divides nothing, and a day that ends with nothing keeps its weights.
+    """
     ordered, days, names = _rectangle(rows)
     target = ordered["w"].to_numpy().reshape(days, names)
     growth = 1.0 + ordered["ret"].to_numpy().reshape(days, names)
@@ -240,20 +268,23 @@ def _block_recurrence(rows: pd.DataFrame):
     held = np.full(names, 1.0 / ordered["n_assets"].iloc[0])
     for day in range(days):
         before[day] = held
-        moved[day] = (held + alpha * (target[day] - held)) / scale[day]
-        kept = moved[day] if traded[day] else held
-        held = kept * growth[day] / total[day]
-    return ordered, target, growth, before, moved, traded
+        moved[day] = np.maximum(held + alpha * (target[day] - held), 0.0)
+        kept = held
+        if traded[day]:
+            kept = moved[day] / scale[day] if scale[day] > 0 else moved[day]
+        held = kept * growth[day] / total[day] if total[day] > 0 else kept
+    return ordered, target, growth, before, moved, traded, scale
 
 
 def _block_sums(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    ordered, target, growth, before, moved, _ = _block_recurrence(rows)
+    ordered, target, growth, before, moved, _, _ = _block_recurrence(rows)
     names = target.shape[1]
     return pd.DataFrame(
         {
             "path_id": ordered["path_id"].iloc[0],
             "date": ordered["date"].to_numpy()[::names],
             "gap": np.abs(target - before).sum(axis=1),
+            "moved": moved.sum(axis=1),
             "grown_trade": (moved * growth).sum(axis=1),
             "grown_hold": (before * growth).sum(axis=1),
         }
@@ -261,36 +292,30 @@ def _block_sums(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _block_weights(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    ordered, target, _, before, moved, traded = _block_recurrence(rows)
+    ordered, target, _, before, moved, traded, scale = _block_recurrence(rows)
+    divisor = np.where(scale > 0, scale, 1.0)[:, None]
     out = ordered[["path_id", "date", "ticker", "ret", "cost_scale", "traded"]].copy()
     out["live"] = before.ravel()
-    out["w"] = np.where(traded[:, None], moved, before).ravel()
+    out["w"] = np.where(traded[:, None], moved / divisor, before).ravel()
     return out[["path_id", "date", "ticker", "live", "w", "ret", "cost_scale", "traded"]]
 
 
 def _split_weights(rows: DataFrame, tolerance: float = 1e-14) -> DataFrame:
     """Banded weights of paths of any size, split by ticker (see the module text)."""
-    per_day = rows.groupBy(*PATH_DAY).agg(
-        F.count("*").alias("n_assets"),
-        F.sum("w").alias("_sum"),
-        F.min("w").alias("_min"),
-        F.first("alpha").alias("_alpha"),
-        F.first("band").alias("_band"),
-        F.avg(1 + F.col("ret")).alias("growth"),
-    )
     per_day = materialise(
-        per_day.withColumn(
-            "scale",
-            F.when(F.col("_min") >= 0, (1 - F.col("_alpha")) + F.col("_alpha") * F.col("_sum"))
-            .otherwise(F.raise_error(F.lit("targets of a banded backtest must be long-only"))),
+        rows.groupBy(*PATH_DAY).agg(
+            F.count("*").alias("n_assets"),
+            F.sum(F.greatest("w", F.lit(0.0))).alias("scale"),
+            F.first("band").alias("_band"),
+            F.avg(1 + F.col("ret")).alias("growth"),
         )
     )
-    largest = per_day.agg(F.max("n_assets")).first()[0]
+    largest = per_day.agg(F.max("n_assets")).first()[0] or 1
     blocks = max(1, -(-largest // TICKERS_PER_BLOCK))
     block = F.pmod(F.xxhash64("ticker"), F.lit(blocks))
     rows = materialise(rows.withColumn("_block", block))
-    schedule = per_day.select(*PATH_DAY, F.lit(True).alias("traded"), "growth")
-    fixed = per_day.select(*PATH_DAY, "scale", "n_assets", "_band")
+    schedule = per_day.select(*PATH_DAY, F.lit(True).alias("traded"), "growth", "scale")
+    fixed = per_day.select(*PATH_DAY, "n_assets", "_band")
 
     def tagged(plan: DataFrame) -> DataFrame:
         table = fixed.drop("_band").join(plan, PATH_DAY)
@@ -302,25 +327,28 @@ def _split_weights(rows: DataFrame, tolerance: float = 1e-14) -> DataFrame:
             tagged(schedule)
             .applyInPandas(_block_sums, _PARTIAL_SCHEMA)
             .groupBy(*PATH_DAY)
-            .agg(*[F.sum(c).alias(c) for c in ("gap", "grown_trade", "grown_hold")])
+            .agg(*[F.sum(c).alias(c) for c in ("gap", "moved", "grown_trade", "grown_hold")])
         )
         trades = 0.5 * F.col("gap") >= F.col("_band")
+        grown = F.when(F.col("moved") > 0, F.col("grown_trade") / F.col("moved")).otherwise(F.col("grown_trade"))
         update = materialise(
             sums.join(fixed, PATH_DAY).select(
                 *PATH_DAY,
                 trades.alias("traded"),
-                F.when(trades, F.col("grown_trade"))
-                .otherwise(F.col("grown_hold"))
-                .alias("growth"),
+                F.when(trades, grown).otherwise(F.col("grown_hold")).alias("growth"),
+                F.col("moved").alias("scale"),
             )
         )
         old = schedule.select(
-            *PATH_DAY, F.col("traded").alias("_t"), F.col("growth").alias("_g")
+            *PATH_DAY, F.col("traded").alias("_t"), F.col("growth").alias("_g"), F.col("scale").alias("_s")
         )
-        moved = (F.col("traded") != F.col("_t")) | (
-            F.abs(F.col("growth") - F.col("_g")) > tolerance * F.abs("growth")
+        differs = lambda new, was: F.abs(F.col(new) - F.col(was)) > tolerance * F.abs(new)
+        changed = (
+            update.join(old, PATH_DAY)
+            .filter((F.col("traded") != F.col("_t")) | differs("growth", "_g") | (F.col("traded") & differs("scale", "_s")))
+            .limit(1)
+            .count()
         )
-        changed = update.join(old, PATH_DAY).filter(moved).limit(1).count()
         schedule = update
         if changed == 0:
             break

@@ -63,27 +63,36 @@ def state_features(labels: DataFrame, universe: DataFrame, n_assets: int) -> Dat
     The previous target is the recorded one, else the hard target of the label before, else
     equal weight.
     """
-    equal = F.array_repeat(F.lit(1.0 / max(n_assets, 1)), n_assets)
-    # Label rows: one per date.
-    before = Window.orderBy("asof_date").rowsBetween(Window.unboundedPreceding, -1)
-    hard = F.when(
-        F.col("hard_target_weights_json").isNotNull(), vector_column("hard_target_weights_json", n_assets)
-    )
-    rows = labels.withColumn("_last_hard", F.last(hard, ignorenulls=True).over(before))
-    target = F.coalesce("_last_hard", equal)
-    if "prev_target_weights_json" in labels.columns:
-        known = F.col("prev_target_weights_json")
-        target = F.when(known.isNotNull(), vector_column("prev_target_weights_json", n_assets)).otherwise(target)
-    live = vector_column("prev_live_weights_json", n_assets)
+    unknown = F.array_repeat(F.lit(None).cast("double"), n_assets)
+
+    def recorded(name: str) -> Column:
+        if name not in labels.columns:
+            return unknown
+        return F.when(F.col(name).isNotNull(), vector_column(name, n_assets)).otherwise(unknown)
+
     long = explode_vectors(
-        rows.select("asof_date", live.alias("_live"), target.alias("_target")),
+        labels,
         universe,
         ["asof_date"],
-        {"prev_live_weight": F.col("_live"), "prev_target_weight": F.col("_target")},
+        {
+            "prev_live_weight": vector_column("prev_live_weights_json", n_assets),
+            "_hard": recorded("hard_target_weights_json"),
+            "_known": recorded("prev_target_weights_json"),
+        },
+    )
+    # One row per date and ticker: a window is as long as the label calendar.
+    before = (
+        Window.partitionBy("ticker").orderBy("asof_date").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    target = F.coalesce(
+        "_known", F.last("_hard", ignorenulls=True).over(before), F.lit(1.0 / max(n_assets, 1))
+    )
+    return long.withColumn("prev_target_weight", target).select(
+        *KEYS,
+        "prev_live_weight",
+        "prev_target_weight",
+        (F.col("prev_live_weight") - F.col("prev_target_weight")).alias("delta_from_prev_target"),
     )
-    return long.withColumn(
-        "delta_from_prev_target", F.col("prev_live_weight") - F.col("prev_target_weight")
-    ).drop("asset_idx")
 
 
 def scaffold(dates: DataFrame, universe: DataFrame) -> DataFrame:

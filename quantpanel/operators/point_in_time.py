@@ -76,7 +76,8 @@ def known_by_cutoff(facts: DataFrame, calendar: DataFrame, ts: str) -> DataFrame
 
     `calendar`: (date, day_idx, n_days, cutoff) with at most one cutoff per day. A fact looks
     up the first cutoff on or after its own day by equality and moves on to the next one if it
-    came too late; facts after the last cutoff drop out.
+    came too late. Facts before the first cutoff day, however old, look up that day; facts after
+    the last cutoff and facts without a moment drop out.
     """
     ordered = Window.orderBy("cutoff")
     cuts = calendar.select(
@@ -88,10 +89,15 @@ def known_by_cutoff(facts: DataFrame, calendar: DataFrame, ts: str) -> DataFrame
         F.lag(F.to_date("cutoff")).over(ordered).alias("_prev_day"),
     )
     # Each cutoff answers for its own day and for the days since the cutoff before it.
-    first = F.coalesce(F.date_add("_prev_day", 1), F.date_sub("_cut_day", 3660))
+    first = F.coalesce(F.date_add("_prev_day", 1), F.col("_cut_day"))
     lookup = cuts.withColumn("_fact_day", F.explode(F.sequence(first, F.col("_cut_day"))))
+    earliest = calendar.agg(F.min(F.to_date("cutoff"))).scalar()
     # One row per calendar day, so the facts themselves are not moved.
-    rows = facts.withColumn("_fact_day", F.to_date(ts)).join(F.broadcast(lookup), "_fact_day")
+    rows = (
+        facts.filter(F.col(ts).isNotNull())
+        .withColumn("_fact_day", F.greatest(F.to_date(ts), earliest))
+        .join(F.broadcast(lookup), "_fact_day")
+    )
     late = F.col(ts) > F.col("cutoff")
     return (
         rows.withColumn("_idx", F.when(late, F.col("day_idx") + 1).otherwise(F.col("day_idx")))

@@ -153,7 +153,7 @@ def _u07(spark, sf):
     inputs = LabelInputs(spark, sf)
     ranked = _ranked(inputs)
     weights, labels = teacher.distill(ranked, inputs.candidates)
-    days = cutoff_calendar(spark)
+    days = cutoff_calendar(spark, sf)
     facts = panels.event_facts(spark, sf).withColumn("known_ts", F.col("accepted_ts"))
     known = pit.point_in_time(facts, days, "key", "accepted_ts", ["known_ts"], "seq")
     known = known.join(days.select("date", "cutoff"), "date")

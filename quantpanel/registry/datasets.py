@@ -524,7 +524,7 @@ def _p07(spark, sf):
 
 # --- drift and attribution ------------------------------------------------------------
 _LONG_SQL = " UNION ALL ".join(
-    f"SELECT split_name, '{n}' AS feature, {n} AS v FROM tagged" for n in FEATURES[:4]
+    f"SELECT split_name, '{n}' AS feature, {n} AS v FROM tagged" for n in FEATURES
 )
 
 
@@ -540,7 +540,7 @@ def _v10(spark, sf):
     inputs = DatasetInputs(spark, sf)
     targets = ds.target_table(inputs.labels, inputs.universe, inputs.n_assets)
     tagged = sp.assign_split(ds.merge_targets(inputs.features, targets, inputs.calendar), inputs.splits)
-    return rounded(ev.feature_drift(tagged, list(FEATURES[:4])))
+    return rounded(ev.feature_drift(tagged, list(FEATURES)))
 
 
 @query(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from quantpanel.operators import asset_features as af
@@ -82,18 +80,22 @@ def _f25(spark, sf):
 
 
 # --- point in time --------------------------------------------------------------------
-START, END = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
-
-
-def cutoff_calendar(spark):
-    """Weekdays of the period the events cover, with their cutoffs as UTC wall-clock time."""
-    days = calendar_of(xc.trading_days(spark, START, END), "trade_date")
+def cutoff_calendar(spark, sf):
+    """Weekdays of the period the events cover, with their cutoffs as UTC wall-clock time.
+
+    The period ends four days after the last event, so that every event has a cutoff after it.
+    """
+    day = F.to_date("ts")
+    span = F.sequence(F.min(day), F.date_add(F.max(day), 4))
+    every = panels.table(spark, sf, "events").agg(span.alias("days"))
+    every = every.select(F.explode("days").alias("trade_date"))
+    days = calendar_of(xc.open_days(every), "trade_date")
     return days.withColumn("cutoff", xc.cutoff_utc(F.col("date")))
 
 
 CUTS = """cuts AS (SELECT d::DATE AS date, row_number() OVER (ORDER BY d) - 1 AS day_idx,
   CAST(timezone('UTC', timezone('America/New_York', d + INTERVAL 18 HOUR)) AS TIMESTAMP) AS cutoff
-  FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS d)
+  FROM (SELECT unnest(generate_series(CAST(CAST(min(ts) AS DATE) AS TIMESTAMP), CAST(CAST(max(ts) AS DATE) + 4 AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM events)
   WHERE dayofweek(d) NOT IN (0, 6))"""
 
 
@@ -107,7 +109,7 @@ CUTS = """cuts AS (SELECT d::DATE AS date, row_number() OVER (ORDER BY d) - 1 AS
 def _c07(spark, sf):
     facts = panels.event_facts(spark, sf)
     rows = pit.point_in_time(
-        facts, cutoff_calendar(spark), "key", "accepted_ts", ["seq", "value", "form"], "seq"
+        facts, cutoff_calendar(spark, sf), "key", "accepted_ts", ["seq", "value", "form"], "seq"
     )
     return rounded(rows)
 
@@ -160,7 +162,7 @@ FORMS = {"annual": "purchase", "quarterly": "click"}
 )
 def _f26(spark, sf):
     facts = panels.event_facts(spark, sf)
-    rows = pit.filing_features(facts, cutoff_calendar(spark), "key", "accepted_ts", FORMS)
+    rows = pit.filing_features(facts, cutoff_calendar(spark, sf), "key", "accepted_ts", FORMS)
     return rounded(rows.fillna(-1, ["days_since_annual", "days_since_quarterly"]))
 
 

@@ -42,21 +42,34 @@ def read_optional(
 def read_prices(
     spark: SparkSession, path: str, schema: T.StructType = PRICE_SCHEMA
 ) -> DataFrame:
-    """Price file in CSV (with header) or parquet form, same columns either way."""
+    """Price file in CSV (with header) or parquet form, same columns either way.
+
+    Columns are taken by name, in the order of `schema`; further ones are left out, and so are
+    those of `schema` that the file does not have. CSV values that are no number or date
+    become null.
+    """
     if path.rstrip("/").endswith((".csv", ".csv.gz")):
-        return spark.read.schema(schema).option("header", True).csv(path)
-    table = spark.read.parquet(path)
-    return table.select(*[F.col(f.name).cast(f.dataType) for f in schema if f.name in table.columns])
+        table = spark.read.option("header", True).csv(path)
+    else:
+        table = spark.read.parquet(path)
+    names = {c.strip().lower(): c for c in table.columns}
+    return table.select(
+        *[F.col(f"`{names[f.name]}`").try_cast(f.dataType).alias(f.name) for f in schema if f.name in names]
+    )
 
 
 def write_table(df: DataFrame, path: str, date_col: str | None = None) -> None:
-    """Overwrite a parquet table, partitioned by year of `date_col` if one is given."""
+    """Overwrite a parquet table, partitioned by year of `date_col` if one is given.
+
+    Rows are rebalanced over tasks of an even size, so that a date or year that holds a large
+    part of all rows is written by several of them.
+    """
     if date_col is None:
         df.write.mode("overwrite").parquet(path)
         return
     (
         df.withColumn("year", F.year(date_col))
-        .repartition("year", date_col)
+        .hint("rebalance", "year")
         .write.mode("overwrite")
         .partitionBy("year")
         .parquet(path)

@@ -87,14 +87,6 @@ def test_banded_matches_day_by_day(random_case, band, alpha, max_rows, monkeypat
     weights.unpersist()
 
 
-def test_split_route_rejects_short_targets(spark, random_case):
-    _, returns, _, ret = random_case
-    bad = np.full((40, 9), 1 / 9)
-    bad[3, 0], bad[3, 1] = -0.2, 1 / 9 + 0.2 + 1 / 9
-    with pytest.raises(Exception, match="long-only"):
-        bt.backtest_banded(long_frame(spark, bad, "w", "p"), ret, max_path_rows=0)[0].count()
-
-
 def test_paths_do_not_influence_each_other(spark, random_case):
     target, _, sig, ret = random_case
     other = long_frame(spark, target[:, ::-1], "w", "q")
@@ -142,3 +134,55 @@ def test_profiles_custom_replaces_builtin(spark):
     assert set(rows) == {"aggressive", "neutral", "conservative"}
     assert rows["neutral"]["rebalance_band"] == 0.5
     assert rows["aggressive"]["partial_rebalance_alpha"] == 0.75
+
+
+def day_by_day(target, returns, band, alpha):
+    """As `walk`, where sums that are not positive divide nothing."""
+    held = np.full(target.shape[1], 1 / target.shape[1])
+    live, after = [], []
+    for t, r in zip(target, returns):
+        live.append(held)
+        if 0.5 * np.abs(t - held).sum() >= band:
+            held = np.maximum(held + alpha * (t - held), 0)
+            held = held / held.sum() if held.sum() > 0 else held
+        after.append(held)
+        grown = held * (1 + r)
+        held = grown / grown.sum() if grown.sum() > 0 else held
+    return np.array(live), np.array(after)
+
+
+CASES = {
+    "wiped out": (np.array([[0.5, 0.5], [0.5, 0.5], [0.9, 0.1], [0.2, 0.8]]), {1: [-1.0, -1.0]}),
+    "negative targets": (np.array([[0.9, -0.4], [-0.5, 0.7], [-0.2, -0.3], [0.6, 0.4]]), {}),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+@pytest.mark.parametrize("band,alpha", [(0.0, 1.0), (0.2, 0.5)])
+@pytest.mark.parametrize("max_rows", [10_000_000, 0])
+def test_one_behaviour_at_every_size(spark, case, band, alpha, max_rows, monkeypatch):
+    monkeypatch.setattr(bt, "TICKERS_PER_BLOCK", 1)
+    target, changed = CASES[case]
+    returns = RETURNS.copy()
+    for day, values in changed.items():
+        returns[day] = values
+    sig, ret = long_frame(spark, target, "w", "p"), long_frame(spark, returns, "ret")
+    _, weights = bt.backtest_banded(sig, ret, execution=ExecutionConfig(band, alpha), max_path_rows=max_rows)
+    live, after = day_by_day(target, returns, band, alpha)
+    np.testing.assert_allclose(matrix_of(weights, "live"), live, atol=1e-12)
+    np.testing.assert_allclose(matrix_of(weights, "w"), after, atol=1e-12)
+
+
+@pytest.mark.parametrize("full", [True, False])
+def test_left_out_members_have_weight_zero(spark, full):
+    target = np.array([[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.5, 0.0, 0.5]])
+    returns = np.array([[0.01, 0.02, 0.0], [0.03, -0.01, 0.01], [0.0, 0.01, 0.02]])
+    whole, ret = long_frame(spark, target, "w", "p"), long_frame(spark, returns, "ret")
+    sparse = whole.filter("w > 0")
+    run = bt.backtest_full if full else bt.backtest_banded
+    for a, b in zip(run(whole, ret), run(sparse, ret)):
+        keys = [c for c in ("path_id", "date", "ticker") if c in a.columns]
+        left, right = (x.orderBy(*keys).toPandas() for x in (a, b))
+        for name in ("gross", "turnover", "cost_bps", "live", "w"):
+            if name in left:
+                np.testing.assert_allclose(left[name], right[name], atol=1e-12)

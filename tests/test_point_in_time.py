@@ -90,3 +90,11 @@ def test_label_audit_passes_on_proper_weights(spark):
     got = {r["check"]: (r["status"], r["value"]) for r in audit.label_audit(weights, labels).collect()}
     assert got["sum_violations"] == ("PASS", 0.0) and got["negative_vectors"] == ("PASS", 0.0)
     assert got["cash_weight_mean"][1] == 0.4
+
+
+def test_old_facts_are_known_from_the_first_day(spark):
+    days = [dt.date(2024, 1, d) for d in (4, 5)]
+    rows = [("old", T(2009, 3, 1, 1, 0), 1, 1.0), ("old", T(2008, 3, 1, 1, 0), 2, 2.0), ("none", None, 3, 3.0)]
+    old = spark.createDataFrame(rows, "key string, ts timestamp_ntz, seq int, v double")
+    got = pit.point_in_time(old, cutoffs(spark, days), "key", "ts", ["v"], "seq").collect()
+    assert {(r["key"], r["date"].day): r["v"] for r in got} == {("old", 4): 1.0, ("old", 5): 1.0}
