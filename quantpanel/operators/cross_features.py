@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quantpanel.config import FeatureConfig
 from quantpanel.functions.columns import annualise, by_ticker, trailing
+from quantpanel.functions.storage import materialise
 from quantpanel.operators.asset_features import equal_weight_return, returns_rowlag
 from quantpanel.operators.gram import (
     FLAT,
@@ -163,10 +164,14 @@ def breadth(grid: DataFrame, width: int = 20, group_rows: int | None = None) ->
 
 
 def cross_asset_features(prices: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
-    """All cross-sectional features keyed by asof_date."""
-    calendar = calendar_of(prices)
-    grid = return_grid(prices, calendar)
-    observed = observed_returns(prices, calendar)
+    """All cross-sectional features keyed by asof_date.
+
+    The returns are stored once, because every block reads them.
+    """
+    prices = materialise(prices.select("date", "ticker", "adj_close"))
+    calendar = materialise(calendar_of(prices))
+    grid = materialise(return_grid(prices, calendar))
+    observed = materialise(observed_returns(prices, calendar))
     blocks = [breadth(grid)]
     for width in cfg.cross_windows:
         blocks.append(correlation_and_vol(grid, width))

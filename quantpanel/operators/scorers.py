@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import json
+from dataclasses import asdict, dataclass, replace
 from itertools import product
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import (
+    GBTRegressionModel,
+    GBTRegressor,
+    LinearRegression,
+    LinearRegressionModel,
+)
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quantpanel.config import CostConfig, ExecutionConfig, ScorerConfig
 from quantpanel.operators.backtest import backtest_banded
+from quantpanel.operators.dataset import Scaling
 from quantpanel.operators.metrics import portfolio_metrics
 from quantpanel.operators.ranks import scaled_rank
 from quantpanel.operators.teacher import softmax_weights
@@ -35,6 +43,34 @@ class Scorer:
         return softmax_weights(scored, self.cfg.temperature, ["asof_date"], mask=mask)
 
 
+_MODELS = {"LinearRegressionModel": LinearRegressionModel, "GBTRegressionModel": GBTRegressionModel}
+
+
+def save_scorer(scorer: Scorer, path: str, scaling: Scaling | None = None) -> None:
+    """Store the model, its features and parameters, and the scaling of its inputs.
+
+    `path` is a folder in storage that all later runs reach; an existing one is replaced.
+    """
+    spec = {
+        "kind": type(scorer.model).__name__,
+        "features": list(scorer.features),
+        "cfg": asdict(scorer.cfg),
+        "scaling": None if scaling is None else asdict(scaling),
+    }
+    scorer.model.write().overwrite().save(f"{path}/model")
+    spark = SparkSession.active()
+    rows = spark.createDataFrame([(json.dumps(spec),)], "spec string").coalesce(1)
+    rows.write.mode("overwrite").text(f"{path}/spec")
+
+
+def load_scorer(spark: SparkSession, path: str) -> tuple[Scorer, Scaling | None]:
+    """What `save_scorer` stored."""
+    spec = json.loads(spark.read.text(f"{path}/spec").first()[0])
+    model = _MODELS[spec["kind"]].load(f"{path}/model")
+    scaling = None if spec["scaling"] is None else Scaling(**spec["scaling"])
+    return Scorer(model, tuple(spec["features"]), ScorerConfig(**spec["cfg"])), scaling
+
+
 def assemble(dataset: DataFrame, features: tuple[str, ...]) -> DataFrame:
     vector = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     return vector.transform(dataset)
@@ -167,11 +203,16 @@ UTILITY_SHAPE = (
 
 
 def utility_features(rows: DataFrame, shared: list[str], n_assets: int) -> DataFrame:
-    """State features followed by the candidate's weights as one vector column."""
-    weights = [F.get("weights", i).alias(f"_w{i}") for i in range(n_assets)]
-    wide = rows.select("*", *weights)
-    names = (*shared, *UTILITY_SHAPE, *[f"_w{i}" for i in range(n_assets)])
-    return assemble(wide, names).drop(*[f"_w{i}" for i in range(n_assets)])
+    """State features followed by the candidate's weights as one vector column.
+
+    The weights stay one array (missing members 0), however many members there are.
+    """
+    held = F.transform(
+        F.slice(F.concat("weights", F.array_repeat(F.lit(0.0), n_assets)), 1, n_assets),
+        lambda w: F.coalesce(w, F.lit(0.0)),
+    )
+    rows = rows.withColumn("_w", array_to_vector(held))
+    return assemble(rows, (*shared, *UTILITY_SHAPE, "_w")).drop("_w")
 
 
 def fit_utility(rows: DataFrame, cfg: ScorerConfig = ScorerConfig()):

@@ -181,14 +181,26 @@ def predict_dates(
     n_assets: int,
     cfg: ScorerConfig,
     split: str = "test",
+    path: str | None = None,
 ) -> DataFrame:
     """Weights for all dates of a split at once, as if the portfolio were equally weighted.
 
-    Features are filled with the train medians and scaled with the train moments.
+    Features are filled with the train medians and scaled with the train moments. With `path`,
+    the fitted scorer is stored there first, and the stored one predicts.
     """
     data, scaling = ds.prepare_dataset(features, labels, splits, universe, calendar, n_assets)
     scorer = sc.fit_scorer(materialise(data), ds.feature_columns(features), cfg)
+    if path is not None:
+        sc.save_scorer(scorer, path, scaling)
+        scorer, scaling = sc.load_scorer(features.sparkSession, path)
     wanted = sp.assign_split(features, splits).filter(F.col("split_name") == split)
+    return predict_rows(scorer, scaling, wanted, n_assets)
+
+
+def predict_rows(
+    scorer: sc.Scorer, scaling: ds.Scaling, wanted: DataFrame, n_assets: int
+) -> DataFrame:
+    """Weights of a fitted or loaded scorer for feature rows, with equal-weight context."""
     equal = F.lit(1.0 / n_assets)
     context = wanted.withColumns(
         {"prev_live_weight": equal, "prev_target_weight": equal, "delta_from_prev_target": F.lit(0.0)}

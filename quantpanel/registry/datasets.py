@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import functions as F
 
 from quantpanel.config import BUILTIN_PROFILES, ScorerConfig
-from quantpanel.functions.storage import materialise
+from quantpanel.functions.storage import materialise, stage_folder
 from quantpanel.operators import asset_features as af
 from quantpanel.operators import backtest as bt
 from quantpanel.operators import dataset as ds
@@ -429,6 +430,17 @@ def _m10(spark, sf):
     return rounded(sc.prediction_summary(_softmax_targets(DatasetInputs(spark, sf)), 3))
 
 
+@query("M10_stored_scorer")
+def _m10_stored(spark, sf):
+    """As M10_batch_prediction, through a scorer that was stored and loaded."""
+    inputs = DatasetInputs(spark, sf)
+    weights = research.predict_dates(
+        inputs.features, inputs.labels, inputs.splits, inputs.universe, inputs.calendar,
+        inputs.n_assets, LINEAR, path=f"{stage_folder(spark)}/scorer-{uuid.uuid4().hex}",
+    )
+    return rounded(weights.select("date", "ticker", "w"))
+
+
 @query("M10_batch_prediction")
 def _m10_model(spark, sf):
     """Fit on the train rows, predict every test date with equal-weight portfolio context."""

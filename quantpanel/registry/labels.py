@@ -241,6 +241,20 @@ def _l14(spark, sf):
     return rounded(costs.trading_cost(inputs.candidates, previous, inputs.adv, keys))
 
 
+@query(
+    "L14_asset_costs",
+    f"""WITH {LABEL_CTE} SELECT c.date, c.cand_id, c.ticker, {r('abs(c.w - p.w)', 'delta')},
+      {r(cost_sql('abs(c.w - p.w)', 'a.adv'), 'cost_bps')} FROM cand c
+      JOIN prev p ON p.date = c.date AND p.ticker = c.ticker
+      JOIN adv a ON a.date = c.date AND a.ticker = c.ticker""",
+)
+def _l14_assets(spark, sf):
+    inputs = LabelInputs(spark, sf)
+    ids = inputs.candidates.select("date", "cand_id").distinct()
+    previous = inputs.previous.join(ids, "date")
+    return rounded(costs.asset_costs(inputs.candidates, previous, inputs.adv, ["date", "cand_id"]))
+
+
 @query(
     "H05_spread_lookup",
     _grid_sql(

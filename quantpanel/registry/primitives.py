@@ -190,6 +190,80 @@ def _a11(spark, sf):
     return rounded(rows.select(*names, stamped), 7, dollar_volume=4)
 
 
+def _raw_orders(spark, sf):
+    """Orders as raw rows: text values, NaN for low ones; several rows per key."""
+    orders = panels.table(spark, sf, "orders")
+    return orders.select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.col("o_orderpriority").alias("maturity"),
+        F.col("o_orderpriority").alias("series_id"),
+        F.when(F.col("o_totalprice") < 50000, "NaN").otherwise(F.col("o_totalprice").cast("string")).alias("x"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("vintage_date"),
+        F.col("o_orderkey").alias("seq"),
+    )
+
+
+_ORDERS = """o AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS p,
+  CASE WHEN o_totalprice < 50000 THEN NULL ELSE o_totalprice END AS x, o_orderkey AS seq FROM orders)"""
+_STAMP = "'orders' AS source_name, '2' AS source_version, true AS stamped"
+
+
+def _stamped(rows, *names):
+    stamped = F.col("ingested_at").isNotNull().alias("stamped")
+    return rounded(rows.select(*names, "seq", "source_name", "source_version", stamped), 4)
+
+
+@query(
+    "A11_bronze_treasury",
+    f"""WITH {_ORDERS} SELECT date, p AS maturity, {r('x', 'yield_pct', 4)}, seq, {_STAMP} FROM o
+      WHERE x IS NOT NULL QUALIFY row_number() OVER (PARTITION BY date, p ORDER BY seq DESC) = 1""",
+)
+def _a11_treasury(spark, sf):
+    raw = _raw_orders(spark, sf).select("date", "maturity", F.col("x").alias("yield_pct"), "seq")
+    rows = tb.source_to_bronze(raw, "treasury", "orders", "2", "seq", ["yield_pct"])
+    return _stamped(rows, "date", "maturity", "yield_pct")
+
+
+@query(
+    "A11_bronze_factors",
+    f"""WITH {_ORDERS} SELECT date, {r('x', 'smb', 4)}, seq, {_STAMP} FROM o
+      QUALIFY row_number() OVER (PARTITION BY date ORDER BY seq DESC) = 1""",
+)
+def _a11_factors(spark, sf):
+    raw = _raw_orders(spark, sf).select("date", F.col("x").alias("smb"), "seq")
+    return _stamped(tb.source_to_bronze(raw, "factors", "orders", "2", "seq"), "date", "smb")
+
+
+@query(
+    "A11_bronze_macro",
+    f"""WITH {_ORDERS} SELECT p AS series_id, date, {r('x', 'value', 4)}, date AS vintage_date, seq, {_STAMP} FROM o
+      QUALIFY row_number() OVER (PARTITION BY p, date ORDER BY seq DESC) = 1""",
+)
+def _a11_macro(spark, sf):
+    raw = _raw_orders(spark, sf).select("series_id", "date", F.col("x").alias("value"), "vintage_date", "seq")
+    rows = tb.source_to_bronze(raw, "macro", "orders", "2", "seq")
+    return _stamped(rows, "series_id", "date", "value", "vintage_date")
+
+
+@query(
+    "A11_bronze_filings",
+    """SELECT CAST(user_id AS VARCHAR) AS key, event_type AS form, CAST(ts AS DATE) AS filing_date, CAST(event_id AS VARCHAR) AS accession_no,
+      event_id AS seq, 'events' AS source_name, '2' AS source_version, true AS stamped FROM events""",
+)
+def _a11_filings(spark, sf):
+    """Every event twice, as after a repeated download."""
+    events = panels.table(spark, sf, "events")
+    once = events.select(
+        F.col("user_id").alias("key"),
+        F.col("event_type").alias("form"),
+        F.date_format("ts", "yyyy-MM-dd").alias("filing_date"),
+        F.col("event_id").alias("accession_no"),
+        F.col("event_id").alias("seq"),
+    )
+    rows = tb.source_to_bronze(once.unionByName(once), "filings", "events", "2", "seq")
+    return _stamped(rows, "key", "form", "filing_date", "accession_no")
+
+
 # --- B: projections and predicates ----------------------------------------------------
 @query(
     "B01_derived_columns",

@@ -146,6 +146,51 @@ def with_provenance(df: DataFrame, source: str, version: str) -> DataFrame:
     )
 
 
+# Types and keys of the stored form of each source besides prices.
+SOURCE_TYPES = {
+    "treasury": {"date": "date", "maturity": "string", "yield_pct": "double"},
+    "factors": {"date": "date"},
+    "macro": {
+        "series_id": "string", "date": "date", "value": "double", "release_ts": "timestamp_ntz",
+        "vintage_date": "date",
+    },
+    "filings": {
+        "key": "string", "form": "string", "filing_date": "date", "accepted_ts": "timestamp_ntz",
+        "accession_no": "string",
+    },
+}
+SOURCE_KEYS = {
+    "treasury": ["date", "maturity"],
+    "factors": ["date"],
+    "macro": ["series_id", "date", "vintage_date"],
+    "filings": ["accession_no"],
+}
+
+
+def source_to_bronze(
+    raw: DataFrame, kind: str, source: str, version: str, sequence: str, required: list[str] = ()
+) -> DataFrame:
+    """Raw rows of a source to the stored form: types, one row per key (the last), provenance.
+
+    Columns named in `SOURCE_TYPES` are cast, values that don't fit become null; other numbers of
+    a factor table are doubles, NaN is null. Rows without a key or a `required` value are left out.
+    """
+    types = SOURCE_TYPES[kind]
+    keys = [k for k in SOURCE_KEYS[kind] if k in raw.columns]
+    columns = []
+    for name in raw.columns:
+        column = F.col(f"`{name}`")
+        if name in types:
+            column = column.try_cast(types[name])
+        elif kind == "factors" and name != sequence:
+            column = column.try_cast("double")
+        if types.get(name) == "double" or (kind == "factors" and name not in ("date", sequence)):
+            column = nan_to_null(column)
+        columns.append(column.alias(name))
+    clean = raw.select(*columns).dropna(subset=[*keys, *required])
+    return with_provenance(deduplicate(clean, keys, sequence), source, version)
+
+
 def to_bronze(raw: DataFrame, source: str, version: str, sequence: str) -> DataFrame:
     """Raw prices to the stored form: types, dollar volume, one row per key, provenance."""
     clean = with_dollar_volume(normalise_prices(raw))
