@@ -200,11 +200,17 @@ def split_audit(splits: DataFrame) -> DataFrame:
 
 
 def leakage_audit(
-    known: DataFrame, weights: DataFrame, ranked: DataFrame, labels: DataFrame, universe: DataFrame
+    known: DataFrame,
+    weights: DataFrame,
+    ranked: DataFrame,
+    labels: DataFrame,
+    universe: DataFrame,
+    vintages: DataFrame | None = None,
 ) -> DataFrame:
     """Number of violations per point-in-time and label rule.
 
     `known`: joined facts with their own time `known_ts` and the `cutoff` they were used at.
+    `vintages`: joined series values with their `vintage_date` and the same `cutoff`.
     """
     caps = universe.select("ticker", "weight_cap")
     late = known.agg(F.count(F.when(F.col("known_ts") > F.col("cutoff"), 1)).alias("v"))
@@ -224,6 +230,9 @@ def leakage_audit(
         "unsorted_top_k": unsorted,
         "negative_confidence": negative,
     }
+    if vintages is not None:
+        revised = F.col("vintage_date") > F.to_date("cutoff")
+        named["vintage_after_cutoff"] = vintages.agg(F.count(F.when(revised, 1)).alias("v"))
     return reduce(
         lambda a, b: a.unionByName(b),
         [_facts(df, "leakage", {name: (F.col("v"), "FAIL")}) for name, df in named.items()],

@@ -135,6 +135,27 @@ def _carry_forward(daily: DataFrame, calendar: DataFrame, key: str) -> DataFrame
     )
 
 
+def known_vintages(
+    series: DataFrame, calendar: DataFrame, key: str, value: str = "value"
+) -> DataFrame:
+    """(key, date, observed, vintage_date, value): what each cutoff knew of a revised series.
+
+    `series`: (key, date, release_ts, vintage_date, value). At a cutoff the latest observation
+    date released so far counts, in its latest vintage released so far.
+    """
+    facts = series.withColumnRenamed("date", "observed")
+    known = known_by_cutoff(facts, calendar, "release_ts")
+    newest = F.max(F.struct("observed", "vintage_date", "release_ts", value)).alias("_v")
+    daily = known.groupBy(key, "day_idx").agg(newest)
+    so_far = Window.partitionBy(key).orderBy("day_idx").rowsBetween(Window.unboundedPreceding, 0)
+    latest = daily.select(key, "day_idx", F.max("_v").over(so_far).alias("_v"))
+    filled = _carry_forward(latest, calendar, key)
+    days = calendar.select("day_idx", F.col("date"))
+    return filled.join(day_table(days, "day_idx"), "day_idx").select(
+        key, "date", "_v.observed", "_v.vintage_date", f"_v.{value}"
+    )
+
+
 def filing_features(
     filings: DataFrame, calendar: DataFrame, key: str, ts: str, forms: dict[str, str], days: int = 365
 ) -> DataFrame:

@@ -23,12 +23,16 @@ from quantpanel.operators.returns import adv20, returns_gap_zero, vol20_pop
 from quantpanel.sources.universe import universe_members, with_min_history
 
 
+STABLE = 1e-9  # weights that differ by less are the same
+
+
 @dataclass
 class TeacherResult:
     weights: DataFrame  # (date, horizon_h, ticker, prev_live, prev_target, soft, hard)
     labels: DataFrame  # one row per date and horizon
     records: DataFrame  # the kept candidates
     changed_share: float | None  # share of dates whose winner changed in the last pass
+    unstable_dates: int | None = None  # dates whose weights before the trade still moved
 
 
 def live_weights(
@@ -50,7 +54,7 @@ def live_weights(
 def teacher_labels(
     prices: DataFrame,
     previous: DataFrame | None = None,
-    passes: int = 0,
+    passes: int | None = 0,
     horizons: tuple[int, ...] = (20,),
     search: CandidateConfig = CandidateConfig(),
     objective: ObjectiveConfig = ObjectiveConfig(),
@@ -58,13 +62,17 @@ def teacher_labels(
     execution: ExecutionConfig = ExecutionConfig(),
     universe_cfg: UniverseConfig = UniverseConfig(),
     seed: int = 42,
+    rf: DataFrame | None = None,
 ) -> TeacherResult:
     """Score, rank and distil every date in parallel.
 
     The weights held before a date depend on the choices of all dates before it. Instead of
     walking the dates, a run takes them from `previous` (equal weight if not given) and each
     further pass derives them from the labels of the pass before. Pass k is exact for the
-    first k + 1 label dates; `changed_share` tells how much the last pass still moved.
+    first k + 1 label dates; `changed_share` tells how much the last pass still moved. With
+    `passes=None` passes follow until the weights before every date repeat (`STABLE`), which is
+    what walking the dates gives; one pass per date is enough, far fewer are usual.
+    `rf`: (date, rf) daily risk-free rate (0 if not given).
     """
     kept = with_min_history(prices, universe_cfg.min_history_rows)
     calendar = materialise(calendar_of(kept))
@@ -84,14 +92,15 @@ def teacher_labels(
     dates = calendar.select("date")
     held = previous if previous is not None else equal
     target = held
-    winners, changed = None, None
-    for number in range(passes + 1):
+    winners, changed, unstable = None, None, None
+    last_pass = passes if passes is not None else dates.count()
+    for number in range(last_pass + 1):
         state = {"prev_live": held, "prev_target": target}
         pool = all_candidates({**state, **fixed}, dates, universe, n_assets, search, seed)
         pool = materialise(pool)
         long = explode_candidates(pool, universe)
         scores = teacher.score_candidates(
-            long, returns, held, adv, horizons=horizons, objective=objective, cost=cost
+            long, returns, held, adv, rf, horizons=horizons, objective=objective, cost=cost
         )
         ranked = materialise(teacher.ranked_candidates(scores, 2 * search.top_k))
         weights, labels = teacher.label_tables(ranked, long, held, calendar, search)
@@ -103,13 +112,23 @@ def teacher_labels(
             )
             changed = moved.first()[0]
         winners = best
-        if number < passes:
+        if number < last_pass:
             primary = materialise(weights.filter(F.col("horizon_h") == horizons[0]))
             held_new = live_weights(primary, returns, calendar, execution)
             target_new = primary.select("date", "ticker", F.col("prev_target").alias("w"))
-            held = materialise(_complete(held_new, equal))
+            held_before, held = held, materialise(_complete(held_new, equal))
             target = materialise(_complete(target_new, equal))
-    return TeacherResult(weights, labels, teacher.candidate_records(ranked), changed)
+            if passes is None:
+                unstable = _moved_dates(held_before, held)
+                if unstable == 0:
+                    break
+    return TeacherResult(weights, labels, teacher.candidate_records(ranked), changed, unstable)
+
+
+def _moved_dates(before: DataFrame, after: DataFrame) -> int:
+    old = before.select("date", "ticker", F.col("w").alias("_old"))
+    moved = after.join(old, ["date", "ticker"]).filter(F.abs(F.col("w") - F.col("_old")) > STABLE)
+    return moved.select("date").distinct().count()
 
 
 def _complete(weights: DataFrame, fallback: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from quantpanel.registry.base import MACRO, P2, cal, query, r, rounded
 from quantpanel.registry.features import ALL_SQL, FEATURES_CTE, p2
 from quantpanel.registry.fixtures import LABEL_CTE, SCORES, LabelInputs
 from quantpanel.registry.labels import _ranked
-from quantpanel.registry.market import VIX, cutoff_calendar
+from quantpanel.registry.market import CUTS, VIX, cutoff_calendar
 from quantpanel.registry.primitives import RAW, _raw
 from quantpanel.sources import panels
 
@@ -158,3 +158,39 @@ def _u07(spark, sf):
     known = pit.point_in_time(facts, days, "key", "accepted_ts", ["known_ts"], "seq")
     known = known.join(days.select("date", "cutoff"), "date")
     return rounded(audit.leakage_audit(known, weights, ranked, labels, inputs.universe))
+
+
+@query(
+    "U07_leakage_violations",
+    f"""WITH {LABEL_CTE}, {SCORES}, {CUTS.replace("cuts AS", "cuts AS MATERIALIZED")},
+    sw AS (SELECT date, horizon_h, rank + 1 - 2 * (rank % 2) AS rk, objective_total FROM ranked WHERE rank < 10),
+    lab AS (SELECT date, horizon_h, max(objective_total) - min(objective_total) - 0.05 AS conf FROM topk GROUP BY 1, 2),
+    s AS (SELECT b.date, horizon_h, ticker, sum(CASE WHEN rank = 0 THEN w ELSE 0 END) AS hard FROM blend b JOIN cand c USING (date, cand_id) GROUP BY 1, 2, 3),
+    v AS (SELECT (SELECT count(*) FROM events e JOIN cuts ON CAST(e.ts AS DATE) = cuts.date WHERE e.ts > cuts.cutoff) AS late,
+      (SELECT count(*) FROM s WHERE 2 * hard > CASE WHEN ticker = 'CASH' THEN 1.0 ELSE 0.25 END + 1e-6) AS cap,
+      (SELECT count(*) FROM sw a JOIN sw b ON a.date = b.date AND a.horizon_h = b.horizon_h AND b.rk = a.rk + 1
+        WHERE b.objective_total > a.objective_total) AS uns,
+      (SELECT count(*) FROM lab WHERE conf < 0) AS neg,
+      (SELECT count(*) FROM events e JOIN cuts ON CAST(e.ts AS DATE) = cuts.date WHERE CAST(e.ts AS DATE) + 1 > CAST(cuts.cutoff AS DATE)) AS vint)
+    {_checks('leakage', 'v', [('fact_after_cutoff', 'late', 'FAIL'), ('weight_above_cap', 'cap', 'FAIL'), ('unsorted_top_k', 'uns', 'FAIL'), ('negative_confidence', 'neg', 'FAIL'), ('vintage_after_cutoff', 'vint', 'FAIL')])}""",
+)
+def _u07_violations(spark, sf):
+    """Every rule broken on purpose: facts used on their own day whatever the hour, doubled
+    weights, neighbouring ranks exchanged, confidence lowered, vintages of the next day."""
+    inputs = LabelInputs(spark, sf)
+    ranked = _ranked(inputs)
+    weights, labels = teacher.distill(ranked, inputs.candidates)
+    days = cutoff_calendar(spark, sf).select("date", "cutoff")
+    facts = panels.event_facts(spark, sf)
+    naive = facts.withColumn("date", F.to_date("accepted_ts")).join(days, "date")
+    exchanged = ranked.withColumn("rank", F.expr("rank + 1 - 2 * (rank % 2)"))
+    return rounded(
+        audit.leakage_audit(
+            naive.withColumn("known_ts", F.col("accepted_ts")),
+            weights.withColumn("hard", 2 * F.col("hard")),
+            exchanged,
+            labels.withColumn("teacher_confidence", F.col("teacher_confidence") - 0.05),
+            inputs.universe,
+            vintages=naive.withColumn("vintage_date", F.date_add("date", 1)),
+        )
+    )

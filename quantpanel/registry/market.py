@@ -114,6 +114,27 @@ def _c07(spark, sf):
     return rounded(rows)
 
 
+@query(
+    "C07_vintages",
+    f"""WITH {CUTS}, s AS (SELECT user_id AS series, CAST(ts AS DATE) - CAST(event_id % 5 AS INTEGER) AS observed, CAST(ts AS DATE) AS vintage, ts, value FROM events),
+    m AS (SELECT k.series, c.date, max((s.observed, s.vintage, s.ts, s.value)) AS v
+      FROM (SELECT DISTINCT series FROM s) k CROSS JOIN cuts c JOIN s ON s.series = k.series AND s.ts <= c.cutoff GROUP BY 1, 2)
+    SELECT series, date, v[1] AS observed, v[2] AS vintage_date, {r('v[4]', 'value')} FROM m""",
+)
+def _c07_vintages(spark, sf):
+    """Events as values of a series that are observed up to four days before their release."""
+    events = panels.table(spark, sf, "events")
+    day = F.to_date("ts")
+    series = events.select(
+        F.col("user_id").alias("series"),
+        F.date_sub(day, (F.col("event_id") % 5).cast("int")).alias("date"),
+        day.alias("vintage_date"),
+        F.col("ts").alias("release_ts"),
+        "value",
+    )
+    return rounded(pit.known_vintages(series, cutoff_calendar(spark, sf), "series"))
+
+
 @query(
     "C07_asof_join",
     f"""WITH l AS (SELECT user_id AS key, ts, event_id FROM events),

@@ -151,3 +151,20 @@ def test_label_run(spark):
     first = business_days(2)
     pick = lambda df: matrix_of(df.filter(F.col("date").isin(first)), "hard")
     np.testing.assert_allclose(pick(weights), pick(more.weights), atol=1e-12)
+
+
+def test_label_run_until_stable(spark):
+    """Passes end when the weights before every date repeat; a further one changes nothing."""
+    frame = price_frame(spark, price_matrix(14, 3, seed=9))
+    rules = CandidateConfig(
+        dirichlet_candidates_per_day=0, local_perturbations_per_seed=0,
+        deterministic=("equal_weight", "cash_only", "inverse_vol"),
+    )
+    settings = dict(search=rules, horizons=(5,), universe_cfg=UniverseConfig(min_history_rows=5, max_single_name_weight=0.5))
+    result = teacher_labels(frame, passes=None, **settings)
+    assert result.unstable_dates == 0
+    held = result.weights.select("date", "ticker", F.col("prev_live").alias("w"))
+    days = matrix_of(held, "w").shape[0]
+    walked = teacher_labels(frame, passes=days, **settings)
+    for name in ("prev_live", "hard", "soft"):
+        np.testing.assert_allclose(matrix_of(result.weights, name), matrix_of(walked.weights, name), atol=1e-8)

@@ -159,3 +159,15 @@ def test_scaling_uses_train_rows_only(spark):
     assert scaling.medians == {"a": 2.0, "b": 0.0}
     assert scaling.means["a"] == pytest.approx(2.0)
     assert scaling.stds["a"] == pytest.approx(np.std([1.0, 3.0, 2.0])) and scaling.stds["b"] == 1.0
+
+
+@pytest.mark.parametrize("kind", ["linear", "gbm"])
+def test_stored_scorer_predicts_the_same(spark, tmp_path, kind):
+    data = model_rows(spark)
+    scorer = sc.fit_scorer(data, ["a", "b"], ScorerConfig(kind=kind, max_iter=3, max_depth=2))
+    scaling = ds.Scaling({"a": 1.0, "b": 0.5}, {"a": 0.0, "b": 0.1}, {"a": 1.0, "b": 2.0})
+    sc.save_scorer(scorer, str(tmp_path / "scorer"), scaling)
+    loaded, again = sc.load_scorer(spark, str(tmp_path / "scorer"))
+    assert (loaded.features, loaded.cfg, again) == (scorer.features, scorer.cfg, scaling)
+    old, new = (sorted(r.score for r in x.scores(data).collect()) for x in (scorer, loaded))
+    assert old == new
