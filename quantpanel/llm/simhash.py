@@ -32,6 +32,8 @@ from quantpanel.llm.rows import map_batches, texts
 
 SEED = 42
 PAIR_BUCKET = 256  # buckets up to this size are compared in pairs
+PAIRED_MEMBERS = 32  # members of a bucket that similar_texts compares in pairs
+FURTHER_BLOCKS = 4  # blocks that split a larger bucket
 RECALL = 0.99  # of a pair at the least similarity, in similar_texts
 
 
@@ -180,10 +182,12 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     least similarity is found with a probability of ``RECALL``, nearer ones almost surely.
 
     Texts with the same fingerprint (equal shingle sets; all texts without words) are one node.
-    A bucket of up to ``PAIR_BUCKET`` nodes is compared in pairs. The members of a larger one are
-    compared with its smallest node and, in pairs or again with the smallest, inside the buckets
-    that they share in further blocks, so that no group of copies is expanded into all its pairs.
-    Repeated rows share one result; rows without a doc_id are grouped with equal fingerprints only.
+    The members of each bucket are first compared with one of them, the one of the least first
+    word, which already joins most of a large group of copies. Only members of
+    different groups are then compared in pairs, in buckets of up to ``PAIRED_MEMBERS``; larger ones
+    are split by further blocks first, and what is larger even then is compared with one member.
+    So no group of copies is expanded into all its pairs. Repeated rows share one result; rows
+    without a doc_id are grouped with equal fingerprints only.
     """
     bits, count = blocks_for(docs.count(), similarity)
     per_word = 64 // bits
@@ -192,6 +196,8 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     nodes = materialise(
         rows.groupBy("fingerprint").agg(F.min("doc_id").alias("node")).where("node is not null")
     )
+    head = F.col("fingerprint")[0].alias("head")
+    heads = nodes.groupBy(head).agg(F.min("node").alias("first"))
     mask = (1 << bits) - 1
     blocks = F.array(
         *(
@@ -199,62 +205,97 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
             for j in range(count)
         )
     )
-    head = F.col("fingerprint")[0].alias("head")
-    keyed = nodes.select("node", head, F.posexplode(blocks).alias("block", "value")).select(
-        "node", "head", "block", F.xxhash64("block", "value").alias("key")
-    )
     share = bit_difference(similarity)
     reach = lambda n, deviations: int(n * share + deviations * math.sqrt(n * share * (1 - share)))
-    pairs, large = _bucket_pairs(keyed, reach(64, 4))
-    further = (
-        large.select("node", "head", "block", "key")
-        .join(nodes.select("node", blocks.alias("blocks")), "node")
-        .select("node", "head", "block", "key", "blocks", F.explode(F.array(*map(F.lit, range(1, 5)))).alias("step"))
+    near = F.bit_count(F.col("head").bitwiseXOR(F.col("other"))) <= reach(64, 4)
+
+    def bucketed(members: DataFrame) -> DataFrame:
+        """``members`` (fingerprint and others) once per block."""
+        own = [c for c in members.columns if c != "fingerprint"]
+        return members.select(*own, head, F.posexplode(blocks).alias("block", "value")).select(
+            *own, "head", "block", F.xxhash64("block", "value").alias("key")
+        )
+
+    def with_one(met: DataFrame) -> DataFrame:
+        """Candidate pairs of each member with the member of the least first word."""
+        met = met.withColumnRenamed("low", "other").where(near)
+        named = heads.select(F.col("head").alias("other"), F.col("first").alias("a"))
+        return met.select("node", "other").distinct().join(named, "other").select("a", F.col("node").alias("b"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The candidate pairs that are similar."""
+        pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        total = 64 * words
+        apart = sum(
+            (F.bit_count(F.col("fingerprint")[w].bitwiseXOR(F.col("other")[w])) for w in range(words)), F.lit(0)
+        )
+        close = materialise(
+            pairs.distinct()
+            .join(nodes.withColumnRenamed("node", "a"), "a")
+            .join(nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("other")), "b")
+            .select("a", "b", apart.alias("apart"))
+            .where(F.col("apart") <= reach(total, 3))
+        )
+        sure = F.col("apart") < reach(total, -3)
+        found = close.where(sure).unionByName(_verified(close.where(~sure), docs, size, similarity))
+        return materialise(found.select("a", "b"))
+
+    keyed = bucketed(nodes)
+    lows = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("head").alias("low")).where("n > 1")
+    twins = nodes.select("node", head, head.alias("low"))
+    first_links = linked(
+        with_one(keyed.join(lows, "key").select("node", "head", "low").where("head <> low").unionByName(twins))
+    )
+    groups = components(first_links).withColumnRenamed("component", "grouped")
+    members = nodes.join(groups, "node", "left").select(
+        "node", "fingerprint", F.coalesce("grouped", "node").alias("group")
+    )
+
+    def mixed(keyed: DataFrame) -> DataFrame:
+        """The members of the buckets that hold several groups."""
+        sizes = keyed.groupBy("key").agg(
+            F.count("*").alias("n"),
+            F.min("head").alias("low"),
+            F.min("group").alias("least"),
+            F.max("group").alias("most"),
+        )
+        return materialise(keyed.join(sizes.where("least < most").drop("least", "most"), "key"))
+
+    def in_pairs(met: DataFrame) -> DataFrame:
+        """Candidate pairs of different groups in the buckets that are small enough."""
+        small = met.where(F.col("n") <= PAIRED_MEMBERS).select("key", "node", "head", "group")
+        right = small.withColumnsRenamed({"node": "b", "head": "other", "group": "group_b"})
+        return (
+            small.join(right, "key")
+            .where((F.col("node") < F.col("b")) & (F.col("group") != F.col("group_b")) & near)
+            .select(F.col("node").alias("a"), "b")
+        )
+
+    met = mixed(bucketed(members))
+    steps = F.explode(F.array(*map(F.lit, range(1, FURTHER_BLOCKS + 1)))).alias("step")
+    crowded = met.where(F.col("n") > PAIRED_MEMBERS).select("node", "block", "key")
+    split = (
+        crowded.join(members, "node")
+        .select("node", head, "group", "block", "key", blocks.alias("blocks"), steps)
         .select(
             "node",
             "head",
-            "block",
+            "group",
             F.xxhash64("key", "step", F.get("blocks", (F.col("block") + F.col("step")) % count)).alias("key"),
         )
     )
-    more, _ = _bucket_pairs(further, reach(64, 4))
-    total = 64 * words
-    apart = sum(
-        (F.bit_count(F.col("fingerprint")[w].bitwiseXOR(F.col("other")[w])) for w in range(words)), F.lit(0)
+    parts = mixed(split)
+    left_over = parts.where((F.col("n") > PAIRED_MEMBERS) & (F.col("head") != F.col("low")))
+    second_links = linked(
+        in_pairs(met).unionByName(in_pairs(parts)).unionByName(with_one(left_over.select("node", "head", "low")))
     )
-    near = materialise(
-        pairs.unionByName(more)
-        .distinct()
-        .join(nodes.withColumnRenamed("node", "a"), "a")
-        .join(nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("other")), "b")
-        .select("a", "b", apart.alias("apart"))
-        .where(F.col("apart") <= reach(total, 3))
-    )
-    sure = F.col("apart") < reach(total, -3)
-    links = near.where(sure).unionByName(_verified(near.where(~sure), docs, size, similarity))
-    groups = components(links.select("a", "b"))
+    groups = components(first_links.unionByName(second_links))
     labels = nodes.join(groups, "node", "left").select(
         "fingerprint", F.coalesce("component", "node").alias("component_id")
     )
     return rows.join(labels, "fingerprint", "left").select("doc_id", "component_id")
 
 
-def _bucket_pairs(keyed: DataFrame, reach: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a, b) of the buckets, and the members of the buckets that are large."""
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low")).where("n > 1")
-    met = materialise(keyed.join(sizes, "key"))
-    small = met.where(F.col("n") <= PAIR_BUCKET).select("key", F.col("node").alias("a"), "head")
-    other = small.withColumnsRenamed({"a": "b", "head": "head_b"})
-    pairs = (
-        small.join(other, "key")
-        .where((F.col("a") < F.col("b")) & (F.bit_count(F.col("head").bitwiseXOR(F.col("head_b"))) <= reach))
-        .select("a", "b")
-    )
-    large = met.where(F.col("n") > PAIR_BUCKET)
-    stars = large.where("node > low").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    return pairs.unionByName(stars), large
-
-
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs whose shingle sets are similar, by the sets' hashes."""
     pairs = materialise(pairs)

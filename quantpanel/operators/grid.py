@@ -11,15 +11,20 @@ from quantpanel.functions.columns import by_ticker
 
 
 DAY_KEYS = ("date", "asof_date", "day_idx")
+DAY_TABLE_COLUMNS = 64
 
 
 def day_table(table: DataFrame, keys: list[str] | str = "date") -> DataFrame:
     """Mark a table with one row (or a few) per calendar day for broadcast.
 
-    The key proves the bound: a century has 36,525 days. Joining such a table by shuffle would
-    move the large side by date, and one date may hold a large part of it. Tables with any
-    other key are left to the planner.
+    The key proves the bound: a century has 36,525 days, and a table of more than
+    `DAY_TABLE_COLUMNS` columns (or with arrays) is left to the planner, so that no more than about
+    20 MB are sent. Joining such a table by shuffle would move the large side by date, and one date
+    may hold a large part of it. Tables with any other key are left to the planner as well.
     """
+    wide = any(f.dataType.typeName() in ("array", "map", "struct") for f in table.schema.fields)
+    if wide or len(table.columns) > DAY_TABLE_COLUMNS:
+        return table
     keys = [keys] if isinstance(keys, str) else list(keys)
     if len(keys) != 1 or keys[0] not in DAY_KEYS:
         return table

@@ -11,11 +11,15 @@ from quantpanel.functions.columns import ratio
 
 METADATA_COLUMNS = ("source_ts", "ingested_at", "source_name", "source_version")
 VIX_SERIES = "VIXCLS"
+MAX_PIVOT_VALUES = 2_000
 
 
 def distinct_values(df: DataFrame, column: str) -> list[str]:
-    """Pivot values of a column that names output columns (so they are few by nature)."""
-    return [row[0] for row in df.select(column).distinct().orderBy(column).collect()]
+    """Pivot values of a column that names output columns, at most `MAX_PIVOT_VALUES`."""
+    found = df.select(column).distinct().limit(MAX_PIVOT_VALUES + 1).collect()
+    if len(found) > MAX_PIVOT_VALUES:
+        raise ValueError(f"{column} has more than {MAX_PIVOT_VALUES} values; name the ones wanted")
+    return sorted((row[0] for row in found), key=lambda v: (v is not None, v))
 
 
 def vix_features(series: DataFrame) -> DataFrame:

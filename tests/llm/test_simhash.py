@@ -113,9 +113,9 @@ def jaccard_components(rows, size=5, similarity=0.8):
     return brute_components(list(sets), linked)
 
 
-@pytest.mark.parametrize("bucket", [256, 4])
+@pytest.mark.parametrize("bucket", [32, 4])
 def test_similar_texts_against_brute_force(spark, monkeypatch, bucket):
-    monkeypatch.setattr(simhash, "PAIR_BUCKET", bucket)
+    monkeypatch.setattr(simhash, "PAIRED_MEMBERS", bucket)
     rows = near_copies() + [(500, ""), (501, None), (502, "one two"), (503, "ONE two")]
     got = {r.doc_id: r.component_id for r in simhash.similar_texts(documents(spark, rows)).collect()}
     want = jaccard_components(rows)
