@@ -101,7 +101,7 @@ class DatasetInputs(LabelInputs):
         return materialise(data)
 
 
-LAB = f"""{LABEL_CTE}, lab AS (SELECT c1.date AS asof_date, c1.day_idx, c1.ticker, p.w AS live,
+LAB = f"""{LABEL_CTE}, lab AS MATERIALIZED (SELECT c1.date AS asof_date, c1.day_idx, c1.ticker, p.w AS live,
     CASE WHEN c1.day_idx % 5 <> 0 THEN c1.w END AS hard, c2.w AS soft,
     CASE WHEN c1.day_idx % 4 <> 0 THEN next_date END AS prediction_date, next_date,
     0.05 + c1.day_idx % 7 * 0.5 AS confidence

@@ -118,7 +118,7 @@ adv AS (SELECT date, day_idx, ticker, avg(coalesce(dollar_volume, 0)) OVER (PART
 
 
 def cand_sql(n: int, name: str = "cand") -> str:
-    return f"""{name} AS (SELECT date, day_idx, cand_id, ticker,
+    return f"""{name} AS MATERIALIZED (SELECT date, day_idx, cand_id, ticker,
     x / sum(x) OVER (PARTITION BY date, cand_id) AS w FROM (
       SELECT g.date, g.day_idx, c AS cand_id, g.ticker,
         CAST(1 + (7*asset_idx + 13*c + 3*g.day_idx) % 23 AS DOUBLE) AS x
