@@ -12,7 +12,7 @@ from quantpanel.operators import splits
 from quantpanel.operators.grid import calendar_of
 from quantpanel.registry.base import P2, cal, query, r, rounded
 from quantpanel.registry.features import p2
-from quantpanel.registry.fixtures import BASE, LabelInputs, cand_sql, cost_sql
+from quantpanel.registry.fixtures import MIN_VARIANCE, BASE, LabelInputs, cand_sql, cost_sql
 from quantpanel.sources import panels
 
 # Shorter walk-forward windows than the default so that the panel holds several folds.
@@ -240,14 +240,6 @@ def _p05g(spark, sf):
     return rounded(mt.portfolio_metrics(daily, net=False))
 
 
-@query("P06_baseline_suite")
-def _p06(spark, sf):
-    inputs = LabelInputs(spark, sf)
-    hard = inputs.candidates.filter(F.col("cand_id") == 1)
-    signals = ev.baseline_signals(inputs.returns, inputs.filled, hard)
-    return rounded(mt.portfolio_metrics(bt.backtest_banded(signals, inputs.filled)[0]))
-
-
 RULE_PATHS = f"""{BASE}, {cand_sql(2)}, vl AS (SELECT date, ticker, CASE WHEN day_idx >= 20 THEN stddev_pop(ret) OVER (PARTITION BY ticker
     ORDER BY day_idx ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) * sqrt(252.0) END AS v FROM gz),
   hold AS (SELECT date, ticker, coalesce(exp(sum(ln(1 + ret)) OVER (PARTITION BY ticker ORDER BY date
@@ -260,6 +252,21 @@ RULE_PATHS = f"""{BASE}, {cand_sql(2)}, vl AS (SELECT date, ticker, CASE WHEN da
   paths AS (SELECT path_id, day_idx, 0.005::DOUBLE AS band, 0.5::DOUBLE AS alpha, 1.0::DOUBLE AS cost_scale,
     list(w ORDER BY asset_idx) AS t, list(1 + ret ORDER BY asset_idx) AS g
     FROM sig JOIN gf USING (date, ticker) JOIN uni USING (ticker) GROUP BY 1, 2)"""
+ALL_PATHS = RULE_PATHS.replace("  sig AS (", f"""  {MIN_VARIANCE},
+  sig AS (SELECT 'min_variance' AS path_id, date, ticker, w / sum(w) OVER (PARTITION BY date) AS w
+    FROM solved JOIN uni ON uni.asset_idx + 1 = i UNION ALL """)
+
+
+@query(
+    "P06_baseline_suite",
+    f"""WITH RECURSIVE {ALL_PATHS}, {banded_sql('paths')}, {BANDED_DAILY}, {metric_sql()}
+    SELECT path_id, {METRIC_SELECT} FROM metrics""",
+)
+def _p06(spark, sf):
+    inputs = LabelInputs(spark, sf)
+    hard = inputs.candidates.filter(F.col("cand_id") == 1)
+    signals = ev.baseline_signals(inputs.returns, inputs.filled, hard)
+    return rounded(mt.portfolio_metrics(bt.backtest_banded(signals, inputs.filled)[0]))
 
 
 @query(
@@ -268,7 +275,7 @@ RULE_PATHS = f"""{BASE}, {cand_sql(2)}, vl AS (SELECT date, ticker, CASE WHEN da
     SELECT path_id, {METRIC_SELECT} FROM metrics""",
 )
 def _p06_rules(spark, sf):
-    """The baselines that SQL can express (all but the minimum-variance portfolio)."""
+    """The baselines without the minimum-variance portfolio."""
     inputs = LabelInputs(spark, sf)
     hard = inputs.candidates.filter(F.col("cand_id") == 1)
     names = tuple(n for n in ev.BASELINES if n != "min_variance")

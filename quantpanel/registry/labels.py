@@ -12,6 +12,7 @@ from quantpanel.plans.labels import teacher_labels
 from quantpanel.registry.base import MACRO, P2, grid, query, r, rounded
 from quantpanel.registry.features import p2
 from quantpanel.registry.fixtures import (
+    MIN_VARIANCE,
     BASE,
     LABEL_CTE,
     SCORES,
@@ -127,19 +128,6 @@ def _l08(spark, sf):
     return rounded(portfolios.minimum_variance(daily))
 
 
-# One Gauss-Jordan step per asset; the matrices are positive definite, so no pivot search is needed.
-MIN_VARIANCE = """px AS (SELECT g.date, g.day_idx, u.asset_idx + 1 AS i, ret FROM gf g JOIN uni u USING (ticker)),
-  cv AS (SELECT a.date, a.i, b.i AS j, CASE WHEN a.day_idx >= 1 THEN covar_samp(CASE WHEN a.day_idx >= 1 THEN a.ret END, b.ret)
-      OVER (PARTITION BY a.i, b.i ORDER BY a.day_idx ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) END AS c
-    FROM px a JOIN px b ON a.day_idx = b.day_idx),
-  mat AS MATERIALIZED (SELECT date, list(line ORDER BY i) AS a, count(*) AS n FROM (
-    SELECT date, i, list_append(list(coalesce(CASE WHEN isfinite(c) THEN c END, 0) + CASE WHEN i = j THEN 1e-6 ELSE 0 END ORDER BY j), 1.0) AS line FROM cv GROUP BY 1, 2) GROUP BY 1),
-  gauss AS (SELECT date, n, 1 AS k, a FROM mat UNION ALL
-    SELECT date, n, k + 1, list_transform(range(1, n + 1), lambda i: list_transform(range(1, n + 2),
-      lambda j: CASE WHEN i = k THEN a[k][j] / a[k][k] ELSE a[i][j] - a[i][k] * a[k][j] / a[k][k] END)) FROM gauss WHERE k <= n),
-  solved AS (SELECT date, unnest(range(1, n + 1)) AS i, unnest(list_transform(a, lambda x: greatest(x[n + 1], 0))) AS w FROM gauss WHERE k = n + 1)"""
-
-
 @query(
     "L08_minimum_variance_types",
     f"""WITH RECURSIVE {BASE}, {MIN_VARIANCE} SELECT date, ticker, {r('w / sum(w) OVER (PARTITION BY date)', 'w')}
