@@ -298,9 +298,36 @@ def _weights(spark, sf, cfg):
     return rounded(scorer.weights(test).select("asof_date", "prediction_date", "ticker", "score", "w"))
 
 
-@query("M01_ridge_scorer")
+def _ridge_sql(penalty: float = 0.01) -> str:
+    """`beta`: coefficients of the weighted normal equations, the free intercept last."""
+    names = [*(f"z_{n}" for n in NAMES), "1.0"]
+    n = len(names)
+    lines = []
+    for i, a in enumerate(names):
+        own = [f"sum(sw * {a} * {b})" + (f" + {penalty}" if i == j and j < n - 1 else "") for j, b in enumerate(names)]
+        lines.append(f"[{', '.join([*own, f'sum(sw * {a} * target_score)'])}]")
+    scaled = ", ".join(
+        f"({c} - mu_{c}) / CASE WHEN sd_{c} < 1e-8 THEN 1.0 ELSE sd_{c} END AS z_{c}" for c in NAMES
+    )
+    return f"""{SCALED}, zs AS MATERIALIZED (SELECT asof_date, prediction_date, ticker, split_name, target_score,
+    greatest(least(confidence, 10.0), 0.1) AS sw, {scaled} FROM filled, stat),
+  gauss AS (SELECT 1 AS k, [{', '.join(lines)}] AS a FROM zs WHERE split_name = 'train' UNION ALL
+    SELECT k + 1, list_transform(range(1, {n + 1}), lambda i: list_transform(range(1, {n + 2}),
+      lambda j: CASE WHEN i = k THEN a[k][j] / a[k][k] ELSE a[i][j] - a[i][k] * a[k][j] / a[k][k] END)) FROM gauss WHERE k <= {n}),
+  beta AS MATERIALIZED (SELECT list_transform(a, lambda x: x[{n + 1}]) AS b FROM gauss WHERE k = {n + 1})"""
+
+
+_SCORE_SQL = f"list_dot_product([{', '.join(f'z_{n}' for n in NAMES)}, 1.0], b)"
+
+
+@query(
+    "M01_ridge_scorer",
+    f"""WITH RECURSIVE {_ridge_sql()}, sc AS (SELECT asof_date, prediction_date, ticker, {_SCORE_SQL} AS score FROM zs, beta WHERE split_name = 'test'),
+    e AS (SELECT *, exp((score - max(score) OVER (PARTITION BY asof_date)) / {LINEAR.temperature}) AS e FROM sc)
+    SELECT asof_date, prediction_date, ticker, {r('score', 'score', 2)}, {r('e / sum(e) OVER (PARTITION BY asof_date)', 'w', 2)} FROM e""",
+)
 def _m01(spark, sf):
-    return _weights(spark, sf, LINEAR)
+    return rounded(_weights(spark, sf, LINEAR), 2)  # the solvers agree to about seven digits
 
 
 @query("M02_gbm_scorer")
@@ -352,11 +379,15 @@ def _m05(spark, sf):
     return rounded(named.join(trees.withColumnRenamed("importance", "gbm"), "feature"))
 
 
-@query("G05_top_features")
+@query(
+    "G05_top_features",
+    f"""WITH RECURSIVE {_ridge_sql()}, f AS (SELECT unnest([{', '.join(f"'{n}'" for n in NAMES)}]) AS feature, unnest(b[:{len(NAMES)}]) AS c FROM beta)
+    SELECT feature, {r('abs(c)', 'importance', 5)} FROM f ORDER BY abs(c) DESC, feature LIMIT 20""",
+)
 def _g05(spark, sf):
     rows = DatasetInputs(spark, sf).prepared
     scorer = sc.fit_scorer(rows, list(NAMES), LINEAR)
-    return rounded(sc.top_features(sc.feature_importance(scorer, spark), 20))
+    return rounded(sc.top_features(sc.feature_importance(scorer, spark), 20), 5)
 
 
 @query("M06_utility_scorer")
