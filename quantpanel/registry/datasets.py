@@ -461,7 +461,24 @@ def _m10(spark, sf):
     return rounded(sc.prediction_summary(_softmax_targets(DatasetInputs(spark, sf)), 3))
 
 
-@query("M10_stored_scorer")
+def _context_sql() -> str:
+    """Scaled features of the test dates with an equally weighted portfolio as context."""
+    equal = "1.0 / (SELECT count(*) FROM uni)"
+    given = {"prev_live_weight": equal, "prev_target_weight": equal, "delta_from_prev_target": "0.0"}
+    columns = ", ".join(
+        f"({given.get(n, f'coalesce({n}, md_{n})')} - mu_{n}) / CASE WHEN sd_{n} < 1e-8 THEN 1.0 ELSE sd_{n} END AS z_{n}"
+        for n in NAMES
+    )
+    return f"""ctx AS (SELECT asof_date, ticker, {columns} FROM ft JOIN splits ON asof_date BETWEEN start_date AND end_date, med, stat
+    WHERE split_name = 'test')"""
+
+
+_BATCH_SQL = f"""WITH RECURSIVE {_ridge_sql()}, {_context_sql()}, sc AS (SELECT asof_date AS date, ticker, {_SCORE_SQL} AS score FROM ctx, beta),
+    e AS (SELECT *, exp((score - max(score) OVER (PARTITION BY date)) / {LINEAR.temperature}) AS e FROM sc)
+    SELECT date, ticker, {r('e / sum(e) OVER (PARTITION BY date)', 'w', 2)} FROM e"""
+
+
+@query("M10_stored_scorer", _BATCH_SQL)
 def _m10_stored(spark, sf):
     """As M10_batch_prediction, through a scorer that was stored and loaded."""
     inputs = DatasetInputs(spark, sf)
@@ -469,10 +486,10 @@ def _m10_stored(spark, sf):
         inputs.features, inputs.labels, inputs.splits, inputs.universe, inputs.calendar,
         inputs.n_assets, LINEAR, path=f"{stage_folder(spark)}/scorer-{uuid.uuid4().hex}",
     )
-    return rounded(weights.select("date", "ticker", "w"))
+    return rounded(weights.select("date", "ticker", "w"), 2)
 
 
-@query("M10_batch_prediction")
+@query("M10_batch_prediction", _BATCH_SQL)
 def _m10_model(spark, sf):
     """Fit on the train rows, predict every test date with equal-weight portfolio context."""
     inputs = DatasetInputs(spark, sf)
@@ -480,7 +497,7 @@ def _m10_model(spark, sf):
         inputs.features, inputs.labels, inputs.splits, inputs.universe, inputs.calendar,
         inputs.n_assets, LINEAR,
     )
-    return rounded(weights.select("date", "ticker", "w"))
+    return rounded(weights.select("date", "ticker", "w"), 2)
 
 
 # --- prediction quality ---------------------------------------------------------------
