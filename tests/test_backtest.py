@@ -97,13 +97,6 @@ def test_paths_do_not_influence_each_other(spark, random_case):
     np.testing.assert_array_equal(alone["net"], mine["net"])
 
 
-def test_incomplete_path_is_an_error(random_case):
-    _, _, sig, ret = random_case
-    holes = sig.filter(~((F.col("day_idx") == 5) & (F.col("ticker") == "T001")))
-    with pytest.raises(Exception, match="every ticker"):
-        bt.backtest_banded(holes, ret)[0].count()
-
-
 def test_cost_scenarios_scale_from_the_same_base(spark, random_case):
     _, _, sig, ret = random_case
     paths = bt.scenario_signals(sig, ev.cost_scenarios(spark))
