@@ -33,6 +33,7 @@ from quantpanel.llm.rows import map_batches, texts
 SEED = 42
 PAIR_BUCKET = 256  # buckets up to this size are compared in pairs
 PAIRED_MEMBERS = 32  # members of a bucket that similar_texts compares in pairs
+FIRST_BLOCKS = 16  # blocks in which similar_texts compares with one member first
 FURTHER_BLOCKS = 4  # blocks that split a larger bucket
 RECALL = 0.99  # of a pair at the least similarity, in similar_texts
 
@@ -159,14 +160,14 @@ def fingerprint_components(docs: DataFrame, size: int = 3) -> DataFrame:
 
 
 def blocks_for(rows: int, similarity: float, recall: float = RECALL) -> tuple[int, int]:
-    """Bits of a block and number of blocks of fingerprints of so many texts.
+    """Bits of a block (16 at least) and number of blocks of fingerprints of so many texts.
 
     Two sets of Jaccard similarity J differ in a bit with probability acos(2J / (1 + J)) / pi. A block
-    has few enough bits for a text to meet about four others by chance, whatever the number of
-    texts, and there are as many blocks as a pair at the least similarity needs to share one.
+    has enough bits for a text to meet about four others by chance at most, whatever the number
+    of texts, and there are as many blocks as a pair at the least similarity needs to share one.
     """
     agree = 1 - bit_difference(similarity)
-    bits = max(8, min(32, math.ceil(math.log2(max(rows, 2))) - 2))
+    bits = max(16, min(32, math.ceil(math.log2(max(rows, 2))) - 2))
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree**bits))
 
 
@@ -182,11 +183,12 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     least similarity is found with a probability of ``RECALL``, nearer ones almost surely.
 
     Texts with the same fingerprint (equal shingle sets; all texts without words) are one node.
-    The members of each bucket are first compared with one of them, the one of the least first
-    word, which already joins most of a large group of copies. Only members of
-    different groups are then compared in pairs, in buckets of up to ``PAIRED_MEMBERS``; larger ones
+    In the first blocks, the members of each bucket are compared with one of them, the one of the
+    least first word, which already joins most of a large group of copies. In all blocks, members of
+    groups that are still different are then compared in pairs, in buckets of up to ``PAIRED_MEMBERS``; larger ones
     are split by further blocks first, and what is larger even then is compared with one member.
-    So no group of copies is expanded into all its pairs. Repeated rows share one result; rows
+    Texts in crowded neighbourhoods meet each other by their whole fingerprints, so that pairs
+    which are not similar enough don't leave the join. So no group of copies is expanded into all its pairs. Repeated rows share one result; rows
     without a doc_id are grouped with equal fingerprints only.
     """
     bits, count = blocks_for(docs.count(), similarity)
@@ -208,11 +210,16 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     share = bit_difference(similarity)
     reach = lambda n, deviations: int(n * share + deviations * math.sqrt(n * share * (1 - share)))
     near = F.bit_count(F.col("head").bitwiseXOR(F.col("other"))) <= reach(64, 4)
+    total = 64 * words
+    apart = sum(
+        (F.bit_count(F.col("fingerprint")[w].bitwiseXOR(F.col("other_print")[w])) for w in range(words)), F.lit(0)
+    )
 
-    def bucketed(members: DataFrame) -> DataFrame:
-        """``members`` (fingerprint and others) once per block."""
-        own = [c for c in members.columns if c != "fingerprint"]
-        return members.select(*own, head, F.posexplode(blocks).alias("block", "value")).select(
+    def bucketed(members: DataFrame, most: int = count, keep: bool = False) -> DataFrame:
+        """``members`` once per block, of ``most`` blocks; ``keep``: with their fingerprints."""
+        own = [c for c in members.columns if keep or c != "fingerprint"]
+        some = F.posexplode(F.slice(blocks, 1, most)).alias("block", "value")
+        return members.select(*own, head, some).select(
             *own, "head", "block", F.xxhash64("block", "value").alias("key")
         )
 
@@ -225,14 +232,10 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     def linked(pairs: DataFrame) -> DataFrame:
         """The candidate pairs that are similar."""
         pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        total = 64 * words
-        apart = sum(
-            (F.bit_count(F.col("fingerprint")[w].bitwiseXOR(F.col("other")[w])) for w in range(words)), F.lit(0)
-        )
         close = materialise(
             pairs.distinct()
             .join(nodes.withColumnRenamed("node", "a"), "a")
-            .join(nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("other")), "b")
+            .join(nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("other_print")), "b")
             .select("a", "b", apart.alias("apart"))
             .where(F.col("apart") <= reach(total, 3))
         )
@@ -240,15 +243,22 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
         found = close.where(sure).unionByName(_verified(close.where(~sure), docs, size, similarity))
         return materialise(found.select("a", "b"))
 
-    keyed = bucketed(nodes)
+    keyed = bucketed(nodes, FIRST_BLOCKS)
     lows = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("head").alias("low")).where("n > 1")
     twins = nodes.select("node", head, head.alias("low"))
-    first_links = linked(
-        with_one(keyed.join(lows, "key").select("node", "head", "low").where("head <> low").unionByName(twins))
-    )
+    first_met = materialise(keyed.join(lows, "key").select("node", "head", "low", "n"))
+    first_links = linked(with_one(first_met.drop("n").where("head <> low").unionByName(twins)))
     groups = components(first_links).withColumnRenamed("component", "grouped")
-    members = nodes.join(groups, "node", "left").select(
-        "node", "fingerprint", F.coalesce("grouped", "node").alias("group")
+    dense = first_met.where(F.col("n") > PAIRED_MEMBERS).select("node", F.lit(True).alias("crowded")).distinct()
+    members = materialise(
+        nodes.join(groups, "node", "left")
+        .join(dense, "node", "left")
+        .select(
+            "node",
+            "fingerprint",
+            F.coalesce("grouped", "node").alias("group"),
+            F.coalesce("crowded", F.lit(False)).alias("dense"),
+        )
     )
 
     def mixed(keyed: DataFrame) -> DataFrame:
@@ -261,24 +271,33 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
         )
         return materialise(keyed.join(sizes.where("least < most").drop("least", "most"), "key"))
 
-    def in_pairs(met: DataFrame) -> DataFrame:
-        """Candidate pairs of different groups in the buckets that are small enough."""
-        small = met.where(F.col("n") <= PAIRED_MEMBERS).select("key", "node", "head", "group")
-        right = small.withColumnsRenamed({"node": "b", "head": "other", "group": "group_b"})
+    def in_pairs(met: DataFrame, whole: bool) -> DataFrame:
+        """Candidate pairs of different groups in the buckets that are small enough.
+
+        ``whole``: by the whole fingerprints, else by their first words.
+        """
+        names = {"node": "b", "group": "group_b"} | (
+            {"fingerprint": "other_print"} if whole else {"head": "other", "dense": "dense_b"}
+        )
+        small = met.where(F.col("n") <= PAIRED_MEMBERS).select("key", *names)
+        right = small.withColumnsRenamed(names)
+        met_once = (apart <= reach(total, 3)) if whole else (near & ~(F.col("dense") & F.col("dense_b")))
         return (
             small.join(right, "key")
-            .where((F.col("node") < F.col("b")) & (F.col("group") != F.col("group_b")) & near)
+            .where((F.col("node") < F.col("b")) & (F.col("group") != F.col("group_b")) & met_once)
             .select(F.col("node").alias("a"), "b")
         )
 
     met = mixed(bucketed(members))
+    thick = mixed(bucketed(members.where("dense"), keep=True))
     steps = F.explode(F.array(*map(F.lit, range(1, FURTHER_BLOCKS + 1)))).alias("step")
     crowded = met.where(F.col("n") > PAIRED_MEMBERS).select("node", "block", "key")
     split = (
         crowded.join(members, "node")
-        .select("node", head, "group", "block", "key", blocks.alias("blocks"), steps)
+        .select("node", "fingerprint", head, "group", "block", "key", blocks.alias("blocks"), steps)
         .select(
             "node",
+            "fingerprint",
             "head",
             "group",
             F.xxhash64("key", "step", F.get("blocks", (F.col("block") + F.col("step")) % count)).alias("key"),
@@ -287,7 +306,10 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     parts = mixed(split)
     left_over = parts.where((F.col("n") > PAIRED_MEMBERS) & (F.col("head") != F.col("low")))
     second_links = linked(
-        in_pairs(met).unionByName(in_pairs(parts)).unionByName(with_one(left_over.select("node", "head", "low")))
+        in_pairs(met, whole=False)
+        .unionByName(in_pairs(thick, whole=True))
+        .unionByName(in_pairs(parts, whole=True))
+        .unionByName(with_one(left_over.select("node", "head", "low")))
     )
     groups = components(first_links.unionByName(second_links))
     labels = nodes.join(groups, "node", "left").select(
