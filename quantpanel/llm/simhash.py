@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -321,7 +322,8 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs whose shingle sets are similar, by the sets' hashes."""
     pairs = materialise(pairs)
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sides = (pairs.select(F.col(side).alias("doc_id")).distinct() for side in ("a", "b"))
+    asked = reduce(DataFrame.unionByName, sides).distinct()
 
     def compute(batch: pa.RecordBatch) -> dict:
         sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in batch.column("text").to_pylist()]
