@@ -8,11 +8,11 @@ Two searches are built on that:
 
 * ``close_fingerprints``: 64 bits at a small distance. By the pigeonhole principle nothing is
   missed, and every bucket that is compared in pairs is bounded in size by its construction.
-* ``similar_texts``: a Jaccard similarity of shingle sets. The expected distance is then a
-  share of all bits, so the fingerprint is long and is cut into as many blocks as give the wanted
-  recall; both follow from the number of texts.
+* ``similar_texts``: a Jaccard similarity of shingle sets. Blocks of longer fingerprints join most of
+  each group; an exact join on prefixes of the sets finds every pair that is left, and every
+  link is verified by the sets.
 
-Equal fingerprints are one node throughout, so copies never meet each other.
+Equal fingerprints, or equal sets, are one node throughout, so copies never meet each other.
 """
 
 from __future__ import annotations
@@ -33,10 +33,10 @@ from quantpanel.llm.rows import map_batches, texts
 
 SEED = 42
 PAIR_BUCKET = 256  # buckets up to this size are compared in pairs
-PAIRED_MEMBERS = 32  # members of a bucket that similar_texts compares in pairs
+PAIRED_MEMBERS = 32  # members of a bucket that similar_texts compares in pairs at once
 FIRST_BLOCKS = 16  # blocks in which similar_texts compares with one member first
-FURTHER_BLOCKS = 4  # blocks that split a larger bucket
-RECALL = 0.99  # of a pair at the least similarity, in similar_texts
+WIDESPREAD = 1 << 20  # shingles that similar_texts puts last
+RECALL = 0.99  # of a pair at the least similarity, by all the blocks of blocks_for
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -179,163 +179,177 @@ def bit_difference(similarity: float) -> float:
 def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """``doc_id, component_id`` of every row: groups of texts whose shingle sets are similar.
 
-    Pairs that share a block are verified by Hamming distance; where the distance leaves open
-    on which side of ``similarity`` a pair is, the shingle sets themselves decide. A pair at the
-    least similarity is found with a probability of ``RECALL``, nearer ones almost surely.
-
-    Texts with the same fingerprint (equal shingle sets; all texts without words) are one node.
-    In the first blocks, the members of each bucket are compared with one of them, the one of the
-    least first word, which already joins most of a large group of copies. In all blocks, members of
-    groups that are still different are then compared in pairs, in buckets of up to ``PAIRED_MEMBERS``; larger ones
-    are split by further blocks first, and what is larger even then is compared with one member.
-    Texts in crowded neighbourhoods meet each other by their whole fingerprints, so that pairs
-    which are not similar enough don't leave the join. So no group of copies is expanded into all its pairs. Repeated rows share one result; rows
-    without a doc_id are grouped with equal fingerprints only.
+    Texts with equal shingle sets (all texts without words, too) are one node. Links are looked
+    for twice, and each one is verified by the shingle sets themselves:
+
+    * SimHash joins most of every large group: in ``FIRST_BLOCKS`` blocks, a node is compared with the
+      least node of the bucket that it shares most blocks with. What this misses or leaves out
+      is only left to the second search.
+    * The second search is exact. Of a set of ``n`` shingles in a common order, the first
+      ``n - ceil(similarity * n) + 1`` are its prefix; two similar sets share a shingle of their prefixes.
+      All pairs of different groups that do so are compared, whatever the size of a bucket; a pair goes
+      unverified only if its sizes, or the shared part of the prefixes, rule the similarity out. In buckets
+      of more than ``PAIRED_MEMBERS`` members, each is first compared with the least one.
+
+    Widespread shingles come last in the common order, so that they are in few prefixes; which ones count as
+    such changes the work but not the result. Repeated rows share one result; rows without a doc_id
+    are grouped with equal sets only.
     """
-    bits, count = blocks_for(docs.count(), similarity)
+    bits, _ = blocks_for(docs.count(), similarity)
     per_word = 64 // bits
-    words = math.ceil(count / per_word)
-    rows = materialise(fingerprints(docs, size, words, repeats=False))
+    words = math.ceil(FIRST_BLOCKS / per_word)
+    rows = materialise(_sketches(docs, size, similarity, words, _widespread(docs, size)))
     nodes = materialise(
-        rows.groupBy("fingerprint").agg(F.min("doc_id").alias("node")).where("node is not null")
+        rows.groupBy("tag")
+        .agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("n", "fingerprint", "prefix")))
+        .where("id is not null")
     )
-    head = F.col("fingerprint")[0].alias("head")
-    heads = nodes.groupBy(head).agg(F.min("node").alias("first"))
-    mask = (1 << bits) - 1
-    blocks = F.array(
-        *(
-            F.shiftrightunsigned(F.col("fingerprint")[j // per_word], bits * (j % per_word)).bitwiseAND(mask)
-            for j in range(count)
+    ids = nodes.select("tag", "id")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return materialise(_verified(pairs, ids, docs, size, similarity))
+
+    def grouped(members: DataFrame, links: DataFrame) -> DataFrame:
+        """``members`` with the component of each tag as its group."""
+        groups = components(links).select(F.col("node").alias("tag"), F.col("component").alias("group"))
+        return members.join(groups, "tag", "left").withColumn("group", F.coalesce("group", "tag"))
+
+    def several_groups(met: DataFrame) -> DataFrame:
+        """The members of the buckets that hold several groups."""
+        sizes = met.groupBy("key").agg(
+            F.count("*").alias("members"), F.min("tag").alias("low"), F.min("group").alias("least"), F.max("group").alias("most")
         )
+        return materialise(met.join(sizes.where("least < most").drop("least", "most"), "key"))
+
+    first_links = linked(_leaders(nodes, bits, per_word, words, similarity))
+    postings = grouped(nodes, first_links).select("tag", "n", "group", F.posexplode("prefix").alias("at", "key"))
+    met = several_groups(postings)
+    crowded = (
+        met.where((F.col("members") > PAIRED_MEMBERS) & (F.col("tag") != F.col("low")))
+        .groupBy("tag", "low")
+        .agg(F.count("*").alias("shared"))
+        .groupBy("tag")
+        .agg(F.max(F.struct("shared", "low")).alias("best"))
+        .select(F.col("tag").alias("a"), F.col("best.low").alias("b"))
     )
-    share = bit_difference(similarity)
-    reach = lambda n, deviations: int(n * share + deviations * math.sqrt(n * share * (1 - share)))
-    near = F.bit_count(F.col("head").bitwiseXOR(F.col("other"))) <= reach(64, 4)
-    total = 64 * words
-    apart = sum(
-        (F.bit_count(F.col("fingerprint")[w].bitwiseXOR(F.col("other_print")[w])) for w in range(words)), F.lit(0)
+    links = first_links.unionByName(linked(crowded))
+    left = several_groups(grouped(met.select("tag", "n", "at", "key"), links)).drop("members", "low")
+    right = left.withColumnsRenamed({"tag": "b", "n": "n_b", "group": "group_b", "at": "at_b"})
+    sizes_fit = F.least("n", "n_b") >= F.lit(similarity) * F.greatest("n", "n_b") - 1e-9
+    # shared shingles up to the last one in both prefixes, and no more than the shorter rest after it
+    most = F.col("shared") + F.least(F.col("n") - F.col("at") - 1, F.col("n_b") - F.col("at_b") - 1)
+    rest = (
+        left.join(right, "key")
+        .where((F.col("tag") < F.col("b")) & (F.col("group") != F.col("group_b")) & sizes_fit)
+        .groupBy(F.col("tag").alias("a"), "b", "n", "n_b")
+        .agg(F.count("*").alias("shared"), F.max("at").alias("at"), F.max("at_b").alias("at_b"))
+        .where(most * (1 + similarity) >= F.lit(similarity) * (F.col("n") + F.col("n_b")) - 1e-6)
+        .select("a", "b")
     )
+    named = grouped(ids, links.unionByName(linked(rest)))
+    least = named.groupBy("group").agg(F.min("id").alias("component_id"))
+    labels = named.join(least, "group").select("tag", "component_id")
+    return rows.select("doc_id", "tag").join(labels, "tag", "left").select("doc_id", "component_id")
 
-    def bucketed(members: DataFrame, most: int = count, keep: bool = False) -> DataFrame:
-        """``members`` once per block, of ``most`` blocks; ``keep``: with their fingerprints."""
-        own = [c for c in members.columns if keep or c != "fingerprint"]
-        some = F.posexplode(F.slice(blocks, 1, most)).alias("block", "value")
-        return members.select(*own, head, some).select(
-            *own, "head", "block", F.xxhash64("block", "value").alias("key")
-        )
 
-    def with_one(met: DataFrame) -> DataFrame:
-        """Candidate pairs of each member with the member of the least first word."""
-        met = met.withColumnRenamed("low", "other").where(near)
-        named = heads.select(F.col("head").alias("other"), F.col("first").alias("a"))
-        return met.select("node", "other").distinct().join(named, "other").select("a", F.col("node").alias("b"))
+def shingle_set(text: str | None, size: int) -> tuple[np.ndarray, int]:
+    """The distinct shingle hashes in order, and the tag of the set (a hash, as a signed long)."""
+    found = np.unique(shingle_hashes(text, size))
+    return found, int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).view(np.int64))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        """The candidate pairs that are similar."""
-        pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        close = materialise(
-            pairs.distinct()
-            .join(nodes.withColumnRenamed("node", "a"), "a")
-            .join(nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("other_print")), "b")
-            .select("a", "b", apart.alias("apart"))
-            .where(F.col("apart") <= reach(total, 3))
-        )
-        sure = F.col("apart") < reach(total, -3)
-        found = close.where(sure).unionByName(_verified(close.where(~sure), docs, size, similarity))
-        return materialise(found.select("a", "b"))
-
-    keyed = bucketed(nodes, FIRST_BLOCKS)
-    lows = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("head").alias("low")).where("n > 1")
-    twins = nodes.select("node", head, head.alias("low"))
-    first_met = materialise(keyed.join(lows, "key").select("node", "head", "low", "n"))
-    first_links = linked(with_one(first_met.drop("n").where("head <> low").unionByName(twins)))
-    groups = components(first_links).withColumnRenamed("component", "grouped")
-    dense = first_met.where(F.col("n") > PAIRED_MEMBERS).select("node", F.lit(True).alias("crowded")).distinct()
-    members = materialise(
-        nodes.join(groups, "node", "left")
-        .join(dense, "node", "left")
-        .select(
-            "node",
-            "fingerprint",
-            F.coalesce("grouped", "node").alias("group"),
-            F.coalesce("crowded", F.lit(False)).alias("dense"),
-        )
-    )
 
-    def mixed(keyed: DataFrame) -> DataFrame:
-        """The members of the buckets that hold several groups."""
-        sizes = keyed.groupBy("key").agg(
-            F.count("*").alias("n"),
-            F.min("head").alias("low"),
-            F.min("group").alias("least"),
-            F.max("group").alias("most"),
-        )
-        return materialise(keyed.join(sizes.where("least < most").drop("least", "most"), "key"))
+def prefix_length(n: int, similarity: float) -> int:
+    return min(n, n - math.ceil(similarity * n - 1e-9) + 1)
 
-    def in_pairs(met: DataFrame, whole: bool) -> DataFrame:
-        """Candidate pairs of different groups in the buckets that are small enough.
 
-        ``whole``: by the whole fingerprints, else by their first words.
-        """
-        names = {"node": "b", "group": "group_b"} | (
-            {"fingerprint": "other_print"} if whole else {"head": "other", "dense": "dense_b"}
-        )
-        small = met.where(F.col("n") <= PAIRED_MEMBERS).select("key", *names)
-        right = small.withColumnsRenamed(names)
-        met_once = (apart <= reach(total, 3)) if whole else (near & ~(F.col("dense") & F.col("dense_b")))
-        return (
-            small.join(right, "key")
-            .where((F.col("node") < F.col("b")) & (F.col("group") != F.col("group_b")) & met_once)
-            .select(F.col("node").alias("a"), "b")
-        )
+def _widespread(docs: DataFrame, size: int) -> np.ndarray:
+    """Hashes of shingles found to be in many texts, in order; at most ``WIDESPREAD`` of them.
 
-    met = mixed(bucketed(members))
-    thick = mixed(bucketed(members.where("dense"), keep=True))
-    steps = F.explode(F.array(*map(F.lit, range(1, FURTHER_BLOCKS + 1)))).alias("step")
-    crowded = met.where(F.col("n") > PAIRED_MEMBERS).select("node", "block", "key")
-    split = (
-        crowded.join(members, "node")
-        .select("node", "fingerprint", head, "group", "block", "key", blocks.alias("blocks"), steps)
-        .select(
-            "node",
-            "fingerprint",
-            "head",
-            "group",
-            F.xxhash64("key", "step", F.get("blocks", (F.col("block") + F.col("step")) % count)).alias("key"),
+    A batch of rows names the shingles that three of its distinct sets hold.
+    """
+
+    def compute(batch: pa.RecordBatch) -> dict:
+        sets = {tag: found for found, tag in (shingle_set(t, size) for t in batch.column("text").to_pylist())}
+        values, times = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+        return {"shingle": values[times > 2].view(np.int64), "times": times[times > 2].astype(np.int64)}
+
+    found = map_batches(texts(docs), lambda b: compute(b) if b.num_rows else None, "shingle long, times long")
+    often = found.groupBy("shingle").agg(F.sum("times").alias("times")).where(F.col("times") > PAIRED_MEMBERS)
+    top = often.orderBy(F.desc("times"), "shingle").limit(WIDESPREAD).select("shingle").collect()
+    return np.sort(np.array([r.shingle for r in top], np.int64).view(np.uint64))
+
+
+def _sketches(docs: DataFrame, size: int, similarity: float, words: int, widespread: np.ndarray) -> DataFrame:
+    """``doc_id, tag, n, fingerprint, prefix`` of every row."""
+
+    def compute(batch: pa.RecordBatch) -> dict:
+        out = {"doc_id": batch.column("doc_id"), "tag": [], "n": [], "fingerprint": [], "prefix": []}
+        for text in batch.column("text").to_pylist():
+            found, tag = shingle_set(text, size)
+            last = np.isin(found, widespread)
+            ordered = np.concatenate([found[~last], found[last]])
+            out["tag"].append(tag)
+            out["n"].append(len(found))
+            out["fingerprint"].append(majority(found, words).view(np.int64))
+            out["prefix"].append(ordered[: prefix_length(len(found), similarity)].view(np.int64))
+        return out
+
+    return map_batches(texts(docs), compute, "doc_id long, tag long, n int, fingerprint array<long>, prefix array<long>")
+
+
+def _leaders(nodes: DataFrame, bits: int, per_word: int, words: int, similarity: float) -> DataFrame:
+    """``a, b``: a node and the least node of the buckets it shares most blocks with, if near by Hamming distance."""
+    mask = (1 << bits) - 1
+    blocks = F.array(
+        *(
+            F.shiftrightunsigned(F.col("fingerprint")[j // per_word], bits * (j % per_word)).bitwiseAND(mask)
+            for j in range(FIRST_BLOCKS)
         )
     )
-    parts = mixed(split)
-    left_over = parts.where((F.col("n") > PAIRED_MEMBERS) & (F.col("head") != F.col("low")))
-    second_links = linked(
-        in_pairs(met, whole=False)
-        .unionByName(in_pairs(thick, whole=True))
-        .unionByName(in_pairs(parts, whole=True))
-        .unionByName(with_one(left_over.select("node", "head", "low")))
+    keyed = nodes.select("tag", F.posexplode(blocks).alias("block", "value")).select(
+        "tag", F.xxhash64("block", "value").alias("key")
     )
-    groups = components(first_links.unionByName(second_links))
-    labels = nodes.join(groups, "node", "left").select(
-        "fingerprint", F.coalesce("component", "node").alias("component_id")
+    lows = keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("tag").alias("low")).where("members > 1")
+    best = (
+        keyed.join(lows, "key")
+        .where("tag <> low")
+        .groupBy("tag", "low")
+        .agg(F.count("*").alias("shared"))
+        .groupBy("tag")
+        .agg(F.max(F.struct("shared", "low")).alias("best"))
+        .select(F.col("tag").alias("a"), F.col("best.low").alias("b"))
+    )
+    total, share = 64 * words, bit_difference(similarity)
+    reach = int(total * share + 3 * math.sqrt(total * share * (1 - share)))
+    apart = sum((F.bit_count(F.col("p")[w].bitwiseXOR(F.col("q")[w])) for w in range(words)), F.lit(0))
+    return (
+        best.join(nodes.select(F.col("tag").alias("a"), F.col("fingerprint").alias("p")), "a")
+        .join(nodes.select(F.col("tag").alias("b"), F.col("fingerprint").alias("q")), "b")
+        .where(apart <= reach)
+        .select("a", "b")
     )
-    return rows.join(labels, "fingerprint", "left").select("doc_id", "component_id")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets are similar, by the sets' hashes."""
+def _verified(pairs: DataFrame, ids: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs of tags whose shingle sets are similar, by the sets' hashes."""
     pairs = materialise(pairs)
-    sides = (pairs.select(F.col(side).alias("doc_id")).distinct() for side in ("a", "b"))
-    asked = reduce(DataFrame.unionByName, sides).distinct()
+    sides = (pairs.select(F.col(side).alias("tag")).distinct() for side in ("a", "b"))
+    asked = reduce(DataFrame.unionByName, sides).distinct().join(ids, "tag")
+    asked = materialise(asked.select("tag", F.col("id").alias("doc_id")))
 
     def compute(batch: pa.RecordBatch) -> dict:
-        sets = [np.unique(shingle_hashes(t, size)).view(np.int64) for t in batch.column("text").to_pylist()]
-        return {"doc_id": batch.column("doc_id"), "shingles": sets}
+        sets = [shingle_set(t, size) for t in batch.column("text").to_pylist()]
+        return {"tag": [tag for _, tag in sets], "shingles": [found.view(np.int64) for found, _ in sets]}
 
-    sets = materialise(map_batches(texts(docs).join(asked, "doc_id"), compute, "doc_id long, shingles array<long>"))
-    sets = sets.groupBy("doc_id").agg(F.first("shingles").alias("shingles"))
+    wanted = texts(docs).join(asked.select("doc_id").distinct(), "doc_id")
+    sets = map_batches(wanted, compute, "tag long, shingles array<long>")
+    # not stored: both joins read the one exchange of this step
+    sets = sets.join(asked.select("tag"), "tag", "left_semi").dropDuplicates(["tag"])
     shared = F.size(F.array_intersect("s", "t"))
     union = F.size("s") + F.size("t") - shared
     return (
-        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("t")), "b")
+        pairs.join(sets.select(F.col("tag").alias("a"), F.col("shingles").alias("s")), "a")
+        .join(sets.select(F.col("tag").alias("b"), F.col("shingles").alias("t")), "b")
         .where((union == 0) | (shared >= F.lit(similarity) * union - 1e-9))
-        .select("a", "b", "apart")
+        .select("a", "b")
     )

@@ -135,3 +135,21 @@ def test_blocks_reach_the_recall():
         bits, count = simhash.blocks_for(rows, 0.8)
         agree = 1 - simhash.bit_difference(0.8)
         assert 1 - (1 - agree**bits) ** count >= simhash.RECALL
+
+
+def assert_equal_to_brute_force(spark, rows):
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(documents(spark, rows)).collect()}
+    assert got == jaccard_components(rows)
+
+
+def test_no_link_of_a_crowded_family_is_lost(spark):
+    """Copies around the least similarity: some pairs are links, most are near misses."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(300):
+        copy = list(base)
+        for at in rng.choice(120, int(rng.integers(1, 5)), replace=False):
+            copy[at] = f"x{rng.integers(10**6)}"
+        rows.append((i, " ".join(copy)))
+    assert_equal_to_brute_force(spark, rows)
