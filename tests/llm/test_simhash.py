@@ -153,3 +153,16 @@ def test_no_link_of_a_crowded_family_is_lost(spark):
             copy[at] = f"x{rng.integers(10**6)}"
         rows.append((i, " ".join(copy)))
     assert_equal_to_brute_force(spark, rows)
+
+
+def test_short_texts_on_both_sides_of_the_limit(spark):
+    """4 of 5 shingles are a link; 6 of 8 and 7 of 9 are none."""
+    rows = []
+    for g in range(60):
+        for k, words in enumerate((8, 9)):
+            rows.append((1000 + 2 * g + k, " ".join(f"a{g}x{i}" for i in range(words))))
+        for k, words in enumerate((10, 12)):
+            rows.append((2000 + 2 * g + k, " ".join(f"b{g}x{i}" for i in range(words))))
+        for k, words in enumerate((11, 13)):
+            rows.append((3000 + 2 * g + k, " ".join(f"c{g}x{i}" for i in range(words))))
+    assert_equal_to_brute_force(spark, rows)
