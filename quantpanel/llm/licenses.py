@@ -63,6 +63,53 @@ TEMPLATES = {
     ],
 }
 
+# Further licences and variants; names as they stand in the usual notices.
+_NAMED = {
+    "Apache-2.0": ("Apache License 2.0", "Apache-2.0 License"),
+    "MIT": ("MIT License",),
+    "ISC": ("ISC License",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License", "BSD-2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "BSD-3-Clause License", "BSD License"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GPL v2", "GPLv2"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GPL v3", "GPLv3"),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "LGPL v2.1", "LGPLv2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "LGPL v3", "LGPLv3"),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "AGPL v3", "AGPLv3"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "MPL 2.0"),
+    "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0"),
+    "CC-BY-ND-4.0": ("Creative Commons Attribution-NoDerivatives 4.0 International License", "CC BY-ND 4.0"),
+    "CC-BY-NC-SA-4.0": ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "CC BY-NC-SA 4.0"),
+}
+_GNU = 'This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.'
+_FURTHER = {
+    "GPL-2.0": [_GNU.format("General Public License", "2"), "SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0-or-later"],
+    "GPL-3.0": ["SPDX-License-Identifier: GPL-3.0-or-later"],
+    "LGPL-2.1": [_GNU.format("Lesser General Public License", "2.1"), "SPDX-License-Identifier: LGPL-2.1-only", "SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "LGPL-3.0": [_GNU.format("Lesser General Public License", "3"), "SPDX-License-Identifier: LGPL-3.0-only", "SPDX-License-Identifier: LGPL-3.0-or-later"],
+    "AGPL-3.0": [_GNU.format("Affero General Public License", "3"), "SPDX-License-Identifier: AGPL-3.0-only", "SPDX-License-Identifier: AGPL-3.0-or-later"],
+    "BSD-2-Clause": ["SPDX-License-Identifier: BSD-2-Clause"],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "SPDX-License-Identifier: ISC"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
+    **{f"CC-BY-{x}-4.0": [f"SPDX-License-Identifier: CC-BY-{x}-4.0"] for x in ("SA", "ND", "NC-SA")},
+}
+for _name, _wordings in _NAMED.items():
+    TEMPLATES.setdefault(_name, []).extend(f"{verb} under the {w}." for w in _wordings for verb in ("Licensed", "Released"))
+for _name, _wordings in _FURTHER.items():
+    TEMPLATES.setdefault(_name, []).extend(_wordings)
+TEMPLATES = {name: list(dict.fromkeys(wordings)) for name, wordings in TEMPLATES.items()}
+
+# Terms that tell licences apart. A text has to have one of a template's names, if that has any; none of
+# the qualifiers that the template lacks; and its version, if the text has one at all.
+NAMES = frozenset("apache mit isc bsd bsd-style gnu gpl gplv2 gplv3 lgpl lgplv2.1 lgplv3 agpl agplv3 mozilla mpl creative cc".split())
+QUALIFIERS = frozenset(
+    "affero lesser library sharealike noderivatives by-nc by-sa by-nd by-nc-sa by-nc-nd 2-clause 3-clause 4-clause simplified".split()
+    + [f"attribution-{x}" for x in ("noncommercial", "sharealike", "noderivatives", "noncommercial-sharealike", "noncommercial-noderivatives")]
+)
+VERSIONS = frozenset("1 1.0 1.1 2 2.0 2.1 2.5 3 3.0 4.0 v1 v2 v2.1 v3".split())
+
+ORDINARY = frozenset(
+    "the of and to in a or is this that with for by any are be as may you not was has can use from on an at it its see into new under file code form work person found following above free public".split()
+)
 LEAST_COSINE = 0.6
 FILE_CHARACTERS = 100_000  # a longer file is no licence text as a whole; its lines are compared
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
@@ -84,18 +131,21 @@ class Matcher:
         self.idf = {t: math.log((1 + len(bags)) / (1 + n)) + 1 for t, n in held.items()}
         self.rare = math.log(1 + len(bags)) + 1
         self.names = [name for name, _ in bags]
+        self.told = [tuple(frozenset(bag) & kind for kind in (NAMES, QUALIFIERS, VERSIONS)) for _, bag in bags]
+        self.spdx = [frozenset(t for t in bag if "spdx-license-identifier" in bag and t != "spdx-license-identifier") for _, bag in bags]
         self.vectors: dict[str, list[tuple[int, float]]] = {}
         for i, (_, bag) in enumerate(bags):
             size = math.sqrt(sum((n * self.idf[t]) ** 2 for t, n in bag.items()))
             for t, n in bag.items():
                 self.vectors.setdefault(t, []).append((i, n * self.idf[t] / size))
-        self.marks = sorted(self._marks())
+        marks = self._marks()
+        self.marks = sorted(m for m in marks if not any(o != m and o in m for o in marks))
 
     def _marks(self) -> set[str]:
         """Terms of which any text as near as ``least`` to a template has one.
 
         The cosine is at most the length of the template's part that is shared. A template's
-        shortest terms, which other text has too, are no marks as long as their part stays shorter
+        ordinary and shortest terms, which other text has too, are no marks as long as their part stays shorter
         than ``least``.
         """
         found = set()
@@ -105,7 +155,7 @@ class Matcher:
                 by_template.setdefault(i, []).append((part, term))
         for parts in by_template.values():
             common = 0.0
-            for part, term in sorted(parts, key=lambda x: (len(x[1]), x)):
+            for part, term in sorted(parts, key=lambda x: (len(x[1]) > 2 and x[1] not in ORDINARY, len(x[1]), x)):
                 common += part * part
                 if common >= self.least**2 - 1e-9:
                     found.add(term)
@@ -120,11 +170,23 @@ class Matcher:
             total += weight * weight
             for i, part in self.vectors.get(term, ()):
                 dots[i] += weight * part
-        best = max(range(len(dots)), key=lambda i: (dots[i], -i))
-        if dots[best] <= 0:
+        near = self.least * math.sqrt(total) - 1e-9
+        own = set(terms(text)) if max(dots) >= near else set()
+        fits = [i for i in range(len(dots)) if dots[i] > 0 and (dots[i] < near or self._told_apart(i, own))]
+        if not fits:
             return None, 0.0
+        best = max(fits, key=lambda i: (dots[i], -i))
         return self.names[best], min(1.0, dots[best] / math.sqrt(total))
 
+    def _told_apart(self, i: int, own: set[str]) -> bool:
+        """Whether a text with the terms ``own`` can mean the licence of template ``i``."""
+        names, qualifiers, versions = self.told[i]
+        if not self.spdx[i] <= own or (names and not names & own):
+            return False
+        if not qualifiers <= own or (own & QUALIFIERS) - qualifiers:
+            return False
+        return not versions or not own & VERSIONS or bool(versions & own)
+
     def text(self, text: str | None) -> tuple[str | None, float]:
         """Best licence of a whole text: over its lines, runs of three lines, and all of it.
 

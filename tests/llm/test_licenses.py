@@ -75,3 +75,24 @@ def test_any_file_speaks_for_its_directory(spark):
 def test_awkward_rows(spark):
     frame = awkward(spark).selectExpr("*", "concat('x/', doc_id) as path", "'clash' as dir", "'clash' as licence")
     assert scan_licences(frame).count() == 13
+
+
+GNU = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+
+
+@pytest.mark.parametrize("text, licence", [
+    (GNU.format("Affero General Public", "3"), "AGPL-3.0"),
+    (GNU.format("General Public", "2"), "GPL-2.0"),
+    (GNU.format("General Public", "3"), "GPL-3.0"),
+    (GNU.format("Lesser General Public", "2.1"), "LGPL-2.1"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+    ("This software is released under the ISC License.", "ISC"),
+    ("Released under the Zlib License.", None),
+    ("This is free and unencumbered software released into the public domain, for all.", "Unlicense"),
+    ("// SPDX-License-Identifier: ISC", "ISC"),
+    ("# SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL-3.0"),
+    ("# SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+    ("# SPDX-License-Identifier: Zlib", None),
+])
+def test_wordings_that_are_no_templates(text, licence):
+    assert Matcher(TEMPLATES).text(f"Title\n{text}\nbody of the file")[0] == licence
