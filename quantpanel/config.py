@@ -117,7 +117,7 @@ class ScorerConfig:
     max_iter: int = 500
     temperature: float = 0.30
     ridge: float = 0.01
-    validation_tolerance: float = 1e-4
+    patience: int = 50
     seed: int = 42
 
 

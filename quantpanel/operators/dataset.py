@@ -17,7 +17,7 @@ from quantpanel.functions.storage import materialise
 from quantpanel.operators.grid import day_table
 from quantpanel.operators.market_features import outer_join_blocks
 from quantpanel.operators.splits import assign_split
-from quantpanel.operators.stats import column_medians
+from quantpanel.operators.stats import column_summaries
 
 KEYS = ["asof_date", "ticker"]
 STATE_FEATURES = ("prev_live_weight", "prev_target_weight", "delta_from_prev_target")
@@ -179,15 +179,16 @@ class Scaling:
 
 def fit_scaling(train: DataFrame, features: list[str]) -> Scaling:
     """Medians for missing values, then mean and population deviation (1 if below 1e-8)."""
-    medians = column_medians(train, features)
-    filled = {c: F.coalesce(c, F.lit(medians[c])) for c in features}
-    row = train.agg(
-        *[F.avg(x).alias(f"m_{c}") for c, x in filled.items()],
-        *[F.stddev_pop(x).alias(f"s_{c}") for c, x in filled.items()],
-    ).first()
-    means = {c: row[f"m_{c}"] or 0.0 for c in features}
-    stds = {c: (row[f"s_{c}"] or 0.0) for c in features}
-    return Scaling(medians, means, {c: s if s >= 1e-8 else 1.0 for c, s in stds.items()})
+    total = train.count()
+    medians, means, stds = {}, {}, {}
+    for c, seen in column_summaries(train, features).items():
+        # moments of the filled column follow from those of its values
+        share = seen.count / total if total else 0.0
+        mean = share * seen.mean + (1 - share) * seen.median
+        spread = share * (seen.std**2 + (seen.mean - mean) ** 2) + (1 - share) * (seen.median - mean) ** 2
+        medians[c], means[c] = seen.median, mean
+        stds[c] = spread**0.5 if spread**0.5 >= 1e-8 else 1.0
+    return Scaling(medians, means, stds)
 
 
 def scale_rows(table: DataFrame, scaling: Scaling) -> DataFrame:

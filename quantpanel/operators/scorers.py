@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, replace
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import (
-    GBTRegressionModel,
-    GBTRegressor,
-    LinearRegression,
-    LinearRegressionModel,
-)
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from quantpanel.config import CostConfig, ExecutionConfig, ScorerConfig
+from quantpanel.functions.storage import materialise
 from quantpanel.operators.backtest import backtest_banded
 from quantpanel.operators.dataset import Scaling
 from quantpanel.operators.metrics import portfolio_metrics
@@ -34,6 +35,8 @@ class Scorer:
     cfg: ScorerConfig
 
     def scores(self, dataset: DataFrame) -> DataFrame:
+        if isinstance(self.model, RidgeModel):
+            return dataset.withColumn("score", self.model.score(self.features))
         ready = assemble(dataset, self.features)
         return self.model.transform(ready).withColumnRenamed("prediction", "score").drop("features")
 
@@ -43,32 +46,38 @@ class Scorer:
         return softmax_weights(scored, self.cfg.temperature, ["asof_date"], mask=mask)
 
 
-_MODELS = {"LinearRegressionModel": LinearRegressionModel, "GBTRegressionModel": GBTRegressionModel}
-
-
-def save_scorer(scorer: Scorer, path: str, scaling: Scaling | None = None) -> None:
+def save_scorer(scorer: Scorer | UtilityScorer, path: str, scaling: Scaling | None = None) -> None:
     """Store the model, its features and parameters, and the scaling of its inputs.
 
     `path` is a folder in storage that all later runs reach; an existing one is replaced.
     """
     spec = {
-        "kind": type(scorer.model).__name__,
+        "kind": type(scorer).__name__,
+        "n_assets": getattr(scorer, "n_assets", None),
+        "ridge": asdict(scorer.model) if isinstance(scorer.model, RidgeModel) else None,
         "features": list(scorer.features),
         "cfg": asdict(scorer.cfg),
         "scaling": None if scaling is None else asdict(scaling),
     }
-    scorer.model.write().overwrite().save(f"{path}/model")
+    if spec["ridge"] is None:
+        scorer.model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.active()
     rows = spark.createDataFrame([(json.dumps(spec),)], "spec string").coalesce(1)
     rows.write.mode("overwrite").text(f"{path}/spec")
 
 
-def load_scorer(spark: SparkSession, path: str) -> tuple[Scorer, Scaling | None]:
+def load_scorer(spark: SparkSession, path: str) -> tuple[Scorer | UtilityScorer, Scaling | None]:
     """What `save_scorer` stored."""
     spec = json.loads(spark.read.text(f"{path}/spec").first()[0])
-    model = _MODELS[spec["kind"]].load(f"{path}/model")
+    if spec["ridge"] is None:
+        model = GBTRegressionModel.load(f"{path}/model")
+    else:
+        model = RidgeModel(tuple(spec["ridge"]["weights"]), spec["ridge"]["intercept"])
     scaling = None if spec["scaling"] is None else Scaling(**spec["scaling"])
-    return Scorer(model, tuple(spec["features"]), ScorerConfig(**spec["cfg"])), scaling
+    features, cfg = tuple(spec["features"]), ScorerConfig(**spec["cfg"])
+    if spec["kind"] == "UtilityScorer":
+        return UtilityScorer(model, features, spec["n_assets"], cfg), scaling
+    return Scorer(model, features, cfg), scaling
 
 
 def assemble(dataset: DataFrame, features: tuple[str, ...]) -> DataFrame:
@@ -76,38 +85,115 @@ def assemble(dataset: DataFrame, features: tuple[str, ...]) -> DataFrame:
     return vector.transform(dataset)
 
 
-def _fit_ridge(train: DataFrame, cfg: ScorerConfig):
-    """Weighted least squares with an L2 penalty and a free intercept.
+@dataclass(frozen=True)
+class RidgeModel:
+    """A linear score; predicted as one expression over the feature columns."""
+
+    weights: tuple[float, ...]
+    intercept: float
+
+    @property
+    def coefficients(self) -> np.ndarray:
+        return np.array(self.weights)
+
+    def score(self, features: tuple[str, ...]) -> Column:
+        terms = (F.col(name).cast("double") * weight for name, weight in zip(features, self.weights))
+        return sum(terms, F.lit(self.intercept))
+
 
-    Spark divides the loss by the total weight and scales the penalty by the deviation of the
-    label; the parameter below undoes both, so the solution is that of the plain normal
-    equations.
+def ridge_sums(rows: DataFrame, features: list[str], keys: list[str] = ()) -> DataFrame:
+    """``*keys, cell, total``: the weighted products of all features, the constant 1 and the label.
+
+    Cells number the (p + 1) x (p + 2) matrix row by row. Each task adds up its own rows per key, so that
+    little more than one matrix per task is sent, and one job serves all keys.
+    """
+    width = len(features) + 1
+    names = [*keys, "total"]
+    typed = rows.select(
+        *keys, *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)),
+        F.col("label").cast("double").alias("label"), F.col("sample_weight").cast("double").alias("weight"),
+    )
+    schema = StructType([*(typed.schema[k] for k in keys), StructField("total", ArrayType(DoubleType()))])
+    target = to_arrow_schema(schema)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            x = [batch.column(f"x{i}").to_numpy(zero_copy_only=False) for i in range(width - 1)]
+            x = np.column_stack([*x, np.ones(batch.num_rows), batch.column("label").to_numpy(zero_copy_only=False)])
+            weighted = x[:, :width] * batch.column("weight").to_numpy(zero_copy_only=False)[:, None]
+            group = list(zip(*(batch.column(k).to_pylist() for k in keys))) if keys else [()] * batch.num_rows
+            order: dict[tuple, list[int]] = {}
+            for i, key in enumerate(group):
+                order.setdefault(key, []).append(i)
+            for key, at in order.items():
+                held[key] = held.get(key, 0.0) + weighted[at].T @ x[at]
+        if held:
+            columns = [*zip(*held), [m.ravel() for m in held.values()]]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, target)], schema=target)
+
+    partial = typed.mapInArrow(add, schema)
+    cells = partial.select(*keys, F.posexplode("total").alias("cell", "total"))
+    return cells.groupBy(*keys, "cell").agg(F.sum("total").alias("total"))
+
+
+def fit_ridges(
+    rows: DataFrame, features: list[str], penalties: list[float], keys: list[str] = ()
+) -> dict[tuple, RidgeModel]:
+    """Weighted least squares with an L2 penalty and a free intercept, per key and penalty.
+
+    ``rows`` has the features without nulls, ``label`` and ``sample_weight``. All matrices come from one job over
+    the rows; the p x p systems are solved on the driver. The result is keyed by ``(*key, penalty)``.
     """
-    w = F.col("sample_weight")
-    moments = train.agg(
-        F.sum(w).alias("w"),
-        (F.sum(w * F.col("label")) / F.sum(w)).alias("m"),
-        (F.sum(w * F.col("label") * F.col("label")) / F.sum(w)).alias("q"),
-    ).first()
-    deviation = max(moments["q"] - moments["m"] ** 2, 0.0) ** 0.5
-    penalty = max(cfg.ridge, 1e-6) / moments["w"] * deviation
-    return LinearRegression(
-        solver="normal", standardization=False, regParam=penalty, weightCol="sample_weight"
-    ).fit(train)
+    width = len(features) + 1
+    matrices: dict[tuple, np.ndarray] = {}
+    for row in ridge_sums(rows, features, keys).collect():  # (p + 1)(p + 2) numbers per key
+        key = tuple(row[k] for k in keys)
+        matrices.setdefault(key, np.zeros(width * (width + 1)))[row["cell"]] = row["total"]
+    models = {}
+    for key, cells in matrices.items():
+        both = cells.reshape(width, width + 1)
+        for penalty in penalties:
+            ridge = np.diag([max(penalty, 1e-6)] * (width - 1) + [0.0])
+            found = np.linalg.solve(both[:, :width] + ridge, both[:, width])
+            models[(*key, penalty)] = RidgeModel(tuple(found[:-1].tolist()), float(found[-1]))
+    return models
+
+
+def best_round(errors: list[float], patience: int) -> tuple[int, bool]:
+    """Number of rounds up to the least error, and whether `patience` rounds without a better one followed."""
+    best = 0
+    for number, error in enumerate(errors):
+        if error < errors[best]:
+            best = number
+        elif number - best >= patience:
+            return best + 1, True
+    return best + 1, False
 
 
 def _fit_trees(rows: DataFrame, cfg: ScorerConfig, weight: str | None = "sample_weight"):
-    model = GBTRegressor(
-        maxIter=cfg.max_iter,
-        maxDepth=cfg.max_depth,
-        stepSize=cfg.learning_rate,
-        validationIndicatorCol="is_validation",
-        validationTol=cfg.validation_tolerance,
-        seed=cfg.seed,
-    )
-    if weight is not None:
-        model = model.setWeightCol(weight)
-    return model.fit(rows)
+    """Boosted trees, cut to the round with the least mean absolute error on the validation rows.
+
+    The error of every round comes from one pass over the validation rows with the staged trees. A fit
+    with more rounds starts with the same trees, so rounds are doubled until `patience` of them bring no
+    better error, and the fit ends at the best one.
+    """
+    rows = materialise(rows)
+    train, val = rows.where(~F.col("is_validation")), rows.where("is_validation")
+    if val.isEmpty():
+        return _boost(train, cfg, cfg.max_iter, weight)
+    rounds = min(cfg.max_iter, 2 * cfg.patience)
+    while True:
+        model = _boost(train, cfg, rounds, weight)
+        best, stopped = best_round(model.evaluateEachIteration(val, "absolute"), cfg.patience)
+        if stopped or rounds == cfg.max_iter:
+            return model if best == rounds else _boost(train, cfg, best, weight)
+        rounds = min(2 * rounds, cfg.max_iter)
+
+
+def _boost(train: DataFrame, cfg: ScorerConfig, rounds: int, weight: str | None):
+    model = GBTRegressor(maxIter=rounds, maxDepth=cfg.max_depth, stepSize=cfg.learning_rate, seed=cfg.seed)
+    return (model if weight is None else model.setWeightCol(weight)).fit(train)
 
 
 def fit_scorer(dataset: DataFrame, features: list[str], cfg: ScorerConfig = ScorerConfig()) -> Scorer:
@@ -119,17 +205,17 @@ def fit_scorer(dataset: DataFrame, features: list[str], cfg: ScorerConfig = Scor
         label = "_rank_target"
     elif cfg.kind not in ("gbm", "linear"):
         raise ValueError(f"unknown scorer kind '{cfg.kind}'")
+    if cfg.kind == "linear":
+        train = used.filter(F.col("split_name") == "train").withColumn("label", F.col(label))
+        model = fit_ridges(train, features, [cfg.ridge])[(cfg.ridge,)]
+        return Scorer(model, tuple(features), cfg)
     rows = assemble(used, tuple(features)).select(
         "features",
         F.col(label).alias("label"),
         "sample_weight",
         (F.col("split_name") == "val").alias("is_validation"),
     )
-    if cfg.kind == "linear":
-        model = _fit_ridge(rows.filter(~F.col("is_validation")), cfg)
-    else:
-        model = _fit_trees(rows, cfg)
-    return Scorer(model, tuple(features), cfg)
+    return Scorer(_fit_trees(rows, cfg), tuple(features), cfg)
 
 
 def weighted_squared_error(scored: DataFrame) -> DataFrame:
@@ -145,7 +231,7 @@ def feature_importance(scorer: Scorer, spark) -> DataFrame:
     if hasattr(model, "featureImportances"):
         values = model.featureImportances.toArray()
     else:
-        values = abs(model.coefficients.toArray())
+        values = abs(model.coefficients)
     rows = [(name, float(value)) for name, value in zip(scorer.features, values)]
     return spark.createDataFrame(rows, "feature string, importance double")
 
@@ -202,27 +288,59 @@ UTILITY_SHAPE = (
 )
 
 
-def utility_features(rows: DataFrame, shared: list[str], n_assets: int) -> DataFrame:
-    """State features followed by the candidate's weights as one vector column.
+@dataclass(frozen=True)
+class UtilityScorer:
+    """A model of a candidate's objective, with its state features and the number of assets."""
+
+    model: object
+    features: tuple[str, ...]
+    n_assets: int
+    cfg: ScorerConfig
+
+    def predictions(self, rows: DataFrame) -> DataFrame:
+        ready = utility_features(rows, list(self.features), self.n_assets)
+        return self.model.transform(ready).withColumnRenamed("prediction", "pred").drop("features")
 
-    The weights stay one array (missing members 0), however many members there are.
+
+def held_vector(entries: Column, n_assets: int) -> Column:
+    """Sparse ML vector of ``array<struct<asset_idx, w>>``; entries beyond the universe don't count.
+
+    Its size follows the held entries, not the number of assets. Zero and missing weights take no
+    place, and weights of one asset are expected once.
     """
-    held = F.transform(
-        F.slice(F.concat("weights", F.array_repeat(F.lit(0.0), n_assets)), 1, n_assets),
-        lambda w: F.coalesce(w, F.lit(0.0)),
+    inside = F.filter(
+        entries, lambda e: (e["asset_idx"] >= 0) & (e["asset_idx"] < n_assets) & (e["w"] != 0)
+    )
+    ordered = F.array_sort(F.transform(inside, lambda e: F.struct(e["asset_idx"].cast("int").alias("i"), e["w"].alias("w"))))
+    return F.udf(_sparse, VectorUDT(), useArrow=True)(F.lit(n_assets), ordered)
+
+
+def _sparse(size: int, entries) -> SparseVector:
+    return SparseVector(size, [e["i"] for e in entries], [e["w"] for e in entries])
+
+
+def utility_features(rows: DataFrame, shared: list[str], n_assets: int) -> DataFrame:
+    """State features followed by the candidate's held weights, as one sparse vector column."""
+    entries = F.transform(
+        F.coalesce("weights", F.array().cast("array<double>")),
+        lambda w, i: F.struct(i.alias("asset_idx"), F.coalesce(w, F.lit(0.0)).alias("w")),
     )
-    rows = rows.withColumn("_w", array_to_vector(held))
-    return assemble(rows, (*shared, *UTILITY_SHAPE, "_w")).drop("_w")
+    held = F.col("held") if "held" in rows.columns else entries
+    ready = assemble(rows.withColumn("_w", held_vector(held, n_assets)), (*shared, *UTILITY_SHAPE, "_w"))
+    return ready.drop("_w")
 
 
-def fit_utility(rows: DataFrame, cfg: ScorerConfig = ScorerConfig()):
-    """Trees from (features) to the candidate's objective; val rows stop the training."""
-    ready = rows.filter(F.col("split_name").isin("train", "val")).select(
+def fit_utility(
+    rows: DataFrame, shared: list[str], n_assets: int, cfg: ScorerConfig = ScorerConfig()
+) -> UtilityScorer:
+    """Trees from state and held weights to the candidate's objective; val rows stop the training."""
+    used = utility_features(rows.filter(F.col("split_name").isin("train", "val")), shared, n_assets)
+    ready = used.select(
         "features",
         F.col("objective_total").alias("label"),
         (F.col("split_name") == "val").alias("is_validation"),
     )
-    return _fit_trees(ready, cfg, weight=None)
+    return UtilityScorer(_fit_trees(ready, cfg, weight=None), tuple(shared), n_assets, cfg)
 
 
 def best_predicted(scored: DataFrame, pred: str = "pred") -> DataFrame:

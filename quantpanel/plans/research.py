@@ -94,9 +94,7 @@ def utility_predictions(
 ) -> DataFrame:
     """Fit the candidate scorer on train rows and predict all split rows."""
     tagged = materialise(sp.assign_split(utility, splits))
-    ready = sc.utility_features(tagged, shared, n_assets)
-    model = sc.fit_utility(ready, cfg)
-    return model.transform(ready).withColumnRenamed("prediction", "pred").drop("features")
+    return sc.fit_utility(tagged, shared, n_assets, cfg).predictions(tagged)
 
 
 def utility_signals(

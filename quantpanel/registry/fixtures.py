@@ -106,13 +106,13 @@ def fixture_previous(indexed: DataFrame) -> DataFrame:
 BASE = f"""{P1}, {grid('p1')},
 names AS (SELECT DISTINCT ticker FROM p1 UNION SELECT 'CASH'),
 uni AS (SELECT ticker, row_number() OVER (ORDER BY ticker = 'CASH', ticker) - 1 AS asset_idx FROM names),
-gz AS (SELECT g.date, g.day_idx, g.ticker,
+gz AS MATERIALIZED (SELECT g.date, g.day_idx, g.ticker,
     coalesce(adj_close / lag(adj_close) OVER (PARTITION BY g.ticker ORDER BY g.day_idx) - 1, 0.0) AS ret FROM grid0 g
   UNION ALL SELECT date, day_idx, 'CASH', 0.0 FROM cal),
-gf AS (SELECT date, day_idx, ticker,
+gf AS MATERIALIZED (SELECT date, day_idx, ticker,
     coalesce(filled / lag(filled) OVER (PARTITION BY ticker ORDER BY day_idx) - 1, 0.0) AS ret FROM grid
   UNION ALL SELECT date, day_idx, 'CASH', 0.0 FROM cal),
-adv AS (SELECT date, day_idx, ticker, avg(coalesce(dollar_volume, 0)) OVER (PARTITION BY ticker ORDER BY day_idx
+adv AS MATERIALIZED (SELECT date, day_idx, ticker, avg(coalesce(dollar_volume, 0)) OVER (PARTITION BY ticker ORDER BY day_idx
     ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS adv FROM grid0
   UNION ALL SELECT date, day_idx, 'CASH', 1e12 FROM cal)"""
 

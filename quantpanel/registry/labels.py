@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quantpanel.config import CandidateConfig, UniverseConfig
+from quantpanel.functions import counters
 from quantpanel.functions.storage import materialise
 from quantpanel.operators import candidates as cd
 from quantpanel.operators import costs, portfolios, returns, teacher
@@ -167,42 +168,118 @@ def _l10(spark, sf):
     return rounded(portfolios.teacher_replay(inputs.returns, _sparse_labels(inputs)))
 
 
-SMALL_SEARCH = CandidateConfig(dirichlet_candidates_per_day=40, local_perturbations_per_seed=8)
+SEARCH = CandidateConfig()
+SEED = 42
 
 
 def _n_assets(inputs) -> int:
     return inputs.universe.count()
 
 
-def _weight_columns(table):
-    """Vectors as one row per member, rounded."""
-    return rounded(
-        table.select("date", "cand_id", "cand_type", F.posexplode("weights").alias("asset_idx", "w"))
+def _shape(candidates, n_assets: int):
+    """Concentration, largest weight and cash weight of each candidate (cash is the last member)."""
+    w = F.col("held.w")
+    cash = F.filter("held", lambda e: e["asset_idx"] == n_assets - 1)
+    return candidates.withColumns(
+        {
+            "hhi": F.reduce(w, F.lit(0.0), lambda total, x: total + x * x),
+            "top": F.array_max(w),
+            "cash": F.coalesce(F.get(cash, 0)["w"], F.lit(0.0)),
+        }
     )
 
 
-@query("L11_random_candidates")
+def _mean_shape(rows, *keys):
+    means = (F.avg(c).alias(f"mean_{c}") for c in ("hhi", "top", "cash"))
+    return rounded(rows.groupBy(*keys).agg(F.count("*").alias("n"), *means))
+
+
+_MEAN_SHAPE = ", ".join(["count(*) AS n", *(r(f"avg({c})", f"mean_{c}") for c in ("hhi", "top", "cash"))])
+_DAY = "(date - DATE '1970-01-01')"
+
+
+def _draws_sql(attempts: int = 8) -> str:
+    """Normalised gamma draws of all candidates; every member is drawn, as there are few."""
+    mix = SEARCH.dirichlet_alpha_mix
+    per_alpha = SEARCH.dirichlet_candidates_per_day // len(mix)
+    shape = " ".join(f"WHEN {i} THEN {a}" for i, a in enumerate(mix))
+    drawn = f"SELECT date, {_DAY} AS day, number FROM cal, range({per_alpha * len(mix)}) t(number)"
+    placed = f"""SELECT *, CASE number // {per_alpha} {shape} END AS alpha
+      FROM ({counters.key_sql(drawn, [str(SEED), 'day', 'number'], 'own')}), (SELECT asset_idx + 1 AS place FROM uni)"""
+    rows = counters.uniform_sql(counters.absorbed_sql(placed, "own", "place", "draw"), "draw", 0, "u")
+    rows = f"SELECT *, CASE WHEN alpha < 1 THEN alpha + 1 ELSE alpha END - 1.0 / 3 AS d, NULL::DOUBLE AS g FROM ({rows})"
+    first = None
+    for attempt in range(1, attempts + 1):
+        rows = counters.normal_sql(rows, "draw", 2 * attempt, "x", "g IS NULL")
+        rows = counters.uniform_sql(rows, "draw", 4 * attempt + 2, "y", "g IS NULL")
+        rows = f"SELECT *, pow(1 + x / sqrt(9 * d), 3) AS v FROM ({rows})"
+        rows = f"""SELECT * EXCLUDE (x, y, v, g), CASE WHEN g IS NOT NULL THEN g
+          WHEN v > 0 AND ln(y) < x * x / 2 + d * (1 - v + ln(CASE WHEN v > 0 THEN v END)) THEN d * v END AS g FROM ({rows})"""
+        if attempt == 1:  # few rows need a further attempt
+            first, rows = f"SELECT * FROM ({rows}) WHERE g IS NOT NULL", f"SELECT * FROM ({rows}) WHERE g IS NULL"
+    rows = f"{first} UNION ALL {rows}"
+    return f"""draws AS (SELECT date, alpha, number, asset_idx, g * CASE WHEN alpha < 1 THEN pow(u, 1 / alpha) ELSE 1 END AS g
+      FROM (SELECT *, place - 1 AS asset_idx FROM ({rows}))),
+    shape AS (SELECT date, alpha, sum(g * g) / pow(sum(g), 2) AS hhi, max(g) / sum(g) AS top,
+      max(CASE WHEN asset_idx = (SELECT max(asset_idx) FROM uni) THEN g END) / sum(g) AS cash FROM draws GROUP BY date, alpha, number)"""
+
+
+@query(
+    "L11_random_candidates",
+    f"WITH {BASE}, {_draws_sql()} SELECT date, alpha, {_MEAN_SHAPE} FROM shape GROUP BY ALL",
+)
 def _l11(spark, sf):
+    """All draws of the default search, summed up by day and concentration."""
     inputs = LabelInputs(spark, sf)
-    days = inputs.calendar.select("date")
-    return _weight_columns(cd.random_candidates(days, _n_assets(inputs), SMALL_SEARCH))
+    n_assets = _n_assets(inputs)
+    drawn = cd.random_candidates(inputs.calendar.select("date"), n_assets, SEARCH, SEED)
+    mix = SEARCH.dirichlet_alpha_mix
+    per_alpha = SEARCH.dirichlet_candidates_per_day // len(mix)
+    number = F.floor((F.col("cand_id") - cd.RANDOM_OFFSET) / per_alpha) + 1
+    alpha = F.element_at(F.array(*map(F.lit, mix)), number.cast("int"))
+    return _mean_shape(_shape(drawn, n_assets).withColumn("alpha", alpha), "date", "alpha")
+
+
+def _perturbed(inputs):
+    seeds = cd.held_weights(
+        inputs.candidates.filter(F.col("cand_id") < SEARCH.perturbation_seeds), inputs.universe, ["date", "cand_id"]
+    )
+    return cd.perturbed_candidates(seeds, SEARCH, SEED)
+
+
+def _seed_of(cand_id):
+    return F.floor((cand_id - cd.PERTURBED_OFFSET) / SEARCH.local_perturbations_per_seed)
+
+
+def _perturbed_sql() -> str:
+    rows = f"""SELECT date, day_idx, {_DAY} AS day, cand_id AS seed_id, ticker, asset_idx, w, k
+      FROM cand JOIN uni USING (ticker), range({SEARCH.local_perturbations_per_seed}) t(k) WHERE cand_id < {SEARCH.perturbation_seeds}"""
+    rows = counters.key_sql(rows, [str(SEED), "day", "seed_id", "k", "asset_idx"], "own")
+    rows = counters.normal_sql(rows, "own", 0, "z")
+    return f"""noisy AS (SELECT date, day_idx, seed_id, seed_id * {SEARCH.local_perturbations_per_seed} + k AS cand_id, ticker,
+      w + {SEARCH.perturbation_std} * z AS w FROM ({rows}))"""
 
 
-def _seed_vectors(inputs, n: int):
-    rows = inputs.candidates.filter(F.col("cand_id") < n)
-    return cd.weight_vectors(rows, inputs.universe, ["date", "cand_id", "cand_type"])
+_SHAPE_SQL = "sum(w * w) AS hhi, max(w) AS top, max(CASE WHEN ticker = 'CASH' THEN w END) AS cash"
 
 
-@query("L12_perturbed_candidates")
+@query(
+    "L12_perturbed_candidates",
+    f"""WITH {LABEL_CTE}, {_perturbed_sql()}, s AS (SELECT date, seed_id, {_SHAPE_SQL} FROM noisy GROUP BY date, seed_id, cand_id)
+    SELECT date, seed_id, {_MEAN_SHAPE} FROM s GROUP BY ALL""",
+)
 def _l12(spark, sf):
-    return _weight_columns(cd.perturbed_candidates(_seed_vectors(LabelInputs(spark, sf), 5), SMALL_SEARCH))
+    """All perturbations of the default search, summed up by day and seed."""
+    inputs = LabelInputs(spark, sf)
+    rows = _shape(_perturbed(inputs), _n_assets(inputs)).withColumn("seed_id", _seed_of(F.col("cand_id")))
+    return _mean_shape(rows, "date", "seed_id")
 
 
 def _projection_ctes(source: str, result: str, rounds: int = 10) -> str:
     """The capped projection of the weights of `source`, one subquery per round."""
     part = "(PARTITION BY date, cand_id)"
     keys = "date, day_idx, cand_id, ticker, asset_idx, cap"
-    steps = [f"""w0 AS (SELECT date, day_idx, cand_id, ticker, asset_idx, CASE WHEN ticker = 'CASH' THEN 1.0 ELSE 0.25 END AS cap, w
+    steps = [f"""w0 AS (SELECT date, day_idx, cand_id, ticker, asset_idx, CASE WHEN ticker = 'CASH' THEN 1.0 ELSE 0.25 END AS cap, greatest(w, 0) AS w
       FROM {source} JOIN uni USING (ticker))"""]
     for k in range(rounds):
         steps.append(
@@ -222,18 +299,22 @@ def _projection_ctes(source: str, result: str, rounds: int = 10) -> str:
 )
 def _l13_fixture(spark, sf):
     inputs = LabelInputs(spark, sf)
-    vectors = cd.weight_vectors(inputs.candidates, inputs.universe, ["date", "cand_id"])
-    projected = cd.project_weights(vectors, inputs.universe)
-    return rounded(
-        projected.select("date", "cand_id", F.posexplode("weights").alias("asset_idx", "w"))
-    )
+    rows = cd.held_weights(inputs.candidates, inputs.universe, ["date", "cand_id", "cand_type"])
+    projected = cd.project_weights(rows, inputs.universe)
+    return rounded(projected.select("date", "cand_id", F.inline("held").alias("asset_idx", "w")))
 
 
-@query("L13_project_perturbed")
+@query(
+    "L13_project_perturbed",
+    f"""WITH {LABEL_CTE}, {_perturbed_sql()}, {_projection_ctes('noisy', 'projected')},
+    s AS (SELECT date, cand_id // {SEARCH.local_perturbations_per_seed} AS seed_id, {_SHAPE_SQL} FROM projected GROUP BY date, cand_id)
+    SELECT date, seed_id, {_MEAN_SHAPE} FROM s GROUP BY ALL""",
+)
 def _l13(spark, sf):
     inputs = LabelInputs(spark, sf)
-    noisy = cd.perturbed_candidates(_seed_vectors(inputs, 5), SMALL_SEARCH)
-    return _weight_columns(cd.project_weights(noisy, inputs.universe))
+    projected = cd.project_weights(_perturbed(inputs), inputs.universe)
+    rows = _shape(projected, _n_assets(inputs)).withColumn("seed_id", _seed_of(F.col("cand_id")))
+    return _mean_shape(rows, "date", "seed_id")
 
 
 @query(
@@ -358,10 +439,13 @@ def _l18w(spark, sf):
     return rounded(weights)
 
 
+SMALL_SEARCH = CandidateConfig(dirichlet_candidates_per_day=40, local_perturbations_per_seed=8)
+
+
 @query("L19_teacher_labels")
 def _l19(spark, sf):
     inputs = LabelInputs(spark, sf)
-    result = teacher_labels(inputs.prices, search=SMALL_SEARCH, passes=1)
+    result = teacher_labels(inputs.prices, search=SMALL_SEARCH, passes=None)
     return rounded(result.weights)
 
 

@@ -588,8 +588,8 @@ _TRAIN = f"""{P2}, {cal('p2')}, {STATIC}, {rets('p2')}, tr AS (SELECT rets.* FRO
 )
 def _d07(spark, sf):
     names = ["simple_ret", "adj_close"]
-    long = _train_rows(spark, sf).select(F.lit(1).alias("k"), *names).unpivot("k", names, "column", "value")
-    return rounded(stats.group_median(long, ["column"], "value"), 9)
+    medians = stats.column_medians(_train_rows(spark, sf), names)
+    return rounded(spark.createDataFrame(list(medians.items()), "column string, median double"), 9)
 
 
 @query(

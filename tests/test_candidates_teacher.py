@@ -1,8 +1,10 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quantpanel.config import CandidateConfig, ObjectiveConfig, UniverseConfig
+from quantpanel.functions import counters
 from quantpanel.operators import candidates as cd
 from quantpanel.operators import costs, teacher
 from quantpanel.plans.labels import teacher_labels
@@ -30,8 +32,9 @@ def one_projection(w, caps, rounds=10):
 def test_projection_matches_one_by_one():
     rng = np.random.default_rng(0)
     caps = np.array([0.25] * 7 + [1.0])
-    rows = np.vstack([rng.dirichlet(np.full(8, 0.05), 50), rng.normal(0, 1, (50, 8)), np.zeros((1, 8))])
-    got = cd.project_rows(rows, np.tile(caps, (len(rows), 1)))
+    rows = np.vstack([rng.dirichlet(np.full(8, 0.05), 50), rng.normal(0, 1, (50, 8)), np.zeros((1, 8)), [[-1.0] * 7 + [0]]])
+    n = len(rows)
+    got = cd.capped_weights(rows.ravel(), np.tile(caps, n), np.ones(8 * n), np.repeat(np.arange(n), 8), n).reshape(n, 8)
     np.testing.assert_allclose(got, [one_projection(r, caps) for r in rows], atol=1e-12)
     np.testing.assert_allclose(got.sum(axis=1), 1.0)
     assert (got >= 0).all()
@@ -43,35 +46,112 @@ def universe(spark):
     return universe_members(names, UniverseConfig()).persist()
 
 
+@pytest.fixture(scope="module")
+def wide_universe(spark):
+    """Forty members of three caps and cash."""
+    rows = [(f"T{j:03d}", j, [0.25, 0.1, 0.02][j % 3]) for j in range(40)] + [("CASH", 40, 1.0)]
+    return spark.createDataFrame(rows, "ticker string, asset_idx int, weight_cap double").persist()
+
+
 SEARCH = CandidateConfig(dirichlet_candidates_per_day=20, local_perturbations_per_seed=4, sparse_k_assets=3)
+HELD = "array<struct<asset_idx:int,w:double>>"
+
 
+def dense(rows, n):
+    out = np.zeros((len(rows), n))
+    for i, row in enumerate(rows):
+        for e in row.held:
+            out[i, e.asset_idx] = e.w
+    return out
 
-def test_random_candidates_are_sparse_and_repeatable(spark, universe):
+
+def test_random_candidates_are_sparse_and_repeatable(spark):
     dates = spark.createDataFrame([(d,) for d in business_days(4)], "date date")
-    a = cd.random_candidates(dates, 7, SEARCH).orderBy("date", "cand_id").toPandas()
-    b = cd.random_candidates(dates.repartition(3), 7, SEARCH).orderBy("date", "cand_id").toPandas()
-    left, right = np.vstack(a["weights"]), np.vstack(b["weights"])
-    np.testing.assert_array_equal(left, right)
-    assert len(a) == 80
-    assert ((left > 0).sum(axis=1) <= 3).all()
-    np.testing.assert_allclose(left.sum(axis=1), 1.0)
+    a = cd.random_candidates(dates, 7, SEARCH).orderBy("date", "cand_id").collect()
+    b = cd.random_candidates(dates.repartition(3), 7, SEARCH).orderBy("date", "cand_id").collect()
+    assert a == b and len(a) == 80
+    assert all(len(r.held) == 3 == len({e.asset_idx for e in r.held}) for r in a)
+    np.testing.assert_allclose(dense(a, 7).sum(axis=1), 1.0)
+    many = cd.random_candidates(dates, 10_000, SEARCH).collect()
+    assert all(len(r.held) == 3 and max(e.asset_idx for e in r.held) < 10_000 for r in many)
+
+
+@pytest.mark.parametrize("shape", [0.05, 0.2, 1.0, 5.0])
+def test_gamma_draws_have_the_moments_of_the_distribution(shape):
+    keys = counters.absorbed(counters.key(1, np.repeat(np.arange(20_000, 20_050), 4000), np.tile(np.arange(4000), 50)), 2)
+    drawn = cd.gamma_draws(np.full(len(keys), shape), keys)
+    n = len(keys)
+    assert abs(drawn.mean() - shape) < 5 * np.sqrt(shape / n)
+    assert abs(drawn.var() - shape) < 5 * np.sqrt((2 * shape**2 + 6 * shape) / n)
+    quantiles = np.mean(drawn[:, None] <= np.random.default_rng(0).gamma(shape, size=n)[None, :200], axis=0)
+    assert abs(quantiles.mean() - 0.5) < 0.1
+
+
+def test_every_set_of_members_is_equally_likely():
+    keys = counters.key(3, np.arange(60_000))
+    members = np.sort(cd.drawn_members(6, 3, keys))
+    sets, counts = np.unique(members, axis=0, return_counts=True)
+    assert len(sets) == 20 and (np.diff(sets) > 0).all()
+    assert ((counts - 3000) ** 2 / 3000).sum() < 45  # chi-square, 19 degrees of freedom
+
+
+def test_uniform_draws_of_neighbouring_keys_are_unrelated():
+    keys = counters.key(42, np.repeat(np.arange(9000, 9040), 2000), np.tile(np.arange(2000), 40))
+    draws = np.array([counters.uniform(keys, i) for i in range(3)])
+    assert (draws > 0).all() and (draws < 1).all()
+    assert np.abs(np.corrcoef(np.vstack([draws, np.roll(draws[0], 1), np.roll(draws[0], 2000)])) - np.eye(5)).max() < 0.02
+    cells, _, _ = np.histogram2d(draws[0], draws[1], bins=20)
+    assert ((cells - 200) ** 2 / 200).sum() < 520  # chi-square, 399 degrees of freedom
+
+
+def test_counters_are_the_same_in_sql():
+    table = "SELECT d, n FROM range(19000, 19005) a(d), range(4) b(n)"
+    sql = counters.absorbed_sql(counters.key_sql(table, ["42", "d", "n"], "k"), "k", "n + 7", "own")
+    sql = counters.normal_sql(counters.uniform_sql(sql, "own", 5, "u"), "own", 3, "z")
+    rows = duckdb.sql(f"SELECT d, n, u, z FROM ({sql})").fetchall()
+    for d, n, u, z in rows:
+        own = counters.absorbed(counters.key(42, d, n), n + 7)
+        assert (u, z) == pytest.approx((counters.uniform(own, 5), counters.normal(own, 3)))
+    assert len(rows) == 20
 
 
 def test_perturbations_stay_near_their_seed(spark, universe):
     dates = business_days(3)
+    held = [(j, 1 / 7) for j in range(7)]
     seeds = spark.createDataFrame(
-        [(d, c, [1 / 7] * 7, "deterministic") for d in dates for c in range(6)],
-        "date date, cand_id long, weights array<double>, cand_type string",
+        [(d, c, held, "deterministic") for d in dates for c in range(6)],
+        f"date date, cand_id long, held {HELD}, cand_type string",
     )
-    rows = cd.perturbed_candidates(seeds, SEARCH).toPandas()
-    assert len(rows) == 3 * 5 * 4 and rows["cand_id"].nunique() == 20
-    noise = np.vstack(rows["weights"]) - 1 / 7
+    noisy = cd.perturbed_candidates(seeds, SEARCH)
+    rows = noisy.collect()
+    assert len(rows) == 3 * 5 * 4 and len({r.cand_id for r in rows}) == 20
+    noise = dense(rows, 7) - 1 / 7
     assert abs(noise.mean()) < 0.005 and 0.015 < noise.std() < 0.025
-    projected = np.vstack(cd.project_weights(cd.perturbed_candidates(seeds, SEARCH), universe).toPandas()["weights"])
+    projected = dense(cd.project_weights(noisy, universe).collect(), 7)
     np.testing.assert_allclose(projected.sum(axis=1), 1.0)
     assert (projected >= 0).all() and (projected[:, :6] <= 0.25 + 1e-6).all()
 
 
+def test_sparse_projection_equals_the_dense_one(spark, wide_universe):
+    """Few held members; what lies above their caps goes to all members, also those not held."""
+    dates = spark.createDataFrame([(d,) for d in business_days(3)], "date date")
+    drawn = cd.random_candidates(dates, 41, CandidateConfig(dirichlet_candidates_per_day=40, sparse_k_assets=4)).persist()
+    key = lambda r: (r.date, r.cand_id)
+    before = sorted(drawn.collect(), key=key)
+    projected = cd.project_weights(drawn, wide_universe)
+    after = sorted(projected.collect(), key=key)
+    caps = np.array([r.weight_cap for r in wide_universe.orderBy("asset_idx").collect()])
+    want = np.array([one_projection(w, caps) for w in dense(before, 41)])
+    assert all(len(r.held) == 4 and len(r.rest) <= 4 for r in after)
+    long = cd.explode_candidates(projected, wide_universe).collect()
+    names = {r.ticker: r.asset_idx for r in wide_universe.collect()}
+    got, place = np.zeros((len(after), 41)), {key(r): i for i, r in enumerate(after)}
+    for r in long:
+        got[place[key(r)], names[r.ticker]] += r.w
+    np.testing.assert_allclose(got, want, atol=1e-12)
+    assert len(long) == (want != 0).sum()
+
+
 def test_spread_lookup_and_cost(spark):
     adv = spark.createDataFrame([(5e5,), (5e6,), (1e8,), (1e6,)], "adv double")
     assert [r["spread_bps"] for r in costs.spread_lookup(adv).collect()] == [10.0, 5.0, 2.0, 5.0]

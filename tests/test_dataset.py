@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
 from quantpanel.config import ScorerConfig, SplitConfig
@@ -130,10 +131,92 @@ def test_ridge_equals_normal_equations(spark):
     x = np.column_stack([train["a"], train["b"], np.ones(len(train))])
     w = train["sample_weight"].to_numpy()[:, None]
     want = np.linalg.solve(x.T @ (w * x) + np.diag([0.5, 0.5, 0.0]), x.T @ (w[:, 0] * train["target_score"]))
-    np.testing.assert_allclose(scorer.model.coefficients.toArray(), want[:2], atol=1e-9)
+    np.testing.assert_allclose(scorer.model.coefficients, want[:2], atol=1e-9)
     assert scorer.model.intercept == pytest.approx(want[2], abs=1e-9)
 
 
+def test_ridges_of_all_folds_from_one_table(spark):
+    data = model_rows(spark).withColumn("label", F.col("target_score"))
+    folds = data.withColumn("fold", F.when(F.col("split_name") == "val", "x"))
+    fits = sc.fit_ridges(folds, ["a", "b"], [0.01, 2.0], ["fold"])
+    assert set(fits) == {("x", 0.01), ("x", 2.0), (None, 0.01), (None, 2.0)}
+    for (fold, penalty), model in fits.items():
+        own = folds.filter(F.col("fold").eqNullSafe(F.lit(fold))).withColumn("split_name", F.lit("train"))
+        alone = sc.fit_scorer(own, ["a", "b"], ScorerConfig(kind="linear", ridge=penalty)).model
+        np.testing.assert_allclose(model.coefficients, alone.coefficients, atol=1e-9)
+        rows = own.toPandas()
+        x = np.column_stack([rows["a"], rows["b"], np.ones(len(rows))])
+        w = rows["sample_weight"].to_numpy()[:, None]
+        want = np.linalg.solve(x.T @ (w * x) + np.diag([penalty, penalty, 0.0]), x.T @ (w[:, 0] * rows["label"]))
+        np.testing.assert_allclose([*model.coefficients, model.intercept], want, atol=1e-9)
+
+
+def test_best_round_with_patience():
+    assert sc.best_round([3, 2, 2, 1, 5, 6], 2) == (4, True)
+    assert sc.best_round([3, 2, 2, 2, 1], 2) == (2, True)
+    assert sc.best_round([3, 2, 1], 2) == (3, False)
+    assert sc.best_round([1, 1], 5) == (1, False)
+
+
+def test_trees_stop_at_the_least_absolute_error(spark):
+    """Staged errors by hand, and the round that a walk over them finds."""
+    noise = F.pmod(F.xxhash64("ticker", "asof_date"), F.lit(1000)) / 400
+    data = model_rows(spark).withColumn("target_score", F.col("target_score") + noise)
+    cfg = ScorerConfig(max_iter=12, max_depth=4, learning_rate=0.9, patience=3)
+    model = sc.fit_scorer(data, ["a", "b"], cfg).model
+    full = sc._boost(
+        sc.assemble(data.filter("split_name = 'train'"), ("a", "b")).withColumnRenamed("target_score", "label"), cfg, 12, "sample_weight"
+    )
+    val = data.filter("split_name = 'val'").toPandas()
+    x, w = val[["a", "b"]].to_numpy(), val["sample_weight"].to_numpy()
+    staged, errors, at_round = np.zeros(len(x)), [], []
+    for tree, share in zip(full.trees, full.treeWeights):
+        staged = staged + share * np.array([tree.predict(DenseVector(v)) for v in x])
+        errors.append(float(np.average(np.abs(staged - val["target_score"]), weights=w)))
+        at_round.append(staged)
+    rounds, _ = sc.best_round(errors, 3)
+    assert rounds == model.getNumTrees and rounds < 12
+    np.testing.assert_allclose([model.predict(DenseVector(v)) for v in x], at_round[rounds - 1], atol=1e-9)
+    without = data.filter("split_name = 'train'")
+    assert sc.fit_scorer(without, ["a", "b"], ScorerConfig(max_iter=4, max_depth=2)).model.getNumTrees == 4
+
+
+def utility_rows(spark, n_assets):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(60):
+        held = {int(j): float(rng.uniform(0.1, 1)) for j in rng.choice(7, 3, replace=False)}
+        weights = [held.get(j, 0.0) for j in range(7)] + [0.0] * (n_assets - 7)
+        objective = held.get(0, 0.0) - held.get(3, 0.0)
+        rows.append(("train" if i < 40 else "val", float(i % 5), objective, weights, *[0.1] * 6))
+    names = ", ".join(f"{c} double" for c in sc.UTILITY_SHAPE)
+    return spark.createDataFrame(rows, f"split_name string, state double, objective_total double, weights array<double>, {names}")
+
+
+def test_held_vectors_do_not_grow_with_the_universe(spark):
+    cfg = ScorerConfig(max_iter=6, max_depth=3, patience=6)
+    predicted = []
+    for n_assets in (7, 5000):
+        rows = utility_rows(spark, n_assets)
+        vectors = [r.features for r in sc.utility_features(rows, ["state"], n_assets).select("features").collect()]
+        assert all(v.size == 7 + n_assets for v in vectors)
+        assert max(len(v.indices) if n_assets > 7 else 0 for v in vectors) <= 10
+        scorer = sc.fit_utility(rows, ["state"], n_assets, cfg)
+        predicted.append(sorted(r.pred for r in scorer.predictions(rows).collect()))
+    assert predicted[0] == pytest.approx(predicted[1])
+    held = rows.withColumn("held", F.expr("filter(transform(weights, (w, i) -> struct(i as asset_idx, w as w)), e -> e.w > 0)")).drop("weights")
+    assert sorted(r.pred for r in scorer.predictions(held.withColumn("weights", F.lit(None).cast("array<double>"))).collect()) == pytest.approx(predicted[1])
+
+
+def test_stored_utility_scorer(spark, tmp_path):
+    rows = utility_rows(spark, 9)
+    scorer = sc.fit_utility(rows, ["state"], 9, ScorerConfig(max_iter=3, max_depth=2))
+    sc.save_scorer(scorer, str(tmp_path / "utility"))
+    loaded, scaling = sc.load_scorer(spark, str(tmp_path / "utility"))
+    assert (loaded.features, loaded.n_assets, loaded.cfg, scaling) == (scorer.features, 9, scorer.cfg, None)
+    assert [r.pred for r in loaded.predictions(rows).collect()] == [r.pred for r in scorer.predictions(rows).collect()]
+
+
 @pytest.mark.parametrize("kind", ["linear", "gbm", "rank_gbm"])
 def test_scorers_put_weights_on_the_simplex(spark, kind):
     data = model_rows(spark)

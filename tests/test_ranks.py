@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +75,29 @@ def test_top_share_recall(spark):
     rows = [("d", i, float(i), float(-i if i < 8 else i)) for i in range(10)]
     frame = spark.createDataFrame(rows, "date string, id int, truth double, pred double")
     assert ev.top_share_recall(frame, ["date"], "id").first()["recall"] == 1.0
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 20, 1])
+def test_column_summaries_equal_numpy(spark, limit):
+    rng = np.random.default_rng(4)
+    n = 5000
+    columns = {
+        "even": rng.normal(size=n), "ties": np.where(np.arange(n) % 3, 2.0, rng.normal(size=n)),
+        "gaps": np.where(rng.random(n) < 0.3, np.nan, rng.exponential(size=n)), "whole": rng.integers(0, 9, n).astype(float),
+        "none": np.full(n, np.nan),
+    }
+    frame = spark.createDataFrame(pd.DataFrame(columns)).withColumn("even", F.when(F.rand(3) < 2, F.col("even")))
+    got = stats.column_summaries(frame, list(columns), accuracy=50, window_rows=limit)
+    for name, values in columns.items():
+        known = values[~np.isnan(values)]
+        assert got[name].count == len(known)
+        if len(known):
+            assert got[name].median == np.median(known), name
+            assert (got[name].mean, got[name].std) == pytest.approx((known.mean(), known.std()))
+    assert got["none"] == stats.ColumnSummary(0, 0.0, 0.0, 0.0)
+
+
+def test_column_summaries_of_few_rows(spark):
+    frame = spark.createDataFrame([(1.0, None), (4.0, 7.0), (2.0, None)], "a double, b double")
+    assert stats.column_medians(frame, ["a", "b"]) == {"a": 2.0, "b": 7.0}
+    assert stats.column_medians(frame.limit(0), ["a"]) == {"a": 0.0}
