@@ -8,7 +8,7 @@ does with them.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantpanel.functions.shipping import ship_package
@@ -41,18 +41,36 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts: the one with the smallest doc_id."""
+    """One document of each group of similar texts: the one with the smallest doc_id.
+
+    Rows are told apart by doc_id and text, so of several texts under one id each has its own fate.
+    Repeated rows stay or go together; rows without an id stay.
+    """
     ship_package(spark)
-    groups = similar_texts(docs)
-    gone = materialise(groups.where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, similar_texts(docs).where("not kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item.
+
+    Rows of one doc_id are told apart by their texts; a row without an id is never found and stays.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = materialise(contaminated(docs, items).select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = contaminated(docs.withColumn("doc_id", _row_name(docs)), items)
+    gone = materialise(found.select(F.col("doc_id").alias("gone")).distinct())
+    return docs.join(gone, _row_name(docs) == F.col("gone"), "left_anti").select(*docs.columns)
+
+
+def _row_name(docs: DataFrame) -> Column:
+    """A number for each doc_id and text; null without a doc_id."""
+    return F.when(docs["doc_id"].isNotNull(), F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string")))
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents whose doc_id and text are not among ``doc_id, text_name``."""
+    gone = materialise(rows.select(F.col("doc_id").alias("gone_id"), F.col("text_name").alias("gone_name")).distinct())
+    same = (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["gone_name"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

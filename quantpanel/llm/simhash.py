@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +27,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantpanel.functions.storage import materialise
+from quantpanel.functions.storage import materialise, spread
 from quantpanel.llm.components import components
-from quantpanel.llm.rows import map_batches, texts
+from quantpanel.llm.rows import bounded_batches, map_batches, texts
 
 SEED = 42
 PAIR_BUCKET = 256  # buckets up to this size are compared in pairs
 PAIRED_MEMBERS = 32  # members of a bucket that similar_texts compares in pairs at once
 FIRST_BLOCKS = 16  # blocks in which similar_texts compares with one member first
 WIDESPREAD = 1 << 20  # shingles that similar_texts puts last
+COUNTED = 1 << 21  # shingles, or sets, that a task remembers at once
+PARTNERS = 500  # texts compared with one text in a task
+FEW_ROWS = 1 << 20  # rows that are broadcast to find texts
 RECALL = 0.99  # of a pair at the least similarity, by all the blocks of blocks_for
 
 
@@ -177,52 +180,69 @@ def bit_difference(similarity: float) -> float:
 
 
 def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``doc_id, component_id`` of every row: groups of texts whose shingle sets are similar.
+    """``doc_id, text_name, component_id, kept`` of every row: groups of texts whose shingle sets are similar.
 
-    Texts with equal shingle sets (all texts without words, too) are one node. Links are looked
-    for twice, and each one is verified by the shingle sets themselves:
+    ``text_name`` is the xxhash64 of the text, which tells rows of one doc_id apart. Texts with equal shingle
+    sets (all texts without words, too) are one node. Links are looked for twice, and each one is verified by
+    the shingle sets themselves:
 
     * SimHash joins most of every large group: in ``FIRST_BLOCKS`` blocks, a node is compared with the
       least node of the bucket that it shares most blocks with. What this misses or leaves out
       is only left to the second search.
     * The second search is exact. Of a set of ``n`` shingles in a common order, the first
       ``n - ceil(similarity * n) + 1`` are its prefix; two similar sets share a shingle of their prefixes.
-      All pairs of different groups that do so are compared, whatever the size of a bucket; a pair goes
-      unverified only if its sizes, or the shared part of the prefixes, rule the similarity out. In buckets
-      of more than ``PAIRED_MEMBERS`` members, each is first compared with the least one.
+      All pairs of different groups and near sizes that do so are compared, whatever the size of a bucket; a
+      pair goes unverified only if its sizes, or the shared part of the prefixes, rule the similarity out. In
+      buckets of more than ``PAIRED_MEMBERS`` members, each is first compared with the least one.
 
     Widespread shingles come last in the common order, so that they are in few prefixes; which ones count as
-    such changes the work but not the result. Repeated rows share one result; rows without a doc_id
-    are grouped with equal sets only.
+    such changes the work but not the result. The row of least (doc_id, text_name) of a group is ``kept``,
+    with all its repetitions. Rows without a doc_id are kept; they are grouped with equal sets only.
     """
+    spark = docs.sparkSession
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_name"),
+        F.col("text").cast("string").alias("text"),
+    )
     bits, _ = blocks_for(docs.count(), similarity)
     per_word = 64 // bits
     words = math.ceil(FIRST_BLOCKS / per_word)
-    rows = materialise(_sketches(docs, size, similarity, words, _widespread(docs, size)))
+    widespread = spark.sparkContext.broadcast(_widespread(docs, size))  # WIDESPREAD numbers at most
+    rows = materialise(_sketches(docs, size, words))
     nodes = materialise(
-        rows.groupBy("tag")
-        .agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in ("n", "fingerprint", "prefix")))
-        .where("id is not null")
+        rows.where("doc_id is not null").groupBy("tag")
+        .agg(F.min(F.struct("doc_id", "text_name")).alias("row"), F.max("fingerprint").alias("fingerprint"))
     )
-    ids = nodes.select("tag", "id")
+    places = nodes.select("tag", "row.doc_id", "row.text_name")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return materialise(_verified(pairs, ids, docs, size, similarity))
+        return materialise(_verified(pairs, places, docs, size, similarity))
 
     def grouped(members: DataFrame, links: DataFrame) -> DataFrame:
         """``members`` with the component of each tag as its group."""
         groups = components(links).select(F.col("node").alias("tag"), F.col("component").alias("group"))
         return members.join(groups, "tag", "left").withColumn("group", F.coalesce("group", "tag"))
 
-    def several_groups(met: DataFrame) -> DataFrame:
-        """The members of the buckets that hold several groups."""
-        sizes = met.groupBy("key").agg(
-            F.count("*").alias("members"), F.min("tag").alias("low"), F.min("group").alias("least"), F.max("group").alias("most")
+    def several_groups(members: DataFrame) -> DataFrame:
+        """The members of the buckets that hold several groups; stored.
+
+        Both sides of the join need the same columns, so that they read one exchange.
+        """
+        dealt = members.repartition("key")
+        sizes = dealt.groupBy("key").agg(
+            F.count("*").alias("members"), F.min("tag").alias("low"), F.min("group").alias("least"),
+            F.max("group").alias("most"), F.max("n").alias("longest"), F.max("at").alias("last"),
         )
-        return materialise(met.join(sizes.where("least < most").drop("least", "most"), "key"))
+        sizes = sizes.where("least < most and longest >= 0 and last >= 0").select("key", "members", "low")
+        return materialise(dealt.join(sizes, "key"))
 
     first_links = linked(_leaders(nodes, bits, per_word, words, similarity))
-    postings = grouped(nodes, first_links).select("tag", "n", "group", F.posexplode("prefix").alias("at", "key"))
+    prefixes = _prefixes(docs, size, similarity, widespread).groupBy("tag").agg(
+        F.max("n").alias("n"), F.max("prefix").alias("prefix")
+    )
+    named = grouped(places.select("tag"), first_links)
+    postings = prefixes.join(named, "tag").select("tag", "n", "group", F.posexplode("prefix").alias("at", "key"))
     met = several_groups(postings)
     crowded = (
         met.where((F.col("members") > PAIRED_MEMBERS) & (F.col("tag") != F.col("low")))
@@ -234,22 +254,38 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     )
     links = first_links.unionByName(linked(crowded))
     left = several_groups(grouped(met.select("tag", "n", "at", "key"), links)).drop("members", "low")
-    right = left.withColumnsRenamed({"tag": "b", "n": "n_b", "group": "group_b", "at": "at_b"})
+    links = links.unionByName(linked(_prefix_pairs(left, similarity)))
+    all_rows = grouped(places, links)
+    least = all_rows.groupBy("group").agg(F.min(F.struct("doc_id", "text_name")).alias("stays"))
+    labels = all_rows.join(least, "group").select("tag", "stays")
+    kept = F.col("doc_id").isNull() | (F.struct("doc_id", "text_name") == F.col("stays"))
+    return rows.select("doc_id", "text_name", "tag").join(labels, "tag", "left").select(
+        "doc_id", "text_name", F.col("stays.doc_id").alias("component_id"), kept.alias("kept")
+    )
+
+
+def _prefix_pairs(left: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: tags of different groups that share a shingle of their prefixes and may be similar.
+
+    Sizes of similar sets are at most one class apart, so a member meets its own class and the next one only.
+    """
+    step = math.log(1 / (similarity - 1e-6))
+    size_class = F.floor(F.ln(F.greatest("n", F.lit(1))) / step)
+    own = left.withColumn("own", size_class)
+    asks = own.withColumn("class", F.explode(F.array(F.col("own"), F.col("own") + 1)))
+    right = own.withColumnsRenamed({"tag": "b", "n": "n_b", "group": "group_b", "at": "at_b", "own": "class"})
+    once = (F.col("own") < F.col("class")) | (F.col("tag") < F.col("b"))
     sizes_fit = F.least("n", "n_b") >= F.lit(similarity) * F.greatest("n", "n_b") - 1e-9
     # shared shingles up to the last one in both prefixes, and no more than the shorter rest after it
     most = F.col("shared") + F.least(F.col("n") - F.col("at") - 1, F.col("n_b") - F.col("at_b") - 1)
-    rest = (
-        left.join(right, "key")
-        .where((F.col("tag") < F.col("b")) & (F.col("group") != F.col("group_b")) & sizes_fit)
+    return (
+        asks.join(right, ["key", "class"])
+        .where(once & (F.col("group") != F.col("group_b")) & sizes_fit)
         .groupBy(F.col("tag").alias("a"), "b", "n", "n_b")
         .agg(F.count("*").alias("shared"), F.max("at").alias("at"), F.max("at_b").alias("at_b"))
         .where(most * (1 + similarity) >= F.lit(similarity) * (F.col("n") + F.col("n_b")) - 1e-6)
         .select("a", "b")
     )
-    named = grouped(ids, links.unionByName(linked(rest)))
-    least = named.groupBy("group").agg(F.min("id").alias("component_id"))
-    labels = named.join(least, "group").select("tag", "component_id")
-    return rows.select("doc_id", "tag").join(labels, "tag", "left").select("doc_id", "component_id")
 
 
 def shingle_set(text: str | None, size: int) -> tuple[np.ndarray, int]:
@@ -265,36 +301,81 @@ def prefix_length(n: int, similarity: float) -> int:
 def _widespread(docs: DataFrame, size: int) -> np.ndarray:
     """Hashes of shingles found to be in many texts, in order; at most ``WIDESPREAD`` of them.
 
-    A batch of rows names the shingles that three of its distinct sets hold.
+    A task counts the shingles of its distinct sets in bounded memory (rare ones are forgotten when
+    the table is full) and names those that three sets hold.
     """
 
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held = set(), (np.empty(0, np.uint64), np.empty(0, np.int64))
+        for batch in batches:
+            found = [held[0]]
+            for text in batch.column("text").to_pylist():
+                shingles, tag = shingle_set(text, size)
+                if tag not in seen:
+                    seen.add(tag)
+                    found.append(shingles)
+            values, at = np.unique(np.concatenate(found), return_inverse=True)
+            weights = np.concatenate([held[1], np.ones(len(at) - len(held[1]), np.int64)])
+            times = np.bincount(at, weights=weights, minlength=len(values)).astype(np.int64)
+            while len(values) > COUNTED:
+                often = times > times.min()
+                values, times = values[often], times[often]
+            held = values, times
+            if len(seen) > COUNTED:
+                seen.clear()
+        often = held[1] > 2
+        yield pa.RecordBatch.from_arrays([pa.array(held[0][often].view(np.int64)), pa.array(held[1][often])], ["shingle", "times"])
+
+    bounded_batches(docs.sparkSession)
+    found = docs.select("text").mapInArrow(compute, "shingle long, times long")
+    often = found.groupBy("shingle").agg(F.sum("times").alias("times")).where(F.col("times") > PAIRED_MEMBERS)
+    top = often.orderBy(F.desc("times"), "shingle").limit(WIDESPREAD).select("shingle").toArrow()
+    return np.sort(top.column(0).to_numpy().view(np.uint64))
+
+
+def _sketches(docs: DataFrame, size: int, words: int) -> DataFrame:
+    """``doc_id, text_name, tag, fingerprint`` of every row; a task gives the fingerprint of a set once."""
+    seen: set[int] = set()  # of the task: the function is sent to each one anew
+
     def compute(batch: pa.RecordBatch) -> dict:
-        sets = {tag: found for found, tag in (shingle_set(t, size) for t in batch.column("text").to_pylist())}
-        values, times = np.unique(np.concatenate(list(sets.values())), return_counts=True)
-        return {"shingle": values[times > 2].view(np.int64), "times": times[times > 2].astype(np.int64)}
+        out = {"doc_id": batch.column("doc_id"), "text_name": batch.column("text_name"), "tag": [], "fingerprint": []}
+        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            found, tag = shingle_set(text, size)
+            first = doc is not None and tag not in seen
+            out["tag"].append(tag)
+            out["fingerprint"].append(majority(found, words).view(np.int64) if first else None)
+            if first:
+                _remember(seen, tag)
+        return out
 
-    found = map_batches(texts(docs), lambda b: compute(b) if b.num_rows else None, "shingle long, times long")
-    often = found.groupBy("shingle").agg(F.sum("times").alias("times")).where(F.col("times") > PAIRED_MEMBERS)
-    top = often.orderBy(F.desc("times"), "shingle").limit(WIDESPREAD).select("shingle").collect()
-    return np.sort(np.array([r.shingle for r in top], np.int64).view(np.uint64))
+    return map_batches(docs, compute, "doc_id long, text_name long, tag long, fingerprint array<long>")
 
 
-def _sketches(docs: DataFrame, size: int, similarity: float, words: int, widespread: np.ndarray) -> DataFrame:
-    """``doc_id, tag, n, fingerprint, prefix`` of every row."""
+def _prefixes(docs: DataFrame, size: int, similarity: float, widespread) -> DataFrame:
+    """``tag, n, prefix`` of every shingle set, once or more often."""
+    seen: set[int] = set()
 
     def compute(batch: pa.RecordBatch) -> dict:
-        out = {"doc_id": batch.column("doc_id"), "tag": [], "n": [], "fingerprint": [], "prefix": []}
+        out = {"tag": [], "n": [], "prefix": []}
         for text in batch.column("text").to_pylist():
             found, tag = shingle_set(text, size)
-            last = np.isin(found, widespread)
+            if tag in seen:
+                continue
+            _remember(seen, tag)
+            last = np.isin(found, widespread.value)
             ordered = np.concatenate([found[~last], found[last]])
             out["tag"].append(tag)
             out["n"].append(len(found))
-            out["fingerprint"].append(majority(found, words).view(np.int64))
             out["prefix"].append(ordered[: prefix_length(len(found), similarity)].view(np.int64))
         return out
 
-    return map_batches(texts(docs), compute, "doc_id long, tag long, n int, fingerprint array<long>, prefix array<long>")
+    return map_batches(docs.where("doc_id is not null"), compute, "tag long, n int, prefix array<long>")
+
+
+def _remember(seen: set[int], tag: int) -> None:
+    if len(seen) > COUNTED:
+        seen.clear()
+    seen.add(tag)
 
 
 def _leaders(nodes: DataFrame, bits: int, per_word: int, words: int, similarity: float) -> DataFrame:
@@ -330,26 +411,39 @@ def _leaders(nodes: DataFrame, bits: int, per_word: int, words: int, similarity:
     )
 
 
-def _verified(pairs: DataFrame, ids: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs of tags whose shingle sets are similar, by the sets' hashes."""
-    pairs = materialise(pairs)
-    sides = (pairs.select(F.col(side).alias("tag")).distinct() for side in ("a", "b"))
-    asked = reduce(DataFrame.unionByName, sides).distinct().join(ids, "tag")
-    asked = materialise(asked.select("tag", F.col("id").alias("doc_id")))
+def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` of tags whose shingle sets are similar.
 
-    def compute(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_set(t, size) for t in batch.column("text").to_pylist()]
-        return {"tag": [tag for _, tag in sets], "shingles": [found.view(np.int64) for found, _ in sets]}
-
-    wanted = texts(docs).join(asked.select("doc_id").distinct(), "doc_id")
-    sets = map_batches(wanted, compute, "tag long, shingles array<long>")
-    # not stored: both joins read the one exchange of this step
-    sets = sets.join(asked.select("tag"), "tag", "left_semi").dropDuplicates(["tag"])
-    shared = F.size(F.array_intersect("s", "t"))
-    union = F.size("s") + F.size("t") - shared
-    return (
-        pairs.join(sets.select(F.col("tag").alias("a"), F.col("shingles").alias("s")), "a")
-        .join(sets.select(F.col("tag").alias("b"), F.col("shingles").alias("t")), "b")
-        .where((union == 0) | (shared >= F.lit(similarity) * union - 1e-9))
-        .select("a", "b")
+    The text of each ``a`` is sent once, to the text of its ``b``, which goes ahead of them; a ``b`` with
+    many partners is sent to several tasks.
+    """
+    pairs = materialise(pairs.distinct())
+    asked_by = pairs.groupBy("b").agg(F.ceil(F.count("*") / PARTNERS).alias("salts"))
+    salted = pairs.join(asked_by, "b").select(
+        F.col("a").alias("tag"), "b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"), F.lit(False).alias("ahead")
+    )
+    ahead = asked_by.select(
+        F.col("b").alias("tag"), "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("ahead")
     )
+    asked = materialise(salted.unionByName(ahead).join(places, "tag"))
+    few = asked.count() <= FEW_ROWS  # a plan switch: about 50 bytes a row
+    wanted = docs.join(F.broadcast(asked) if few else asked, ["doc_id", "text_name"]).drop("doc_id", "text_name")
+    beside = spread(wanted, "b", "salt").sortWithinPartitions("b", "salt", F.desc("ahead"))
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = other = None
+        for batch in batches:
+            close = []
+            for b, salt, first, tag, text in zip(*(batch.column(c).to_pylist() for c in ("b", "salt", "ahead", "tag", "text"))):
+                if first:
+                    if at != (b, salt):
+                        at, other = (b, salt), shingle_set(text, size)[0]
+                    continue
+                found, _ = shingle_set(text, size)
+                shared = len(np.intersect1d(found, other, assume_unique=True))
+                union = len(found) + len(other) - shared
+                if union == 0 or shared >= similarity * union - 1e-9:
+                    close.append((tag, b))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in close], "int64") for i in (0, 1)], ["a", "b"])
+
+    return beside.mapInArrow(compute, "a long, b long").distinct()
