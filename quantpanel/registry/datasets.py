@@ -287,8 +287,8 @@ def _t08(spark, sf):
 
 # --- scorers --------------------------------------------------------------------------
 LINEAR = ScorerConfig(kind="linear")
-TREES = ScorerConfig()
-RANK_TREES = ScorerConfig(kind="rank_gbm")
+SMALL_TREES = ScorerConfig(max_depth=3, max_iter=12, learning_rate=0.1, patience=4)
+RANK_TREES = ScorerConfig(kind="rank_gbm", max_depth=3, max_iter=12, learning_rate=0.1, patience=4)
 
 
 def _weights(spark, sf, cfg):
@@ -332,7 +332,7 @@ def _m01(spark, sf):
 
 @query("M02_gbm_scorer")
 def _m02(spark, sf):
-    return _weights(spark, sf, TREES)
+    return _weights(spark, sf, SMALL_TREES)
 
 
 @query("M03_rank_gbm_scorer")
@@ -374,7 +374,7 @@ def _m04(spark, sf):
 def _m05(spark, sf):
     rows = DatasetInputs(spark, sf).prepared
     linear = sc.feature_importance(sc.fit_scorer(rows, list(NAMES), LINEAR), spark)
-    trees = sc.feature_importance(sc.fit_scorer(rows, list(NAMES), TREES), spark)
+    trees = sc.feature_importance(sc.fit_scorer(rows, list(NAMES), SMALL_TREES), spark)
     named = linear.withColumnRenamed("importance", "linear")
     return rounded(named.join(trees.withColumnRenamed("importance", "gbm"), "feature"))
 
@@ -394,7 +394,7 @@ def _g05(spark, sf):
 def _m06(spark, sf):
     inputs = UtilityInputs(spark, sf)
     scored = research.utility_predictions(
-        inputs.utility, inputs.splits, list(UTIL_SHARED), inputs.n_assets, TREES
+        inputs.utility, inputs.splits, list(UTIL_SHARED), inputs.n_assets, SMALL_TREES
     )
     return rounded(scored.select("asof_date", "cand_id", "rank", "split_name", "objective_total", "pred"))
 
@@ -562,9 +562,9 @@ def _p07(spark, sf):
     inputs = UtilityInputs(spark, sf)
     profiles = {p.name: p for p in BUILTIN_PROFILES}
     variants = {
-        "gbm_neutral": (TREES, profiles["neutral"]),
-        "gbm_aggressive": (TREES, profiles["aggressive"]),
-        "gbm_conservative": (TREES, profiles["conservative"]),
+        "gbm_neutral": (SMALL_TREES, profiles["neutral"]),
+        "gbm_aggressive": (SMALL_TREES, profiles["aggressive"]),
+        "gbm_conservative": (SMALL_TREES, profiles["conservative"]),
         "rank_gbm_neutral": (RANK_TREES, profiles["neutral"]),
         "linear_neutral": (LINEAR, profiles["neutral"]),
     }
@@ -573,7 +573,7 @@ def _p07(spark, sf):
     ).distinct()
     rerank = research.utility_signals(
         inputs.utility, inputs.candidates, inputs.splits, list(UTIL_SHARED), inputs.n_assets,
-        days, TREES,
+        days, SMALL_TREES,
     )
     hard = inputs.candidates.filter(F.col("cand_id") == 1)
     table = research.benchmark(
