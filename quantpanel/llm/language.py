@@ -12,6 +12,7 @@ text's vector from the counts of its n-grams.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantpanel.llm.rows import fold, map_batches
+from quantpanel.llm.rows import bounded_batches, fold, map_batches
 
 DIMENSIONS = 1024
 NGRAM = 3
 SYMBOLS = 64  # symbol 0 stands for everything that is no letter
 UNKNOWN = "und"
-SAMPLE_DOCUMENTS = 40_000  # documents that profiles are learned from, about
+HELD_LANGUAGES = 64  # languages whose counts a task holds at once
 KEPT_NGRAMS = 65_536  # n-grams whose vectors a worker keeps
 BLOCK_NGRAMS = 8_192  # n-grams of one matrix product
 SEED = 7
@@ -135,36 +136,34 @@ class Profiles:
         return Profiles(spec["names"], np.array(spec["vectors"], np.float32))
 
 
-def fit_profiles(docs: DataFrame, sample: int | None = SAMPLE_DOCUMENTS) -> Profiles:
-    """Profiles of the languages in ``lang`` from whole texts; null langs are left out.
+def fit_profiles(docs: DataFrame) -> Profiles:
+    """Profiles of the languages in ``lang`` from all whole texts; null langs are left out.
 
-    About ``sample`` documents, chosen by a hash of their texts, are used (None: all). Counts of a
-    language and n-gram are summed by Spark; what reaches the driver is bounded by the numbers of
-    languages and n-grams.
+    Counts of a language and n-gram are added up by task and summed by Spark; what reaches the driver is
+    bounded by the numbers of languages and n-grams.
     """
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where("lang is not null and text is not null")
-    if sample is not None:
-        share = min(1.0, sample / max(1, docs.where("lang is not null").count()))
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
-
-    def count(batch: pa.RecordBatch) -> dict:
-        sums: dict[str, np.ndarray] = {}
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-            codes, counts = ngram_counts(text)
-            total = sums.setdefault(lang, np.zeros(SYMBOLS**NGRAM, np.int64))
-            total[codes] += counts
-        langs, codes, counts = [], [], []
-        for lang, total in sums.items():
+    bounded_batches(docs.sparkSession)
+
+    def sums_of(held: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lang, total in held.items():
             met = np.flatnonzero(total)
-            langs += [lang] * len(met)
-            codes.append(met)
-            counts.append(total[met])
-        none = np.empty(0, np.int64)
-        return {"lang": langs, "code": np.concatenate([none, *codes]), "n": np.concatenate([none, *counts])}
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(met), "string"), pa.array(met), pa.array(total[met])], ["lang", "code", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+                if lang not in held and len(held) == HELD_LANGUAGES:
+                    yield from sums_of(held)
+                    held = {}
+                codes, counts = ngram_counts(text)
+                held.setdefault(lang, np.zeros(SYMBOLS**NGRAM, np.int64))[codes] += counts
+        yield from sums_of(held)
 
     table = (
-        map_batches(rows, count, "lang string, code long, n long")
+        rows.mapInArrow(count, "lang string, code long, n long")
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
         .toPandas()

@@ -254,7 +254,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = E
         return {n: batch.column(n) for n in names} | {"sequence_id": sequence}
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long"
-    placed = map_batches(ranked(cut, "size", "doc_id", "start"), assign, schema)
+    placed = map_batches(ranked(cut, "size", "doc_id", "start", "length", "ids_crc32"), assign, schema)
     earlier = Window.partitionBy("sequence_id").orderBy(
         F.col("length").desc(), "doc_id", "start", "ids_crc32"
     )

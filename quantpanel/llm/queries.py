@@ -23,6 +23,8 @@ from quantpanel.llm.stream_dedup import exact_groups
 from quantpanel.llm.token_counts import token_counts
 from quantpanel.llm.toxicity import held_out_toxicity
 
+TRIGGER_BYTES = 4 << 30  # of one micro-batch of op6
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -57,7 +59,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     arriving = (
         spark.readStream.schema(docs.schema)
-        .option("maxBytesPerTrigger", 256 << 30)
+        .option("maxBytesPerTrigger", TRIGGER_BYTES)
         .parquet(f"{sf_dir}/documents{{.parquet}}")  # a pattern: the table may be one file
     )
     return exact_groups(docs, arriving)

@@ -2,7 +2,7 @@
 
 Every operator reads two columns, ``doc_id`` and ``text``, and selects them first, so that
 further columns of any name cannot clash. Texts travel to Python in Arrow batches of a bounded
-number of rows.
+number of rows and bytes.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_ROWS = 500
+BATCH_BYTES = 64 << 20
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +32,9 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Rows of one Arrow batch: a batch of long texts then stays within a worker's memory."""
+    """Rows and bytes of one Arrow batch: a batch of long texts then stays within a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def map_batches(

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantpanel.functions.storage import materialise, stage_folder
-from quantpanel.llm.rows import texts
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 STATE_STORE = {
@@ -117,8 +116,14 @@ def exact_groups(
             digest(normalised(F.col("text"))).alias("digest"),
             locator.alias("locator"),
         )
-    ).select("digest", "keep_id", "group_size")
-    rows = texts(docs).select("doc_id", normalised(F.col("text")).alias("normal"))
+    )
+    # where the row that stays lies, if the table is read from files as the stream is
+    place = _file_of(docs) if _is_file_stream(arriving) else None
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        normalised(F.col("text")).alias("normal"),
+        (F.lit(None).cast("string") if place is None else place).alias("place"),
+    )
     rows = rows.withColumn("digest", digest(F.col("normal")))
     sha = F.col("digest") if digest is sha256_digest else sha256_digest(F.col("normal"))
     found = materialise(
@@ -129,13 +134,14 @@ def exact_groups(
             "group_size",
             sha.alias("text_sha256"),
             F.when(F.col("group_size") > 1, F.col("normal")).alias("normal"),
+            (F.lit(True) if place is None else F.col("place") == F.col("locator")).alias("located"),
         )
     )
     hits = found.where("group_size > 1")
     kept_texts = (
         hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .groupBy("digest")
-        .agg(F.min(F.struct(F.xxhash64("normal"), "normal")).alias("first"))
+        .agg(F.min(F.struct(~F.coalesce("located", F.lit(False)), F.xxhash64("normal"), "normal")).alias("first"))
         .select("digest", F.col("first.normal").alias("kept_normal"))
     )
     strays = materialise(
@@ -158,6 +164,14 @@ def exact_groups(
     return stayed.select(*columns).unionByName(strays.join(groups, ["digest", "normal"]).select(*columns))
 
 
+def _file_of(docs: DataFrame) -> Column | None:
+    try:
+        docs.select("_metadata.file_path")
+    except AnalysisException:
+        return None
+    return F.col("_metadata.file_path")
+
+
 def _is_file_stream(arriving: DataFrame) -> bool:
     try:
         arriving.select("_metadata.file_path")

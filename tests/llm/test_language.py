@@ -60,3 +60,25 @@ def test_awkward_rows(spark):
     assert language.held_out_languages(documents(spark, [])).count() == 0
     again = language.Profiles.loads(profiles.dumps())
     assert again.names == ["x"] and np.array_equal(again.vectors, profiles.vectors)
+
+
+def test_rare_languages_and_heavy_copies_are_learned(spark):
+    rng = np.random.default_rng(2)
+    word = lambda letters: "".join(rng.choice(list(letters), 5))
+    rows = [(" ".join(word("abcdef") for _ in range(20)), "large") for _ in range(600)]
+    rows += [("the same text " * 5, "large")] * 400
+    rows += [(" ".join(word("uvwxyz") for _ in range(20)), "rare") for _ in range(5)]
+    frame = documents(spark, [(i, t) for i, (t, _) in enumerate(rows)], [lang for _, lang in rows])
+    profiles = language.fit_profiles(frame)
+    assert profiles.names == ["large", "rare"]
+    got = language.predict_languages(frame, profiles).collect()
+    assert all(r.lang_pred == rows[r.doc_id][1] for r in got)
+
+
+def test_many_languages_are_counted_in_parts(spark, monkeypatch):
+    rows = [(i, f"text{chr(97 + i % 7)} {'xyz'[i % 3]}") for i in range(70)]
+    frame = documents(spark, rows, [f"l{i % 7}" for i in range(70)])
+    whole = language.fit_profiles(frame)
+    monkeypatch.setattr(language, "HELD_LANGUAGES", 2)
+    parts = language.fit_profiles(frame)
+    assert parts.names == whole.names and np.array_equal(parts.vectors, whole.vectors)
