@@ -1,7 +1,8 @@
 """Licence scan: notices by text similarity, then inheritance along directories.
 
-The header of a file (its first and last lines) and whole licence files are compared with licence
-templates by the cosine of sparse TF-IDF vectors. A directory has the licence that its licence file,
+The passages of a file are compared with licence templates by the cosine of sparse TF-IDF vectors over words
+and pairs of words, with document frequencies counted over the corpus. Passages are as long as a template
+and may lie anywhere in the text: headers, the ends of files and whole licence files are all read. A directory has the licence that its licence file,
 or else its first file by name, declares; a file without a notice of its own inherits from the
 nearest directory above it that has one, found by joining paths with their ancestors.
 """
@@ -11,13 +12,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantpanel.functions.storage import materialise
-from quantpanel.llm.rows import map_batches
+from quantpanel.llm.rows import bounded_batches, map_batches
 
 # Names and wordings of common licence notices.
 TEMPLATES = {
@@ -69,7 +71,7 @@ _NAMED = {
     "MIT": ("MIT License",),
     "ISC": ("ISC License",),
     "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License", "BSD-2-Clause License"),
-    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "BSD-3-Clause License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "BSD-3-Clause License"),
     "GPL-2.0": ("GNU General Public License, version 2", "GPL v2", "GPLv2"),
     "GPL-3.0": ("GNU General Public License, version 3", "GPL v3", "GPLv3"),
     "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "LGPL v2.1", "LGPLv2.1"),
@@ -90,7 +92,10 @@ _FURTHER = {
     "BSD-2-Clause": ["SPDX-License-Identifier: BSD-2-Clause"],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "SPDX-License-Identifier: ISC"],
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
-    **{f"CC-BY-{x}-4.0": [f"SPDX-License-Identifier: CC-BY-{x}-4.0"] for x in ("SA", "ND", "NC-SA")},
+    **{
+        name: [f"SPDX-License-Identifier: {name}", f"This work is licensed under a {wordings[0]}."]
+        for name, wordings in _NAMED.items() if name.startswith("CC-BY-")
+    },
 }
 for _name, _wordings in _NAMED.items():
     TEMPLATES.setdefault(_name, []).extend(f"{verb} under the {w}." for w in _wordings for verb in ("Licensed", "Released"))
@@ -98,131 +103,221 @@ for _name, _wordings in _FURTHER.items():
     TEMPLATES.setdefault(_name, []).extend(_wordings)
 TEMPLATES = {name: list(dict.fromkeys(wordings)) for name, wordings in TEMPLATES.items()}
 
-# Terms that tell licences apart. A text has to have one of a template's names, if that has any; none of
-# the qualifiers that the template lacks; and its version, if the text has one at all.
-NAMES = frozenset("apache mit isc bsd bsd-style gnu gpl gplv2 gplv3 lgpl lgplv2.1 lgplv3 agpl agplv3 mozilla mpl creative cc".split())
-QUALIFIERS = frozenset(
-    "affero lesser library sharealike noderivatives by-nc by-sa by-nd by-nc-sa by-nc-nd 2-clause 3-clause 4-clause simplified".split()
-    + [f"attribution-{x}" for x in ("noncommercial", "sharealike", "noderivatives", "noncommercial-sharealike", "noncommercial-noderivatives")]
-)
-VERSIONS = frozenset("1 1.0 1.1 2 2.0 2.1 2.5 3 3.0 4.0 v1 v2 v2.1 v3".split())
-
-ORDINARY = frozenset(
-    "the of and to in a or is this that with for by any are be as may you not was has can use from on an at it its see into new under file code form work person found following above free public".split()
-)
+# Wordings without a version; the licence is then known as a family only.
+_FAMILIES = {
+    "GPL": ("GPL", "GNU GPL", "GNU General Public License"),
+    "LGPL": ("LGPL", "GNU LGPL", "GNU Lesser General Public License"),
+    "AGPL": ("AGPL", "GNU AGPL", "GNU Affero General Public License"),
+    "BSD": ("BSD License", "BSD licence"),
+    "Apache": ("Apache License",),
+    "MPL": ("MPL", "Mozilla Public License"),
+}
+for _name, _wordings in _FAMILIES.items():
+    TEMPLATES[_name] = [f"{verb} under the {w}." for w in _wordings for verb in ("Licensed", "Released")]
+# Sentences that deny a licence are templates too, of no licence.
+DENIED = ""
+TEMPLATES[DENIED] = [
+    f"not {sentence}" for name, wordings in list(TEMPLATES.items()) for sentence in wordings
+    if sentence.startswith(("Licensed under", "Released under"))
+]
+
 LEAST_COSINE = 0.6
-FILE_CHARACTERS = 100_000  # a longer file is no licence text as a whole; its lines are compared
+MARGIN = 0.005  # over the second licence in one passage
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
 
-_word = re.compile(r"[a-z0-9][a-z0-9.+-]*[a-z0-9]|[a-z0-9]")
+_INSIDE = ".+-"  # characters that may stand inside a word
+_words = bytes(b if chr(b).isalnum() and b < 128 or chr(b) in _INSIDE else ord(" ") for b in range(256))
+_spdx = re.compile(r"spdx-license-identifier:[ \t]*([a-z0-9.+() \t-]+)", re.IGNORECASE)
 
 
 def terms(text: str) -> list[str]:
-    return _word.findall(text.lower())
+    """ASCII letters and digits in lower case, with dots, plus and minus signs inside a word."""
+    plain = text.lower().encode("ascii", "replace").translate(_words).decode("ascii")
+    return [w for w in (x.strip(_INSIDE) for x in plain.split()) if w]
+
+
+def features(words: list[str]) -> Counter:
+    """Words and pairs of neighbours of a passage."""
+    return Counter(words) + Counter(map(" ".join, zip(words, words[1:])))
+
+
+def vocabulary(templates: dict[str, list[str]]) -> list[str]:
+    return sorted({t for wordings in templates.values() for w in wordings for t in features(terms(w))})
+
+
+def document_frequencies(files: DataFrame, templates: dict[str, list[str]]) -> tuple[int, dict[str, int]]:
+    """The number of texts, and how many of them hold each word and pair of the templates."""
+    known = vocabulary(templates)
+    place = {tuple(t.split(" ")) if " " in t else t: i for i, t in enumerate(known)}
+    bounded_batches(files.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, texts, pairs = [0] * len(known), 0, {t for t in place if isinstance(t, tuple)}
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                words = terms(text or "")
+                met = place.keys() & set(words)
+                for t in met | pairs.intersection(zip(words, words[1:])):
+                    held[place[t]] += 1
+                texts += 1
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(known))]), pa.array([texts, *held])], ["term", "n"])
+
+    rows = files.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "term long, n long")
+    sums = {r.term: r.n for r in rows.groupBy("term").agg(F.sum("n").alias("n")).collect()}  # one row per term
+    return sums.get(-1, 0), {t: sums.get(i, 0) for i, t in enumerate(known)}
 
 
 class Matcher:
-    """TF-IDF vectors of the templates; idf from the templates and a smoothing document."""
+    """TF-IDF vectors of the templates over words and pairs of words.
+
+    Idf counts the texts of the corpus and the templates as documents. A passage of a text is as long as a
+    template, and lies so that a mark of the template stands at the same place in both.
+    """
 
-    def __init__(self, templates: dict[str, list[str]], least: float = LEAST_COSINE) -> None:
+    def __init__(
+        self,
+        templates: dict[str, list[str]],
+        least: float = LEAST_COSINE,
+        texts: int = 0,
+        held: dict[str, int] | None = None,
+    ) -> None:
         self.least = least
-        bags = [(name, Counter(terms(t))) for name, wordings in sorted(templates.items()) for t in wordings]
-        held = Counter(t for _, bag in bags for t in bag)
-        self.idf = {t: math.log((1 + len(bags)) / (1 + n)) + 1 for t, n in held.items()}
-        self.rare = math.log(1 + len(bags)) + 1
-        self.names = [name for name, _ in bags]
-        self.told = [tuple(frozenset(bag) & kind for kind in (NAMES, QUALIFIERS, VERSIONS)) for _, bag in bags]
-        self.spdx = [frozenset(t for t in bag if "spdx-license-identifier" in bag and t != "spdx-license-identifier") for _, bag in bags]
+        words = [(name, terms(t)) for name, wordings in sorted(templates.items()) for t in wordings]
+        bags = [features(w) for _, w in words]
+        own = Counter(t for bag in bags for t in bag)
+        total = texts + len(bags)
+        self.idf = {t: 1 + math.log((1 + total) / (1 + n + (held or {}).get(t, 0))) for t, n in own.items()}
+        self.rare = 1 + math.log(1 + total)
+        self.names = [name for name, _ in words]
+        self.known = {name.lower(): name for name in templates if name}
+        self.sizes = [math.sqrt(sum((n * self.idf[t]) ** 2 for t, n in bag.items())) for bag in bags]
         self.vectors: dict[str, list[tuple[int, float]]] = {}
-        for i, (_, bag) in enumerate(bags):
-            size = math.sqrt(sum((n * self.idf[t]) ** 2 for t, n in bag.items()))
-            for t, n in bag.items():
-                self.vectors.setdefault(t, []).append((i, n * self.idf[t] / size))
-        marks = self._marks()
-        self.marks = sorted(m for m in marks if not any(o != m and o in m for o in marks))
-
-    def _marks(self) -> set[str]:
-        """Terms of which any text as near as ``least`` to a template has one.
-
-        The cosine is at most the length of the template's part that is shared. A template's
-        ordinary and shortest terms, which other text has too, are no marks as long as their part stays shorter
-        than ``least``.
-        """
-        found = set()
-        by_template: dict[int, list[tuple[float, str]]] = {}
-        for term, parts in self.vectors.items():
-            for i, part in parts:
-                by_template.setdefault(i, []).append((part, term))
-        for parts in by_template.values():
-            common = 0.0
-            for part, term in sorted(parts, key=lambda x: (len(x[1]) > 2 and x[1] not in ORDINARY, len(x[1]), x)):
-                common += part * part
-                if common >= self.least**2 - 1e-9:
-                    found.add(term)
-        return found
-
-    def cosine(self, text: str) -> tuple[str | None, float]:
-        """The nearest template's licence and its cosine; of equals the first by name."""
-        dots = [0.0] * len(self.names)
+        self.marks: dict[str, set[tuple[int, int]]] = {}  # (place in the template, its length) of each mark
+        for i, bag in enumerate(bags):
+            parts = sorted((n * self.idf[t] / self.sizes[i], t) for t, n in bag.items())
+            for part, t in parts:
+                self.vectors.setdefault(t, []).append((i, part))
+            for t in self._marks(parts, least):
+                for at in _places(words[i][1], t):
+                    self.marks.setdefault(t, set()).add((at, len(words[i][1])))
+        # the rarer word of a mark finds it: (words from it to the mark, the mark's words)
+        self.anchors: dict[str, list[tuple[int, list[str]]]] = {}
+        for t in self.marks:
+            parts = t.split(" ")
+            rarest = max(range(len(parts)), key=lambda i: self.idf[parts[i]])
+            self.anchors.setdefault(parts[rarest], []).append((rarest, parts))
+
+    @staticmethod
+    def _marks(parts: list[tuple[float, str]], least: float) -> list[str]:
+        """Terms of which any passage as near as ``least`` has one: the lighter ones alone don't reach it."""
+        common = 0.0
+        for i, (part, _) in enumerate(parts):
+            common += part * part
+            if common >= least**2 - 1e-9:
+                return [t for _, t in parts[i:]]
+        return []
+
+    def cosines(self, words: list[str]) -> dict[str, tuple[float, float]]:
+        """Per licence the cosine of its nearest wording, and the length of that one's vector."""
+        dots: dict[int, float] = {}
         total = 0.0
-        for term, n in Counter(terms(text)).items():
+        for term, n in features(words).items():
             weight = n * self.idf.get(term, self.rare)
             total += weight * weight
             for i, part in self.vectors.get(term, ()):
-                dots[i] += weight * part
-        near = self.least * math.sqrt(total) - 1e-9
-        own = set(terms(text)) if max(dots) >= near else set()
-        fits = [i for i in range(len(dots)) if dots[i] > 0 and (dots[i] < near or self._told_apart(i, own))]
-        if not fits:
-            return None, 0.0
-        best = max(fits, key=lambda i: (dots[i], -i))
-        return self.names[best], min(1.0, dots[best] / math.sqrt(total))
-
-    def _told_apart(self, i: int, own: set[str]) -> bool:
-        """Whether a text with the terms ``own`` can mean the licence of template ``i``."""
-        names, qualifiers, versions = self.told[i]
-        if not self.spdx[i] <= own or (names and not names & own):
-            return False
-        if not qualifiers <= own or (own & QUALIFIERS) - qualifiers:
-            return False
-        return not versions or not own & VERSIONS or bool(versions & own)
+                dots[i] = dots.get(i, 0.0) + weight * part
+        found: dict[str, tuple[float, float]] = {}
+        for i, dot in dots.items():
+            found[self.names[i]] = max(found.get(self.names[i], (0.0, 0.0)), (min(1.0, dot / math.sqrt(total)), self.sizes[i]))
+        return found
+
+    def passages(self, words: list[str]) -> list[tuple[int, int]]:
+        """Start and length of the passages that a mark places."""
+        found = set()
+        if self.anchors.keys().isdisjoint(words):
+            return []
+        for i, word in enumerate(words):
+            for before, parts in self.anchors.get(word, ()):
+                start = i - before
+                if start >= 0 and words[start : start + len(parts)] == parts:
+                    found |= {(max(0, start - at), length) for at, length in self.marks[" ".join(parts)]}
+        return sorted(found)
+
+    def judged(self, words: list[str]) -> tuple[float, str | None, float] | None:
+        """Evidence, licence and cosine of a passage; None if nothing is near.
+
+        Licences that are equally near are told by their family, if they have one in common.
+        """
+        near = sorted(((c, size, name) for name, (c, size) in self.cosines(words).items()), reverse=True)
+        if not near or near[0][0] < self.least - 1e-9:
+            return None
+        cosine, size, name = near[0]
+        tied = [n for c, _, n in near if c > cosine - MARGIN and n != DENIED]
+        if name != DENIED and len(tied) > 1:
+            families = {n.split("-")[0] for n in tied}
+            name = families.pop() if len(families) == 1 else DENIED
+        return cosine**3 * size, name or None, cosine
 
     def text(self, text: str | None) -> tuple[str | None, float]:
-        """Best licence of a whole text: over its lines, runs of three lines, and all of it.
+        """Licence and cosine of a whole text.
 
-        Passages without a mark of any template can't reach the least cosine.
+        An SPDX line is taken at its word, with AND, OR and WITH, if its licences are known. Otherwise the passage
+        with the most evidence (the cubed cosine times the length of the wording's vector) decides; of equals the first.
         """
-        found: tuple[str | None, float] = (None, 0.0)
-        low = (text or "").lower()
-        if not any(m in low for m in self.marks):
-            return found
-        lines = low.split("\n")
-        passages = {low} if len(low) <= FILE_CHARACTERS else set()
-        for i in range(len(lines)):
-            passages |= {lines[i], "\n".join(lines[i : i + 3])}
-        for passage in sorted(passages):
-            if any(m in passage for m in self.marks):
-                name, cosine = self.cosine(passage)
-                if name is not None and (cosine > found[1] or (cosine == found[1] and name < found[0])):
-                    found = (name, cosine)
-        return found if found[1] >= self.least - 1e-9 else (None, 0.0)
+        stated = _spdx.search(text or "")
+        if stated:
+            name = self.spdx(stated.group(1))
+            return (name, 1.0) if name else (None, 0.0)
+        words = terms(text or "")
+        best = (0.0, None, 0.0)
+        for start, length in self.passages(words):
+            found = self.judged(words[start : start + length])
+            if found is not None and found[0] > best[0] + 1e-9:
+                best = found
+        return (best[1], best[2]) if best[1] is not None else (None, 0.0)
+
+    def spdx(self, expression: str) -> str | None:
+        """The expression with the names used here; None if it names an unknown licence or is none."""
+        out, wanted, exception = [], True, False
+        for token in expression.replace("(", " ").replace(")", " ").split():
+            upper = token.upper()
+            if exception:
+                out.append(token)
+                exception, wanted = False, False
+            elif upper in ("AND", "OR", "WITH"):
+                if wanted:
+                    return None
+                out.append(upper)
+                wanted, exception = upper != "WITH", upper == "WITH"
+            elif wanted:
+                name = self.known.get(re.sub(r"(-only|-or-later|\+)$", "", token.lower()))
+                if name is None:
+                    return None
+                out.append(name)
+                wanted = False
+            else:
+                break  # text behind the expression
+        return None if wanted or exception or not out else " ".join(out)
+
+
+def _places(words: list[str], term: str) -> list[int]:
+    parts = term.split(" ")
+    return [i for i in range(len(words) - len(parts) + 1) if words[i : i + len(parts)] == parts]
 
 
 _matchers: dict[str, Matcher] = {}
 
 
-def matcher(templates: dict[str, list[str]], least: float) -> Matcher:
-    key = repr((sorted(templates.items()), least))
-    if key not in _matchers:
-        _matchers[key] = Matcher(templates, least)
-    return _matchers[key]
-
-
 def own_notices(files: DataFrame, templates: dict[str, list[str]], least: float) -> DataFrame:
     """``doc_id, path`` with the licence that a file's own text declares, and its cosine."""
+    texts, held = document_frequencies(files, templates)
+    key = repr((sorted(templates.items()), least, texts, sorted(held.items())))
 
     def scan(batch: pa.RecordBatch) -> dict:
-        found = [matcher(templates, least).text(t) for t in batch.column("text").to_pylist()]
+        if key not in _matchers:
+            _matchers.clear()
+            _matchers[key] = Matcher(templates, least, texts, held)
+        found = [_matchers[key].text(t) for t in batch.column("text").to_pylist()]
         return {
             "doc_id": batch.column("doc_id"),
             "path": batch.column("path"),
