@@ -330,6 +330,48 @@ def _m01(spark, sf):
     return rounded(_weights(spark, sf, LINEAR), 2)  # the solvers agree to about seven digits
 
 
+PENALTIES = (0.01, 1.0)
+
+
+def _ridge_folds_sql() -> str:
+    """`beta`: coefficients per walk-forward fold and penalty, by elimination."""
+    names = [*(f"z_{n}" for n in NAMES), "1.0"]
+    n = len(names)
+    lines = []
+    for i, a in enumerate(names):
+        own = [f"sum(sw * {a} * {b})" + (" + penalty" if i == j and j < n - 1 else "") for j, b in enumerate(names)]
+        lines.append(f"[{', '.join([*own, f'sum(sw * {a} * target_score)'])}]")
+    one = _ridge_sql().split("gauss AS (")[0]
+    return f"""{one}
+  spans AS (SELECT 'walkforward_' || lpad(k::VARCHAR, 2, '0') AS fold, a.date AS s, b.date AS e FROM range(1000) t(k)
+    JOIN cal a ON a.day_idx = k * 252 JOIN cal b ON b.day_idx = k * 252 + 503
+    WHERE k * 252 + 504 + 60 + 252 + 60 + 252 <= (SELECT count(*) FROM cal)),
+  gauss AS (SELECT fold, penalty, 1 AS k, [{', '.join(lines)}] AS a FROM zs JOIN spans ON asof_date BETWEEN s AND e,
+    (SELECT unnest([{', '.join(map(str, PENALTIES))}])::DOUBLE AS penalty) GROUP BY fold, penalty UNION ALL
+    SELECT fold, penalty, k + 1, list_transform(range(1, {n + 1}), lambda i: list_transform(range(1, {n + 2}),
+      lambda j: CASE WHEN i = k THEN a[k][j] / a[k][k] ELSE a[i][j] - a[i][k] * a[k][j] / a[k][k] END)) FROM gauss WHERE k <= {n}),
+  beta AS (SELECT fold, penalty, list_transform(a, lambda x: x[{n + 1}]) AS b FROM gauss WHERE k = {n + 1})"""
+
+
+@query(
+    "M01_ridge_folds",
+    f"""WITH RECURSIVE {_ridge_folds_sql()} SELECT fold, penalty, unnest([{', '.join(f"'{n}'" for n in NAMES)}, 'intercept']) AS feature,
+      {r(f'unnest(b[:{len(NAMES) + 1}])', 'coefficient', 4)} FROM beta""",
+)
+def _m01_folds(spark, sf):
+    """The scorers of all walk-forward folds and penalties from one job over the rows."""
+    inputs = DatasetInputs(spark, sf)
+    folds = sp.with_fold(sp.walkforward_splits(inputs.calendar, WALK)).filter("role = 'train'")
+    rows = sp.assign_split(inputs.prepared.drop("split_name"), folds).join(folds.select("split_name", "fold"), "split_name")
+    models = sc.fit_ridges(rows.withColumn("label", F.col("target_score")), list(NAMES), list(PENALTIES), ["fold"])
+    table = [
+        (fold, penalty, name, value)
+        for (fold, penalty), model in models.items()
+        for name, value in zip((*NAMES, "intercept"), (*model.weights, model.intercept))
+    ]
+    return rounded(spark.createDataFrame(table, "fold string, penalty double, feature string, coefficient double"), 4)
+
+
 @query("M02_gbm_scorer")
 def _m02(spark, sf):
     return _weights(spark, sf, SMALL_TREES)
