@@ -37,6 +37,7 @@ PAIRED_MEMBERS = 32  # members of a bucket that similar_texts compares in pairs
 FIRST_BLOCKS = 16  # blocks in which similar_texts compares with one member first
 WIDESPREAD = 1 << 20  # shingles that similar_texts puts last
 COUNTED = 1 << 21  # shingles, or sets, that a task remembers at once
+ROUNDS = 3  # comparisons of crowded members with one of their bucket
 PARTNERS = 500  # texts compared with one text in a task
 FEW_ROWS = 1 << 20  # rows that are broadcast to find texts
 RECALL = 0.99  # of a pair at the least similarity, by all the blocks of blocks_for
@@ -167,11 +168,11 @@ def blocks_for(rows: int, similarity: float, recall: float = RECALL) -> tuple[in
     """Bits of a block (16 at least) and number of blocks of fingerprints of so many texts.
 
     Two sets of Jaccard similarity J differ in a bit with probability acos(2J / (1 + J)) / pi. A block
-    has enough bits for a text to meet about four others by chance at most, whatever the number
+    has enough bits for few texts to meet another by chance, whatever the number
     of texts, and there are as many blocks as a pair at the least similarity needs to share one.
     """
     agree = 1 - bit_difference(similarity)
-    bits = max(16, min(32, math.ceil(math.log2(max(rows, 2))) - 2))
+    bits = max(16, min(32, math.ceil(math.log2(max(rows, 2))) + 2))
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree**bits))
 
 
@@ -219,43 +220,46 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     def linked(pairs: DataFrame) -> DataFrame:
         return materialise(_verified(pairs, places, docs, size, similarity))
 
-    def grouped(members: DataFrame, links: DataFrame) -> DataFrame:
-        """``members`` with the component of each tag as its group."""
-        groups = components(links).select(F.col("node").alias("tag"), F.col("component").alias("group"))
-        return members.join(groups, "tag", "left").withColumn("group", F.coalesce("group", "tag"))
-
-    def several_groups(members: DataFrame) -> DataFrame:
-        """The members of the buckets that hold several groups; stored.
+    def several_groups(members: DataFrame, number: int) -> DataFrame:
+        """The members of the buckets that hold several groups, and one of them, another by each number; stored.
 
         Both sides of the join need the same columns, so that they read one exchange.
         """
         dealt = members.repartition("key")
         sizes = dealt.groupBy("key").agg(
-            F.count("*").alias("members"), F.min("tag").alias("low"), F.min("group").alias("least"),
-            F.max("group").alias("most"), F.max("n").alias("longest"), F.max("at").alias("last"),
+            F.count("*").alias("members"),
+            F.min_by(F.struct("tag", "group"), F.xxhash64("tag", F.lit(number))).alias("low"),
+            F.min("group").alias("least"), F.max("group").alias("most"), F.max("n").alias("longest"), F.max("at").alias("last"),
         )
         sizes = sizes.where("least < most and longest >= 0 and last >= 0").select("key", "members", "low")
         return materialise(dealt.join(sizes, "key"))
 
-    first_links = linked(_leaders(nodes, bits, per_word, words, similarity))
+    links = linked(_leaders(nodes, bits, per_word, words, similarity))
+    named = _joined(places.select("tag", F.col("tag").alias("group")), links)
     prefixes = _prefixes(docs, size, similarity, widespread).groupBy("tag").agg(
         F.max("n").alias("n"), F.max("prefix").alias("prefix")
     )
-    named = grouped(places.select("tag"), first_links)
-    postings = prefixes.join(named, "tag").select("tag", "n", "group", F.posexplode("prefix").alias("at", "key"))
-    met = several_groups(postings)
-    crowded = (
-        met.where((F.col("members") > PAIRED_MEMBERS) & (F.col("tag") != F.col("low")))
-        .groupBy("tag", "low")
-        .agg(F.count("*").alias("shared"))
-        .groupBy("tag")
-        .agg(F.max(F.struct("shared", "low")).alias("best"))
-        .select(F.col("tag").alias("a"), F.col("best.low").alias("b"))
+    met = several_groups(
+        prefixes.join(named, "tag").select("tag", "n", "group", F.posexplode("prefix").alias("at", "key")), 0
     )
-    links = first_links.unionByName(linked(crowded))
-    left = several_groups(grouped(met.select("tag", "n", "at", "key"), links)).drop("members", "low")
-    links = links.unionByName(linked(_prefix_pairs(left, similarity)))
-    all_rows = grouped(places, links)
+    for number in range(1, ROUNDS + 1):
+        crowd = met.where((F.col("members") > PAIRED_MEMBERS) & (F.col("group") != F.col("low.group")))
+        if crowd.isEmpty():
+            break
+        crowded = (
+            crowd.groupBy("tag", F.col("low.tag").alias("b"))
+            .agg(F.count("*").alias("shared"))
+            .groupBy(F.col("tag").alias("a"))
+            .agg(F.max(F.struct("shared", "b")).alias("best"))
+            .select("a", "best.b")
+        )
+        found = linked(crowded)
+        links = links.unionByName(found)
+        named = _joined(named, found)
+        met = several_groups(met.select("tag", "n", "at", "key").join(named, "tag"), number)
+    links = links.unionByName(linked(_prefix_pairs(met.drop("members", "low"), similarity)))
+    groups = components(links).select(F.col("node").alias("tag"), F.col("component").alias("group"))
+    all_rows = places.join(groups, "tag", "left").withColumn("group", F.coalesce("group", "tag"))
     least = all_rows.groupBy("group").agg(F.min(F.struct("doc_id", "text_name")).alias("stays"))
     labels = all_rows.join(least, "group").select("tag", "stays")
     kept = F.col("doc_id").isNull() | (F.struct("doc_id", "text_name") == F.col("stays"))
@@ -264,6 +268,23 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     )
 
 
+def _joined(named: DataFrame, links: DataFrame) -> DataFrame:
+    """``tag, group`` with linked groups joined to the least of those two links away; stored.
+
+    All of a group are connected; connected groups may stay apart, which costs comparisons only.
+    """
+    ends = [named.select(F.col("tag").alias(x), F.col("group").alias(f"g_{x}")) for x in ("a", "b")]
+    apart = links.join(ends[0], "a").join(ends[1], "b").where("g_a <> g_b").select("g_a", "g_b")
+    both = materialise(apart.unionByName(apart.select(F.col("g_b").alias("g_a"), F.col("g_a").alias("g_b"))).distinct())
+    near = both.groupBy("g_a").agg(F.min("g_b").alias("least")).select(
+        F.col("g_a").alias("g_b"), F.least("g_a", "least").alias("least")
+    )
+    lowest = both.join(near, "g_b").groupBy(F.col("g_a").alias("group")).agg(F.min("least").alias("lowest"))
+    return materialise(
+        named.join(lowest, "group", "left").select("tag", F.coalesce("lowest", "group").alias("group"))
+    )
+
+
 def _prefix_pairs(left: DataFrame, similarity: float) -> DataFrame:
     """``a, b``: tags of different groups that share a shingle of their prefixes and may be similar.
 
