@@ -194,7 +194,8 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
       ``n - ceil(similarity * n) + 1`` are its prefix; two similar sets share a shingle of their prefixes.
       All pairs of different groups and near sizes that do so are compared, whatever the size of a bucket; a
       pair goes unverified only if its sizes, or the shared part of the prefixes, rule the similarity out. In
-      buckets of more than ``PAIRED_MEMBERS`` members, each is first compared with the least one.
+      buckets of more than ``PAIRED_MEMBERS`` members, each is first compared with the most central one, then
+      with others as long as that finds links.
 
     Widespread shingles come last in the common order, so that they are in few prefixes; which ones count as
     such changes the work but not the result. The row of least (doc_id, text_name) of a group is ``kept``,
@@ -223,12 +224,15 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     def several_groups(members: DataFrame, number: int) -> DataFrame:
         """The members of the buckets that hold several groups, and one of them, another by each number; stored.
 
-        Both sides of the join need the same columns, so that they read one exchange.
+        The first one has fewest shingles of its own before the shared one: of copies with few changes each,
+        that is the text they come from, or the nearest to it. Both sides of the join need the same columns,
+        so that they read one exchange.
         """
+        order = F.col("at") if number == 0 else F.lit(0)
         dealt = members.repartition("key")
         sizes = dealt.groupBy("key").agg(
             F.count("*").alias("members"),
-            F.min_by(F.struct("tag", "group"), F.xxhash64("tag", F.lit(number))).alias("low"),
+            F.min_by(F.struct("tag", "group"), F.struct(order, F.xxhash64("tag", F.lit(number)))).alias("low"),
             F.min("group").alias("least"), F.max("group").alias("most"), F.max("n").alias("longest"), F.max("at").alias("last"),
         )
         sizes = sizes.where("least < most and longest >= 0 and last >= 0").select("key", "members", "low")
@@ -254,6 +258,8 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
             .select("a", "best.b")
         )
         found = linked(crowded)
+        if found.isEmpty():
+            break
         links = links.unionByName(found)
         named = _joined(named, found)
         met = several_groups(met.select("tag", "n", "at", "key").join(named, "tag"), number)
@@ -288,23 +294,30 @@ def _joined(named: DataFrame, links: DataFrame) -> DataFrame:
 def _prefix_pairs(left: DataFrame, similarity: float) -> DataFrame:
     """``a, b``: tags of different groups that share a shingle of their prefixes and may be similar.
 
-    Sizes of similar sets are at most one class apart, so a member meets its own class and the next one only.
+    Sizes of similar sets are at most one class apart, so a member meets its own class and the next one only,
+    which holds larger sets. How far the prefixes go depends on the sizes of both: a crowd of near misses, whose own
+    shingles come first, hardly meets however many shingles it has in common.
     """
     step = math.log(1 / (similarity - 1e-6))
     size_class = F.floor(F.ln(F.greatest("n", F.lit(1))) / step)
     own = left.withColumn("own", size_class)
-    asks = own.withColumn("class", F.explode(F.array(F.col("own"), F.col("own") + 1)))
+    asks = own.withColumn("class", F.explode(F.array(F.col("own"), F.col("own") + 1))).where(
+        (F.col("own") == F.col("class")) | (F.col("at") <= F.col("n") - F.ceil(F.lit(2 * similarity / (1 + similarity)) * F.col("n") - 1e-6))
+    )
     right = own.withColumnsRenamed({"tag": "b", "n": "n_b", "group": "group_b", "at": "at_b", "own": "class"})
     once = (F.col("own") < F.col("class")) | (F.col("tag") < F.col("b"))
     sizes_fit = F.least("n", "n_b") >= F.lit(similarity) * F.greatest("n", "n_b") - 1e-9
-    # shared shingles up to the last one in both prefixes, and no more than the shorter rest after it
+    # similar sets share so many shingles, and the first of them no later than this leaves room for
+    least = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("n_b")) - 1e-6)
+    early = (F.col("at") <= F.col("n") - least) & (F.col("at_b") <= F.col("n_b") - least)
+    # shared ones up to the last early one, and no more than the shorter rest after it
     most = F.col("shared") + F.least(F.col("n") - F.col("at") - 1, F.col("n_b") - F.col("at_b") - 1)
     return (
         asks.join(right, ["key", "class"])
-        .where(once & (F.col("group") != F.col("group_b")) & sizes_fit)
+        .where(once & (F.col("group") != F.col("group_b")) & sizes_fit & early)
         .groupBy(F.col("tag").alias("a"), "b", "n", "n_b")
         .agg(F.count("*").alias("shared"), F.max("at").alias("at"), F.max("at_b").alias("at_b"))
-        .where(most * (1 + similarity) >= F.lit(similarity) * (F.col("n") + F.col("n_b")) - 1e-6)
+        .where(most >= least)
         .select("a", "b")
     )
 
