@@ -37,7 +37,6 @@ PAIRED_MEMBERS = 32  # members of a bucket that similar_texts compares in pairs
 FIRST_BLOCKS = 16  # blocks in which similar_texts compares with one member first
 WIDESPREAD = 1 << 20  # shingles that similar_texts puts last
 COUNTED = 1 << 21  # shingles, or sets, that a task remembers at once
-ROUNDS = 3  # comparisons of crowded members with one of their bucket
 PARTNERS = 500  # texts compared with one text in a task
 FEW_ROWS = 1 << 20  # rows that are broadcast to find texts
 RECALL = 0.99  # of a pair at the least similarity, by all the blocks of blocks_for
@@ -194,8 +193,7 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
       ``n - ceil(similarity * n) + 1`` are its prefix; two similar sets share a shingle of their prefixes.
       All pairs of different groups and near sizes that do so are compared, whatever the size of a bucket; a
       pair goes unverified only if its sizes, or the shared part of the prefixes, rule the similarity out. In
-      buckets of more than ``PAIRED_MEMBERS`` members, each is first compared with the most central one, then
-      with others as long as that finds links.
+      buckets of more than ``PAIRED_MEMBERS`` members, each is first compared with the most central one.
 
     Widespread shingles come last in the common order, so that they are in few prefixes; which ones count as
     such changes the work but not the result. The row of least (doc_id, text_name) of a group is ``kept``,
@@ -221,18 +219,17 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
     def linked(pairs: DataFrame) -> DataFrame:
         return materialise(_verified(pairs, places, docs, size, similarity))
 
-    def several_groups(members: DataFrame, number: int) -> DataFrame:
-        """The members of the buckets that hold several groups, and one of them, another by each number; stored.
+    def several_groups(members: DataFrame) -> DataFrame:
+        """The members of the buckets that hold several groups, and the most central one of them; stored.
 
-        The first one has fewest shingles of its own before the shared one: of copies with few changes each,
-        that is the text they come from, or the nearest to it. Both sides of the join need the same columns,
+        That one has fewest shingles of its own before the shared one: of copies with few changes each,
+        it is the text they come from, or the nearest to it. Both sides of the join need the same columns,
         so that they read one exchange.
         """
-        order = F.col("at") if number == 0 else F.lit(0)
         dealt = members.repartition("key")
         sizes = dealt.groupBy("key").agg(
             F.count("*").alias("members"),
-            F.min_by(F.struct("tag", "group"), F.struct(order, F.xxhash64("tag", F.lit(number)))).alias("low"),
+            F.min_by(F.struct("tag", "group"), F.struct("at", "tag")).alias("low"),
             F.min("group").alias("least"), F.max("group").alias("most"), F.max("n").alias("longest"), F.max("at").alias("last"),
         )
         sizes = sizes.where("least < most and longest >= 0 and last >= 0").select("key", "members", "low")
@@ -244,25 +241,20 @@ def similar_texts(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Da
         F.max("n").alias("n"), F.max("prefix").alias("prefix")
     )
     met = several_groups(
-        prefixes.join(named, "tag").select("tag", "n", "group", F.posexplode("prefix").alias("at", "key")), 0
+        prefixes.join(named, "tag").select("tag", "n", "group", F.posexplode("prefix").alias("at", "key"))
     )
-    for number in range(1, ROUNDS + 1):
-        crowd = met.where((F.col("members") > PAIRED_MEMBERS) & (F.col("group") != F.col("low.group")))
-        if crowd.isEmpty():
-            break
-        crowded = (
-            crowd.groupBy("tag", F.col("low.tag").alias("b"))
-            .agg(F.count("*").alias("shared"))
-            .groupBy(F.col("tag").alias("a"))
-            .agg(F.max(F.struct("shared", "b")).alias("best"))
-            .select("a", "best.b")
-        )
-        found = linked(crowded)
-        if found.isEmpty():
-            break
+    crowded = (
+        met.where((F.col("members") > PAIRED_MEMBERS) & (F.col("group") != F.col("low.group")))
+        .groupBy("tag", F.col("low.tag").alias("b"))
+        .agg(F.count("*").alias("shared"))
+        .groupBy(F.col("tag").alias("a"))
+        .agg(F.max(F.struct("shared", "b")).alias("best"))
+        .select("a", "best.b")
+    )
+    found = linked(crowded)
+    if not found.isEmpty():
         links = links.unionByName(found)
-        named = _joined(named, found)
-        met = several_groups(met.select("tag", "n", "at", "key").join(named, "tag"), number)
+        met = several_groups(met.select("tag", "n", "at", "key").join(_joined(named, found), "tag"))
     links = links.unionByName(linked(_prefix_pairs(met.drop("members", "low"), similarity)))
     groups = components(links).select(F.col("node").alias("tag"), F.col("component").alias("group"))
     all_rows = places.join(groups, "tag", "left").withColumn("group", F.coalesce("group", "tag"))
